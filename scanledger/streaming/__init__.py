@@ -1,0 +1,5 @@
+"""No streaming operator: the analytics are a batch over one scan export.
+
+A new export is added as a further ``snapshot_date`` partition of the hosts
+table (see ``scanledger.plans.build``); nothing here has an unbounded source.
+"""
