@@ -49,9 +49,9 @@ def ingest(
     hosts = flatten_hosts(scan_raw_records(spark, raw_path))
     target = f"{out_dir}/silver/hosts"
     if snapshot_date is None:
-        return write_parquet_zstd(hosts, target)
+        return write_parquet_zstd(hosts, target, rebalance=True)
     dated = hosts.withColumn("snapshot_date", F.lit(snapshot_date).cast("date"))
-    return write_parquet_zstd(dated, target, partition_by="snapshot_date")
+    return write_parquet_zstd(dated, target, partition_by="snapshot_date", rebalance=True)
 
 
 def build_from_hosts(

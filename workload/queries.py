@@ -476,16 +476,15 @@ def _(i: Inputs) -> DataFrame:
     return signals.signals_rollup(i.hosts, i.host_map)
 
 
-@query("signals_rollup_direct", over("features", "keyed", select="""
-    SELECT k.company_key, k.resolution_tier, count(*) AS host_count,
+@query("signals_rollup_direct", over("keyed_features", select="""
+    SELECT company_key, resolution_tier, count(*) AS host_count,
         CAST(sum(row_cve_count) AS BIGINT) AS cve_count, max(row_max_cvss) AS max_cvss,
         max(row_max_epss) AS max_epss, bool_or(row_has_recent_cve) AS has_recent_cve,
-        count(*) FILTER (f.is_eol_product) AS eol_count, count(*) FILTER (f.is_c2) AS c2_count,
+        count(*) FILTER (is_eol_product) AS eol_count, count(*) FILTER (is_c2) AS c2_count,
         count(*) FILTER (is_risky_port) AS risky_open_port_count,
-        count(DISTINCT f.port) AS distinct_port_count, max(f.screenshot_text) AS screenshot_evidence_text
-    FROM keyed k JOIN features f USING (event_id, copy_no)
-    WHERE k.company_key IS NOT NULL
-    GROUP BY k.company_key, k.resolution_tier"""))
+        count(DISTINCT port) AS distinct_port_count, max(screenshot_text) AS screenshot_evidence_text
+    FROM keyed_features WHERE company_key IS NOT NULL
+    GROUP BY company_key, resolution_tier"""))
 def _(i: Inputs) -> DataFrame:
     return signals.signals_rollup_direct(i.keyed).select(
         *KEY, "host_count", "cve_count", "max_cvss", "max_epss", "has_recent_cve", "eol_count",

@@ -82,7 +82,7 @@ COMPANIES = f"""
     ) g
 """
 
-FEATURES = f"""
+_FEATURES = f"""
     SELECT *,
         CAST(coalesce(cardinality(vulns), 0) AS BIGINT) AS row_cve_count,
         CAST(coalesce(len([v FOR v IN map_values(vulns) IF coalesce(v.verified, false)]), 0) AS BIGINT)
@@ -92,8 +92,10 @@ FEATURES = f"""
         coalesce(len([c FOR c IN map_keys(vulns) IF regexp_matches(c, 'CVE-202[5-9]-')]), 0) > 0
             AS row_has_recent_cve,
         port IN ({_PORTS}) AS is_risky_port
-    FROM hosts
+    FROM {{rows}}
 """
+FEATURES = _FEATURES.replace("{rows}", "hosts")
+KEYED_FEATURES = _FEATURES.replace("{rows}", "keyed")
 
 SIGNALS = """
     SELECT m.company_key, m.resolution_tier,
@@ -231,6 +233,7 @@ LAYERS: dict[str, tuple[str, tuple[str, ...]]] = {
     "host_map": (HOST_MAP, ("keyed",)),
     "companies": (COMPANIES, ("keyed",)),
     "features": (FEATURES, ("hosts",)),
+    "keyed_features": (KEYED_FEATURES, ("keyed",)),
     "signals": (SIGNALS, ("features", "host_map")),
     "scored": (SCORED, ("companies", "signals")),
     "accounts": (ACCOUNTS, ("scored",)),
