@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanledger.config import ResolveRules
+from scanledger.config import ResolveRules, SignalRules
 from scanledger.functions import resolve as fn
 from scanledger.functions.common import contains_any
+from scanledger.operators.signals import with_host_features
 from scanledger.schemas import COMPANY_COLUMNS, COMPANY_KEY, MAP_COLUMNS
 
 RESOLVED_TIERS = ("domain", "org")
@@ -44,6 +45,24 @@ def resolve_hosts(hosts: DataFrame, rules: ResolveRules = ResolveRules()) -> Dat
     )
 
 
+# Host columns that nothing after resolution reads: the CVE map lives on in the
+# row figures, the tags in the flags.
+_UNUSED_LATER = (
+    "transport", "latitude", "longitude", "os", "product", "devicetype", "tags", "cpe23",
+    "vulns", "ssl_jarm", "http_status", "http_server", "http_title", "shodan_module",
+    "screenshot_labels",
+)
+
+
+def keyed_table(
+    hosts: DataFrame,
+    rules: ResolveRules = ResolveRules(),
+    signal_rules: SignalRules = SignalRules(),
+) -> DataFrame:
+    """What to store per host for all later layers: key, tier and row figures."""
+    return resolve_hosts(with_host_features(hosts, signal_rules), rules).drop(*_UNUSED_LATER)
+
+
 def filter_resolved(keyed: DataFrame) -> DataFrame:
     return keyed.filter(F.col("resolution_tier").isin(*RESOLVED_TIERS))
 

@@ -34,7 +34,9 @@ _LARGEST = {
 
 
 def with_host_features(hosts: DataFrame, rules: SignalRules = SignalRules()) -> DataFrame:
-    """Add the CVE figures and the risky-port flag of each row."""
+    """Add the CVE figures and the risky-port flag of each row, unless it has them."""
+    if "row_cve_count" in hosts.columns:
+        return hosts
     return hosts.withColumns(
         {
             **cve_features(F.col("vulns"), rules.recent_cve_pattern),
@@ -99,7 +101,9 @@ def host_map_join(
 
     Keys with very many rows may still have many companies on the map side.
     They are few (at most rows / hot_key_rows), so they are broadcast instead
-    of meeting in one task; the other keys are joined by a shuffle.
+    of meeting in one task. The other keys grow with the data and are joined
+    by a shuffle; the hint rules out a broadcast chosen from the size of the
+    well compressed files.
     """
     totals = observation_totals(hosts, rules)
     copies = map_copies(host_map)
@@ -109,7 +113,7 @@ def host_map_join(
     # A cold key is absent from the hot ones; anti-joining first keeps the
     # map rows of hot keys out of the shuffle.
     cold_copies = copies.join(hot_totals.select(*_OBSERVATION), list(_OBSERVATION), "left_anti")
-    cold_pairs = cold_copies.join(totals.filter(~hot), list(_OBSERVATION))
+    cold_pairs = cold_copies.join(totals.filter(~hot).hint("merge"), list(_OBSERVATION))
     pairs = cold_pairs.unionByName(hot_pairs)
     weight = F.col("copies")
     return pairs.select(

@@ -1,8 +1,9 @@
 """Build every layer from a raw export; each layer is a written table.
 
-Resolution is row-level but costly (keyword and pattern tests), and four
-consumers need it. It is therefore computed once and written; a lazy chain
-would push the tier filter below the projection and repeat those tests.
+Resolution and the CVE figures are row-level but costly (keyword and pattern
+tests, map functions), and four consumers need them. They are computed once
+and written as a narrow table; a lazy chain would push the tier filter below
+the projection and repeat those tests.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from scanledger.config import AdjudicationRules, ResolveRules, ScoreRules, Signa
 from scanledger.operators.accounts import filter_band, gold_accounts
 from scanledger.operators.adjudicate import decision_overlay, rule_adjudicate
 from scanledger.operators.ingest import flatten_hosts
-from scanledger.operators.resolve import companies_rollup, host_company_map, resolve_hosts
+from scanledger.operators.resolve import companies_rollup, host_company_map, keyed_table
 from scanledger.operators.signals import signals_rollup, signals_rollup_direct
 from scanledger.sources.readers import scan_raw_records
 from scanledger.sources.writers import write_parquet_zstd
@@ -58,7 +59,9 @@ def build_from_hosts(
     hosts: DataFrame, out_dir: str, rules: BuildRules = BuildRules()
 ) -> Layers:
     """Hosts table -> keyed hosts, map, companies, signals and accounts."""
-    keyed = write_parquet_zstd(resolve_hosts(hosts, rules.resolve), f"{out_dir}/silver/keyed")
+    keyed = write_parquet_zstd(
+        keyed_table(hosts, rules.resolve, rules.signals), f"{out_dir}/silver/keyed"
+    )
     host_map = write_parquet_zstd(
         host_company_map(keyed), f"{out_dir}/silver/host_company_map"
     )
@@ -66,7 +69,7 @@ def build_from_hosts(
         companies_rollup(keyed, rules.resolve), f"{out_dir}/silver/companies"
     )
     signals = write_parquet_zstd(
-        signals_rollup(hosts, host_map, rules.signals)
+        signals_rollup(keyed, host_map, rules.signals)
         if rules.join_hosts_to_map
         else signals_rollup_direct(keyed, rules.signals),
         f"{out_dir}/gold/security_signals",

@@ -7,10 +7,9 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger.operators.accounts import gold_accounts
+from scanledger.operators.accounts import filter_band, gold_accounts
 from scanledger.operators.adjudicate import decision_overlay, rule_adjudicate
-from scanledger.operators.accounts import filter_band
-from scanledger.operators.resolve import companies_rollup, host_company_map, resolve_hosts
+from scanledger.operators.resolve import companies_rollup, host_company_map, keyed_table
 from scanledger.operators.signals import signals_rollup
 from scanledger.session import scratch_dir
 from scanledger.sources.writers import write_parquet_zstd
@@ -50,7 +49,7 @@ class Inputs:
 
     @cached_property
     def keyed(self) -> DataFrame:
-        return self._written(resolve_hosts(self.hosts), "keyed")
+        return self._written(keyed_table(self.hosts), "keyed")
 
     @cached_property
     def host_map(self) -> DataFrame:
@@ -62,7 +61,7 @@ class Inputs:
 
     @cached_property
     def signals(self) -> DataFrame:
-        return self._written(signals_rollup(self.hosts, self.host_map), "security_signals")
+        return self._written(signals_rollup(self.keyed, self.host_map), "security_signals")
 
     @cached_property
     def accounts(self) -> DataFrame:

@@ -536,7 +536,7 @@ _BEST = "ORDER BY contact_score DESC, company_key, resolution_tier"
 def gold_top(i: Inputs) -> DataFrame:
     """The whole chain in one plan, from the keyed hosts to the best accounts."""
     companies = resolve.companies_rollup(i.keyed)
-    rollup = signals.signals_rollup(i.hosts, i.host_map)
+    rollup = signals.signals_rollup(i.keyed, i.host_map)
     gold = accounts.gold_accounts(companies, rollup)
     return serving.top_accounts(gold, 20, band=None).select(
         *KEY, *_TOP_COLUMNS, F.array_join("why", "; ").alias("why")
