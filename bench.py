@@ -5,8 +5,9 @@
 
 * ``ingest_ndjson``: raw JSON lines to the ZSTD hosts table. The raw records
   are made first, about 9.5 KB each with unread payload, as in a scan export;
-  ``ingest_gb_per_s`` is the throughput.
-* ``build_*``: each written layer after that, computed once.
+  ``ingest_gb_per_s`` is the throughput. The files are listed several times,
+  all of them are parsed again, to outweigh the fixed cost of one job.
+* ``build_layers``: all written layers after the hosts table, in one cold run.
 * the other names: a registered query, read to the end. Each runs twice; the
   second run is reported, as the first also compiles its code.
 """
@@ -32,7 +33,8 @@ HEADLINE = (
     "band_distribution", "dashboard_stats", "layer_reconcile", "decision_overlay",
     "parse_decisions", "trace_summary", "best_contacts", "contact_report", "query_accounts",
 )
-RECORD_BYTES = 9000
+RECORD_BYTES = 9500
+EXPORT_COPIES = 4
 
 
 def finish(table: DataFrame) -> None:
@@ -50,7 +52,7 @@ def raw_export(given: Inputs, folder: str) -> None:
     pages = given.table("pages").select("page_id", "html")
     count = pages.count()
     rows = given.hosts.join(pages, F.col("page_id") == F.col("event_id") % count)
-    payload = F.rpad("html", RECORD_BYTES - 500, "~")
+    payload = F.rpad("html", RECORD_BYTES - 800, "~")
     record = F.to_json(F.struct(*raw_columns(), payload.alias("banner")))
     rows.select(record.alias("value")).repartition(64).write.text(folder)
 
@@ -70,12 +72,12 @@ def main() -> None:
     folder = scratch_dir(spark, "bench")
     raw = f"{folder}/raw"
     raw_export(given, raw)
-    size = stored_bytes(spark, raw)
+    export = [raw] * EXPORT_COPIES
+    size = stored_bytes(spark, raw) * EXPORT_COPIES
     ingest(spark, given.raw_lines_path, f"{folder}/warm")
     for run in ("first", "second"):
-        seconds["ingest_ndjson"] = timed(lambda: ingest(spark, raw, f"{folder}/{run}"))
-    hosts = spark.read.parquet(f"{folder}/second/silver/hosts")
-    seconds["build_layers"] = timed(lambda: build_from_hosts(hosts, f"{folder}/second"))
+        seconds["ingest_ndjson"] = timed(lambda: ingest(spark, export, f"{folder}/{run}"))
+    seconds["build_layers"] = timed(lambda: build_from_hosts(given.hosts, f"{folder}/layers"))
 
     for name in HEADLINE:
         finish(QUERIES[name](spark, sf_dir))

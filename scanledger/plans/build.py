@@ -9,6 +9,7 @@ the projection and repeat those tests.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +17,14 @@ from pyspark.sql import functions as F
 from scanledger.config import AdjudicationRules, ResolveRules, ScoreRules, SignalRules
 from scanledger.operators.accounts import filter_band, gold_accounts
 from scanledger.operators.adjudicate import decision_overlay, rule_adjudicate
+from scanledger.operators.evaluate import random_sample
 from scanledger.operators.ingest import flatten_hosts
 from scanledger.operators.resolve import companies_rollup, host_company_map, keyed_table
 from scanledger.operators.signals import signals_rollup, signals_rollup_direct
 from scanledger.sources.readers import scan_raw_records
-from scanledger.sources.writers import write_parquet_zstd
+from scanledger.sources.writers import (
+    manifest_summary, source_manifest, write_parquet_zstd,
+)
 
 
 @dataclass(frozen=True)
@@ -43,16 +47,32 @@ class Layers:
     accounts: DataFrame
 
 
+# An export shrinks about 200-fold in the hosts table. With one file per input
+# split, 100 TB would leave 800,000 files of half a megabyte.
+RAW_BYTES_PER_FILE = 4 << 30
+
+
 def ingest(
-    spark: SparkSession, raw_path: str | list[str], out_dir: str, snapshot_date: str | None = None
+    spark: SparkSession,
+    raw_path: str | list[str],
+    out_dir: str,
+    snapshot_date: str | None = None,
+    raw_bytes_per_file: int = RAW_BYTES_PER_FILE,
 ) -> DataFrame:
-    """Raw export -> hosts table, as one partition per export if it is dated."""
+    """Raw export -> hosts table, as one partition per export if it is dated.
+
+    One narrow stage: every task parses its splits and writes its file. The
+    number of files follows from the size of the export, but leaves at least
+    two tasks per core of the cluster.
+    """
     hosts = flatten_hosts(scan_raw_records(spark, raw_path))
+    size = manifest_summary(source_manifest(spark, raw_path)).first()["size_bytes"]
+    files = max(ceil(size / raw_bytes_per_file), 2 * spark.sparkContext.defaultParallelism)
     target = f"{out_dir}/silver/hosts"
     if snapshot_date is None:
-        return write_parquet_zstd(hosts, target, rebalance=True)
+        return write_parquet_zstd(hosts, target, max_files=files)
     dated = hosts.withColumn("snapshot_date", F.lit(snapshot_date).cast("date"))
-    return write_parquet_zstd(dated, target, partition_by="snapshot_date", rebalance=True)
+    return write_parquet_zstd(dated, target, partition_by="snapshot_date", max_files=files)
 
 
 def build_from_hosts(
@@ -90,11 +110,32 @@ def adjudicate(
     layers: Layers,
     out_dir: str,
     decisions: DataFrame | None = None,
+    sample: int | None = None,
     rules: BuildRules = BuildRules(),
 ) -> DataFrame:
-    """Overlay decisions (by default those of the written rule) on the accounts."""
+    """Overlay decisions (by default those of the written rule) on the accounts.
+
+    ``sample`` limits a trial run to that many review accounts; the others
+    keep their band.
+    """
     if decisions is None:
-        decisions = rule_adjudicate(filter_band(layers.accounts, "review"), rules.adjudication)
+        review = filter_band(layers.accounts, "review")
+        if sample is not None:
+            review = random_sample(review, sample)
+        decisions = rule_adjudicate(review, rules.adjudication)
     return write_parquet_zstd(
         decision_overlay(layers.accounts, decisions), f"{out_dir}/gold/accounts_adjudicated"
     )
+
+
+def read_layers(spark: SparkSession, out_dir: str) -> Layers:
+    """The layers of an earlier build."""
+    return Layers(
+        *[
+            spark.read.parquet(f"{out_dir}/{path}")
+            for path in (
+                "silver/hosts", "silver/keyed", "silver/host_company_map", "silver/companies",
+                "gold/security_signals", "gold/accounts",
+            )
+        ]
+    )

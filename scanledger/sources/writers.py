@@ -13,19 +13,18 @@ def write_parquet_zstd(
     path: str,
     partition_by: str | None = None,
     mode: str = "overwrite",
-    rebalance: bool = False,
+    max_files: int | None = None,
 ) -> DataFrame:
     """Write a ZSTD Parquet table and return it as read back.
 
-    ``rebalance`` evens out the files first, for a table much smaller than the
-    input it was computed from: the raw export shrinks about 200-fold, so one
-    file per input split would leave very many tiny ones.
+    ``max_files`` lets a task take several input splits, without a shuffle,
+    for a table much smaller than the input it was computed from.
 
     Reading back cuts the lineage: a lost executor costs the running stage,
     not the whole chain. With a partition column only the partitions present
     in ``table`` are replaced.
     """
-    rows = table.hint("rebalance") if rebalance else table
+    rows = table if max_files is None else table.coalesce(max_files)
     writer = rows.write.mode(mode).option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
@@ -45,7 +44,9 @@ def write_eval_report(report: DataFrame, path: str) -> None:
 
 
 def source_manifest(
-    spark: SparkSession, path: str, average_record_bytes: int = config.AVERAGE_RECORD_BYTES
+    spark: SparkSession,
+    path: str | list[str],
+    average_record_bytes: int = config.AVERAGE_RECORD_BYTES,
 ) -> DataFrame:
     """Identity of the source files; contents are not read."""
     files = spark.read.format("binaryFile").load(path)

@@ -157,3 +157,18 @@ def test_dated_snapshots_replace_only_their_partition(spark, tmp_path):
     for day in ("2024-01-01", "2024-01-02", "2024-01-02"):
         table = build.ingest(spark, str(raw), out, snapshot_date=day)
     assert rows_of(table.groupBy("snapshot_date").count(), "count") == [(2,), (2,)]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from scanledger.__main__ import main
+
+    raw = write_lines(tmp_path / "raw.json", *[dict(RECORD, ip_str=f"10.0.0.{n}") for n in range(9)])
+    out = str(tmp_path / "out")
+    main(["build", "--raw", str(raw), "--out", out])
+    main(["accounts", "--out", out, "--country", "de"])
+    assert "firm.de" in capsys.readouterr().out
+    main(["adjudicate", "--out", out, "--sample", "3"])
+    main(["account", "--out", out, "--key", "firm.de"])
+    main(["report", "--out", out])
+    printed = capsys.readouterr().out
+    assert "firm.de" in printed and "raw_records_vs_hosts" in printed
