@@ -83,10 +83,12 @@ def get_contact(
             F.lit("no enrichment data yet").alias("outcome"),
             F.lit(None).cast("string").alias("email"),
         )
-    wanted = contacts.join(keys.select("company_key").distinct(), "company_key", "left_semi")
-    first = wanted.groupBy("company_key").agg(
-        F.min_by(F.struct("contact"), order_column)["contact"].alias("contact")
-    ).withColumn("_listed", F.lit(True))
+    # Reduced before the join, so a company with many records arrives as one row.
+    first = (
+        contacts.groupBy("company_key")
+        .agg(F.min_by(F.struct("contact"), order_column)["contact"].alias("contact"))
+        .withColumn("_listed", F.lit(True))
+    )
     return keys.join(first, "company_key", "left").select(
         "company_key",
         F.when(F.col("_listed").isNull(), "not in the enriched set")
