@@ -75,7 +75,8 @@ DOTTED_IP_PATTERN = r"^([0-9]{1,3}\.){4}"
 CUSTOMER_MARKER_PATTERN = r"\.(static|dynamic|cust|customer|pool|dsl|dial|dhcp)\."
 
 RESERVED_ZONE_SUFFIX = ".arpa"
-ORG_TRAILING_NOISE_PATTERN = r"[\t\n\f\r .,]+\z"
+# Characters removed from the end of a lower-cased organisation name.
+ORG_TRAILING_NOISE = "\t\n\f\r .,"
 RECENT_CVE_PATTERN = "CVE-202[5-9]-"
 
 RISKY_PORTS = {
@@ -150,6 +151,10 @@ DISTINCT_COLUMNS = ("country_code", "org", "isp", "asn", "product", "port")
 # ---------------------------------------------------------------------------
 
 
+# Characters that trimming removes: the Unicode space separators.
+UNICODE_SPACES = "".join(map(chr, (0x20, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)))
+
+
 @dataclass(frozen=True)
 class ResolveRules:
     """Heuristics that turn one observation into a company key."""

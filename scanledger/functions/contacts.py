@@ -9,6 +9,35 @@ from scanledger import config
 from scanledger.functions.common import contains_any
 
 
+# Search replies: addresses at the top, or below ``data`` with the organisation.
+FLAT_REPLY = """emails ARRAY<STRUCT<email: STRING, position: STRING, confidence: DOUBLE,
+    smtp_status_percentage: DOUBLE>>"""
+NESTED_REPLY = """data STRUCT<organization: STRING, emails: ARRAY<STRUCT<value: STRING,
+    position: STRING, confidence: DOUBLE>>>"""
+
+
+def flat_reply_emails(reply: Column) -> Column:
+    """Address structs of a reply text; NULL for an error reply."""
+    return F.from_json(reply, FLAT_REPLY)["emails"]
+
+
+def nested_reply_emails(reply: Column) -> Column:
+    """Address structs of a nested reply text, in the shape of the flat one."""
+    return F.transform(
+        F.from_json(reply, NESTED_REPLY)["data"]["emails"],
+        lambda e: F.struct(
+            e["value"].alias("email"),
+            e["position"].alias("position"),
+            e["confidence"].alias("confidence"),
+            F.lit(None).cast("double").alias("smtp_status_percentage"),
+        ),
+    )
+
+
+def reply_organization(reply: Column) -> Column:
+    return F.from_json(reply, NESTED_REPLY)["data"]["organization"]
+
+
 def contact_rank(confidence: Column, smtp_status: Column | None = None) -> Column:
     """Confidence, else the SMTP figure, else 0."""
     known = [confidence] if smtp_status is None else [confidence, smtp_status]

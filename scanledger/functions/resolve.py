@@ -21,7 +21,8 @@ def candidate_domain(domains: Column, rules: ResolveRules = ResolveRules()) -> C
         return (
             ~name.isin(*rules.denied_domains)
             & ~name.endswith(rules.reserved_suffix)
-            & F.regexp_replace(name, r"\.\z", "").contains(".")
+            # A dot before the last character: a trailing dot alone does not count.
+            & F.instr(name, ".").between(F.lit(1), F.length(name) - 1)
         )
 
     return F.when(F.size(domains) > 0, F.get(F.filter(domains, usable), F.lit(0)))
@@ -51,21 +52,29 @@ def generic_isp_flag(org: Column, rules: ResolveRules = ResolveRules()) -> Colum
     return contains_any(F.coalesce(F.lower(org), F.lit("")), rules.generic_isp_keywords)
 
 
-def resolution_tier(
-    candidate: Column, org: Column, dynamic: Column, hyperscaler: Column, generic: Column
-) -> Column:
-    """``domain``, ``org`` or ``unresolved``; an unknown PTR flag rules out ``domain``."""
+def domain_allowed(dynamic: Column, hyperscaler: Column) -> Column:
+    """The domain may name the company; unknown when the PTR flag is."""
+    return ~dynamic & ~hyperscaler
+
+
+def org_allowed(org: Column, hyperscaler: Column, generic: Column) -> Column:
+    """The organisation may name the company."""
+    return org.isNotNull() & ~hyperscaler & ~generic
+
+
+def resolution_tier(candidate: Column, by_domain: Column, by_org: Column) -> Column:
+    """``domain``, ``org`` or ``unresolved``; an unknown condition does not hold."""
     return (
-        F.when(candidate.isNotNull() & ~dynamic & ~hyperscaler, "domain")
-        .when(org.isNotNull() & ~hyperscaler & ~generic, "org")
+        F.when(candidate.isNotNull() & by_domain, "domain")
+        .when(by_org, "org")
         .otherwise("unresolved")
     )
 
 
 def org_key(org: Column) -> Column:
     """Lower-cased name without surrounding spaces and trailing punctuation."""
-    trimmed = F.regexp_replace(org, r"^\p{Zs}+|\p{Zs}+\z", "")
-    return F.regexp_replace(F.lower(trimmed), config.ORG_TRAILING_NOISE_PATTERN, "")
+    trimmed = F.trim(org, F.lit(config.UNICODE_SPACES))
+    return F.rtrim(F.lower(trimmed), F.lit(config.ORG_TRAILING_NOISE))
 
 
 def company_key(tier: Column, candidate: Column, org: Column) -> Column:

@@ -17,15 +17,16 @@ RESOLVED_TIERS = ("domain", "org")
 def resolve_hosts(hosts: DataFrame, rules: ResolveRules = ResolveRules()) -> DataFrame:
     """Add the resolution flags, the tier and the company key to every host row.
 
-    Narrow: three stacked projections, no shuffle. Each stage names what the
-    next one uses several times, so it is computed once per row.
+    Narrow: stacked projections, no shuffle. Each stage names what the next
+    one uses several times, so it is computed once per row. The keyword and
+    pattern flags come before the domain choice, whose array filter is
+    interpreted and would take them out of the generated code.
     """
     c = F.col
     flagged = (
         hosts.withColumn("_carrier", fn.carrier_text(c("org"), c("isp")))
         .withColumns(
             {
-                "candidate_domain": fn.candidate_domain(c("domains"), rules),
                 "is_dynamic_ptr": fn.dynamic_ptr_flag(c("hostnames")),
                 "is_hyperscaler_org": contains_any(c("_carrier"), rules.hyperscaler_keywords),
                 "is_generic_isp_org": fn.generic_isp_flag(c("org"), rules),
@@ -33,13 +34,19 @@ def resolve_hosts(hosts: DataFrame, rules: ResolveRules = ResolveRules()) -> Dat
         )
         .drop("_carrier")
     )
-    tiered = flagged.withColumn(
-        "resolution_tier",
-        fn.resolution_tier(
-            c("candidate_domain"), c("org"), c("is_dynamic_ptr"),
-            c("is_hyperscaler_org"), c("is_generic_isp_org"),
-        ),
+    eligible = flagged.withColumns(
+        {
+            "candidate_domain": fn.candidate_domain(c("domains"), rules),
+            "_by_domain": fn.domain_allowed(c("is_dynamic_ptr"), c("is_hyperscaler_org")),
+            "_by_org": fn.org_allowed(
+                c("org"), c("is_hyperscaler_org"), c("is_generic_isp_org")
+            ),
+        }
     )
+    tiered = eligible.withColumn(
+        "resolution_tier",
+        fn.resolution_tier(c("candidate_domain"), c("_by_domain"), c("_by_org")),
+    ).drop("_by_domain", "_by_org")
     return tiered.withColumn(
         "company_key", fn.company_key(c("resolution_tier"), c("candidate_domain"), c("org"))
     )

@@ -923,6 +923,58 @@ def _(i: Inputs) -> DataFrame:
     )
 
 
+_REPLY_COLUMNS = "place, company_key, email, position, confidence, smtp_status_percentage"
+
+
+@query("search_replies", over("hits", select=f"""
+    SELECT place, email, CASE WHEN place % 2 = 1 THEN company_key END AS organization,
+        CASE WHEN place % 2 = 0 THEN 2 ELSE 1 END AS found
+    FROM (SELECT {_REPLY_COLUMNS}, 0 AS entry_no FROM hits
+        UNION ALL SELECT place, company_key, concat('info@', company_key), 'Buyer', 55, NULL, 1
+        FROM hits WHERE place % 2 = 0)
+    QUALIFY row_number() OVER (PARTITION BY place
+        ORDER BY {_SECURITY.format("position")} DESC, {_RANK.format("")} DESC, entry_no) = 1"""))
+def _(i: Inputs) -> DataFrame:
+    # Flat replies of two addresses and nested replies of one, as JSON text.
+    flat = F.to_json(
+        F.struct(
+            F.array(
+                F.struct("email", "position", "confidence", "smtp_status_percentage"),
+                F.struct(
+                    F.concat(F.lit("info@"), "company_key").alias("email"),
+                    F.lit("Buyer").alias("position"), F.lit(55).alias("confidence"),
+                    F.lit(None).cast("bigint").alias("smtp_status_percentage"),
+                ),
+            ).alias("emails")
+        )
+    )
+    nested = F.to_json(
+        F.struct(
+            F.struct(
+                F.col("company_key").alias("organization"),
+                F.array(
+                    F.struct(F.col("email").alias("value"), "position", "confidence")
+                ).alias("emails"),
+            ).alias("data")
+        )
+    )
+    is_flat = F.col("place") % 2 == 0
+    replies = i.hits.select("place", F.when(is_flat, flat).otherwise(nested).alias("reply"))
+    reply = F.col("reply")
+    return (
+        replies.withColumn(
+            "emails",
+            F.coalesce(contact_fn.flat_reply_emails(reply), contact_fn.nested_reply_emails(reply)),
+        )
+        .withColumn("best", contact_fn.pick_best_contact(F.col("emails")))
+        .select(
+            "place", "best.email",
+            contact_fn.reply_organization(reply).alias("organization"),
+            F.size("emails").alias("found"),
+        )
+    )
+
+
 @query("contact_report", over("accounts", "hits", select=f"""
     SELECT company_key, contact_score, primary_country_code AS country, b.email, b.position,
         coalesce(b.raw_email_count, 0) AS raw_email_count
