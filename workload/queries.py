@@ -121,7 +121,12 @@ def _(i: Inputs) -> DataFrame:
     i.table("events").select("props").write.text(folder)
     exact = writers.exact_row_count(i.spark, folder).withColumn("format", F.lit("json_lines"))
     summary = writers.manifest_summary(writers.source_manifest(i.spark, folder))
-    return summary.join(exact, "format")
+    figures = ("size_bytes", "estimated_row_count", "row_count")
+    return (
+        summary.unionByName(exact, allowMissingColumns=True)
+        .groupBy("format")
+        .agg(*[F.max(f).alias(f) for f in figures])
+    )
 
 
 @query("scan_parquet", "SELECT event_id, ts, event_type FROM events")
