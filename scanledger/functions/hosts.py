@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scanledger import config
+from scanledger import config, schemas
 
 
 def parse_ts(text: Column) -> Column:
@@ -29,22 +29,31 @@ def tag_flags(tags: Column) -> list[Column]:
 
 
 def vulns_typed(vulns: Column) -> Column:
-    """Cast the text leaves of the raw CVE map."""
-    return F.transform_values(
-        vulns,
-        lambda _, v: F.when(
-            v.isNotNull(),
+    """CVE map with typed entries from a map of JSON texts.
+
+    Values that do not fit become NULL one by one; a NULL entry stays NULL.
+    """
+
+    def cast_leaves(entry: Column) -> Column:
+        def leaf(name: str, to: str) -> Column:
+            return entry[name].try_cast(to).alias(name)
+
+        return F.when(
+            entry.isNotNull(),
             F.struct(
-                v["cvss"].try_cast("double").alias("cvss"),
-                v["cvss_version"].try_cast("double").alias("cvss_version"),
-                v["cvss_v2"].try_cast("double").alias("cvss_v2"),
-                v["summary"].alias("summary"),
-                v["verified"].try_cast("boolean").alias("verified"),
-                v["epss"].try_cast("double").alias("epss"),
-                v["ranking_epss"].try_cast("double").alias("ranking_epss"),
+                leaf("cvss", "double"),
+                leaf("cvss_version", "double"),
+                leaf("cvss_v2", "double"),
+                entry["summary"].alias("summary"),
+                leaf("verified", "boolean"),
+                leaf("epss", "double"),
+                leaf("ranking_epss", "double"),
             ),
-        ),
-    )
+        )
+
+    # Parsed in a pass of its own, so that each entry is read once.
+    parsed = F.transform_values(vulns, lambda _, text: F.from_json(text, schemas.VULN_ENTRY))
+    return F.transform_values(parsed, lambda _, entry: cast_leaves(entry))
 
 
 def cve_features(vulns: Column, recent_pattern: str = config.RECENT_CVE_PATTERN) -> dict[str, Column]:

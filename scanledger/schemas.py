@@ -2,7 +2,8 @@
 
 Raw numeric and boolean leaves are read as text and cast afterwards: a typed
 JSON leaf turns a quoted "443" or an 80.7 in an integer field into NULL, while
-the analytics need them coerced.
+the analytics need them coerced. The entries of the CVE map are read as JSON
+text for the same reason: one malformed entry would void the whole map.
 """
 
 RAW_RECORD = """
@@ -12,15 +13,18 @@ RAW_RECORD = """
                     region_code: STRING, latitude: STRING, longitude: STRING>,
     org STRING, isp STRING, asn STRING, os STRING, product STRING, devicetype STRING,
     tags ARRAY<STRING>, cpe23 ARRAY<STRING>,
-    vulns MAP<STRING, STRUCT<cvss: STRING, cvss_version: STRING, cvss_v2: STRING,
-                             summary: STRING, verified: STRING, epss: STRING,
-                             ranking_epss: STRING>>,
+    vulns MAP<STRING, STRING>,
     ssl STRUCT<jarm: STRING>,
     http STRUCT<status: STRING, server: STRING, title: STRING, host: STRING>,
     _shodan STRUCT<module: STRING, region: STRING, ptr: STRING>,
     screenshot STRUCT<labels: ARRAY<STRING>, text: STRING>
 """
 
+VULN_ENTRY = """
+    cvss STRING, cvss_version STRING, cvss_v2 STRING, summary STRING, verified STRING,
+    epss STRING, ranking_epss STRING
+"""
+
 HOST_COLUMNS = (
     "ip_str", "port", "transport", "ts", "hostnames", "domains",
     "country_code", "country_name", "city", "latitude", "longitude",

@@ -45,6 +45,21 @@ def test_flat_record(spark, tmp_path):
     assert str(row.ts) == "2024-01-01 00:00:07.179575"
 
 
+def test_a_malformed_cve_entry_does_not_void_the_others(spark, tmp_path):
+    vulns = {
+        "CVE-1": {"cvss": "7.5", "verified": "false", "summary": "a \"b\""}, "CVE-2": "bad",
+        "CVE-3": None, "CVE-4": {"cvss": "high", "epss": 1}, "CVE-5": [1],
+    }
+    path = write_lines(tmp_path / "a.json", {"vulns": vulns}, {"vulns": []}, {"vulns": None})
+    first, second, third = [r.vulns for r in hosts_of(spark, path).collect()]
+    assert second is None and third is None
+    assert {k: v and (v.cvss, v.verified, v.epss) for k, v in first.items()} == {
+        "CVE-1": (7.5, False, None), "CVE-2": (None, None, None), "CVE-3": None,
+        "CVE-4": (None, None, 1.0), "CVE-5": (None, None, None),
+    }
+    assert first["CVE-1"].summary == 'a "b"'
+
+
 def test_types_of_the_hosts_table(spark, tmp_path):
     types = dict(hosts_of(spark, write_lines(tmp_path / "a.json", RECORD)).dtypes)
     assert types["port"] == types["http_status"] == "bigint"
