@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scanledger.llm import sql
 from scanledger.llm.exact import exact_groups
+from scanledger.llm.line_dedup import drop_repeated_lines
+from scanledger.llm.simhash import near_groups
 from scanledger.llm.url_rules import judge_urls
 
 
@@ -15,6 +18,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_table(spark, sf_dir, "documents"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"))
 
@@ -24,10 +37,13 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_line_dedup": op5_line_dedup,
     "op8_url_filters": op8_url_filters,
     "op9_exact_dedup": op9_exact_dedup,
 }
 ORACLES: dict[str, str] = {
+    "op5_line_dedup": sql.LINE_DEDUP,
     "op8_url_filters": sql.URL_FILTERS,
     "op9_exact_dedup": sql.EXACT_DEDUP,
 }

@@ -11,6 +11,25 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM hashed WINDOW same AS (PARTITION BY body)
 """
 
+LINE_DEDUP = """
+WITH lines AS (
+  SELECT doc_id, row, unnest(string_split(body, chr(10))) AS line,
+         generate_subscripts(string_split(body, chr(10)), 1) AS place
+  FROM (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS body FROM documents)),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+  FROM lines),
+repeated AS (
+  SELECT line_key, max(doc_id) AS keeper FROM keyed WHERE length(line_key) >= 20
+  GROUP BY line_key HAVING count(DISTINCT row) >= 3)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
+       count(*) FILTER (WHERE keeper IS NOT NULL AND doc_id <> keeper) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place)
+                         FILTER (WHERE keeper IS NULL OR doc_id = keeper), '')) AS kept_sha256
+FROM keyed LEFT JOIN repeated USING (line_key) GROUP BY row
+"""
+
 
 def _word_test(words: tuple[str, ...]) -> str:
     joined = "|".join(w.replace("-", "[-]") for w in words)
