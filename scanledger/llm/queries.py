@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from scanledger.llm import sql
 from scanledger.llm.exact import exact_groups
 from scanledger.llm.line_dedup import drop_repeated_lines
+from scanledger.llm.mixing import mix_sources
+from scanledger.llm.quality_rules import COUNTS, fit_rules, judge_quality
 from scanledger.llm.simhash import near_groups
 from scanledger.llm.url_rules import judge_urls
 
@@ -18,6 +20,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = fit_rules(docs, _table(spark, sf_dir, "labels"))
+    return judge_quality(docs, rules).select(
+        "doc_id", *(f"stats.{c}" for c in COUNTS), "base_failed", "kept", "rule"
+    )
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_table(spark, sf_dir, "documents"))
 
@@ -37,12 +51,15 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_source_mixing": op2_source_mixing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op8_url_filters": op8_url_filters,
     "op9_exact_dedup": op9_exact_dedup,
 }
 ORACLES: dict[str, str] = {
+    "op2_source_mixing": sql.SOURCE_MIXING,
     "op5_line_dedup": sql.LINE_DEDUP,
     "op8_url_filters": sql.URL_FILTERS,
     "op9_exact_dedup": sql.EXACT_DEDUP,

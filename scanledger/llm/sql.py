@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from scanledger.llm.mixing import EVENNESS, SEED
 from scanledger.llm.url_rules import ALLOWED_HOST_WORDS, BLOCKED_HOST_WORDS
 
 EXACT_DEDUP = """
@@ -30,6 +31,31 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
 FROM keyed LEFT JOIN repeated USING (line_key) GROUP BY row
 """
 
+SOURCE_MIXING = f"""
+WITH RECURSIVE sizes AS (
+  SELECT source, sum(length(coalesce(text, '')))::BIGINT AS chars FROM documents GROUP BY source),
+aimed AS (SELECT *, pow(chars::DOUBLE, {EVENNESS}) AS weight FROM sizes),
+rates AS (
+  SELECT source, CASE WHEN chars = 0 THEN 1.0
+    ELSE weight / (SELECT sum(weight) FROM aimed) * (SELECT sum(chars) FROM aimed)::DOUBLE / chars END AS rate
+  FROM aimed),
+bounds(source, rate, k, p, cdf) AS (
+  SELECT source, rate, 0, exp(-rate), exp(-rate) FROM rates
+  UNION ALL
+  SELECT source, rate, k + 1, p * rate / (k + 1), cdf + p * rate / (k + 1) FROM bounds
+  WHERE k < ceil(rate + 10 * sqrt(rate) + 25)),
+drawn AS (
+  SELECT *, ('0x' || substr(md5('{SEED}|1|' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT
+            / 4503599627370496.0::DOUBLE AS number
+  FROM documents),
+listed AS (SELECT source, list(cdf) AS sums FROM bounds GROUP BY source),
+counted AS (
+  SELECT d.*, len(list_filter(sums, lambda x: x <= number))::INTEGER AS times
+  FROM drawn d JOIN listed r ON d.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, text, lang, source, n_chars, unnest(generate_series(1, times))::INTEGER AS copy
+FROM counted WHERE times > 0
+"""
+
 
 def _word_test(words: tuple[str, ...]) -> str:
     joined = "|".join(w.replace("-", "[-]") for w in words)
