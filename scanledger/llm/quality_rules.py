@@ -81,7 +81,7 @@ class Covering:
     max_rules: int = 16
     max_conditions: int = 4
     min_precision: float = 0.9
-    min_covered: int = 3
+    min_covered: int = 1
     prune_share: int = 3  # every so many documents prune, the others grow
 
 

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanledger.llm import sql
+from scanledger.llm.bpe import encode_and_decode
 from scanledger.llm.exact import exact_groups
 from scanledger.llm.line_dedup import drop_repeated_lines
 from scanledger.llm.mixing import mix_sources
 from scanledger.llm.quality_rules import COUNTS, fit_rules, judge_quality
 from scanledger.llm.simhash import near_groups
+from scanledger.llm.token_files import token_files
 from scanledger.llm.url_rules import judge_urls
 
 
@@ -42,6 +44,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(_table(spark, sf_dir, "documents"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"))
 
@@ -50,13 +56,21 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    digests = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return encode_and_decode(docs, with_ids=False).select("doc_id", *(f"encoded.{c}" for c in digests))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mixing": op2_source_mixing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op7_token_files": op7_token_files,
     "op8_url_filters": op8_url_filters,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {
     "op2_source_mixing": sql.SOURCE_MIXING,
