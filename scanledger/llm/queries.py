@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from scanledger.llm import sql
 from scanledger.llm.bpe import encode_and_decode
 from scanledger.llm.exact import exact_groups
+from scanledger.llm.language import fit_languages, predict_languages
 from scanledger.llm.line_dedup import drop_repeated_lines
 from scanledger.llm.mixing import mix_sources
 from scanledger.llm.quality_rules import COUNTS, fit_rules, judge_quality
@@ -44,6 +45,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return predict_languages(docs, fit_languages(docs))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"))
 
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op6_language_id": op6_language_id,
     "op7_token_files": op7_token_files,
     "op8_url_filters": op8_url_filters,
     "op9_exact_dedup": op9_exact_dedup,
