@@ -14,6 +14,7 @@ from scanledger.llm.language import fit_languages, predict_languages
 from scanledger.llm.line_dedup import drop_repeated_lines
 from scanledger.llm.mixing import mix_sources
 from scanledger.llm.quality_rules import COUNTS, fit_rules, judge_quality
+from scanledger.llm.repeats import remove_repeats
 from scanledger.llm.simhash import near_groups
 from scanledger.llm.token_files import token_files
 from scanledger.llm.url_rules import judge_urls
@@ -39,6 +40,11 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(_table(spark, sf_dir, "documents"), with_bytes=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mixing": op2_source_mixing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_token_files": op7_token_files,
