@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger.llm.common import batches
+from scanledger.llm.common import batches, schema_of
 from scanledger.llm.pretokens import WordTable, gather, split_words
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -222,8 +222,8 @@ def _pack_texts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = part.column("text").to_pylist()
         columns = {name: part.column(name) for name in part.schema.names if name != "text"}
         packed = [None if t is None else compress(t.encode("utf-8", "surrogatepass")) for t in texts]
-        columns["packed"] = pa.array(packed, pa.binary())
-        columns["text_key"] = pa.array([text_key(t or "") for t in texts], pa.binary())
+        columns["__packed"] = pa.array(packed, pa.binary())
+        columns["__text_key"] = pa.array([text_key(t or "") for t in texts], pa.binary())
         yield pa.RecordBatch.from_pydict(columns)
 
 
@@ -273,12 +273,12 @@ def _assemble(frequent: Broadcast, tokens: Broadcast, with_ids: bool):
         expand = zstandard.ZstdDecompressor().decompress
         for part in parts:
             found = []
-            placed = part.column("placed")
-            for k, packed in enumerate(part.column("packed").to_pylist()):
+            placed = part.column("__placed")
+            for k, packed in enumerate(part.column("__packed").to_pylist()):
                 text = "" if packed is None else expand(packed).decode("utf-8", "surrogatepass")
                 found.append(work.assemble(text, placed[k].as_py()))
             fields = [pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), _encoded_type, strict=True)]
-            columns = {n: part.column(n) for n in part.schema.names if n not in ("placed", "packed")}
+            columns = {n: part.column(n) for n in part.schema.names if n not in ("__placed", "__packed")}
             if found:
                 columns["encoded"] = pa.StructArray.from_arrays(fields, fields=list(_encoded_type))
                 yield pa.RecordBatch.from_pydict(columns)
@@ -298,10 +298,10 @@ def encode_and_decode(
     (of the decimal ids joined by commas) and ``decoded_sha256`` (of the bytes
     decoded from the ids), the digests as lower-case hex. Special tokens in a
     text are ordinary text; null texts are empty and have no ids. Rows that
-    repeat stay, an empty table gives no rows, and earlier columns of the names
-    used here are replaced.
+    repeat stay, an empty table gives no rows, and an earlier column ``encoded``
+    is replaced.
     """
-    docs = docs.drop("encoded", "packed", "text_key", "placed")
+    docs = docs.drop("encoded")
     spark = docs.sparkSession
     words = broadcast_words(spark, frequent_words(docs, vocabulary, frequent))
     ranks = read_ranks(vocabulary)
@@ -310,9 +310,10 @@ def encode_and_decode(
         table[rank] = token
     tokens = spark.sparkContext.broadcast(table)
 
-    others = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
-    packed = docs.mapInArrow(_pack_texts, ", ".join([*others, "packed binary", "text_key binary"]))
-    rare = rare_ids(docs, words, vocabulary).withColumnRenamed("text_key", "rare_key")
-    joined = packed.join(rare, packed["text_key"] == rare["rare_key"], "left").drop("rare_key", "text_key")
+    packed = docs.mapInArrow(_pack_texts, schema_of(docs, "__packed binary, __text_key binary", ("text",)))
+    rare = rare_ids(docs, words, vocabulary).select(
+        F.col("text_key").alias("__rare_key"), F.col("placed").alias("__placed")
+    )
+    joined = packed.join(rare, F.col("__text_key") == F.col("__rare_key"), "left").drop("__rare_key", "__text_key")
     kind = "struct<n_tokens: bigint, ids: array<int>, ids_sha256: string, decoded_sha256: string>"
-    return joined.mapInArrow(_assemble(words, tokens, with_ids), ", ".join([*others, f"encoded {kind}"]))
+    return joined.mapInArrow(_assemble(words, tokens, with_ids), schema_of(docs, f"encoded {kind}", ("text",)))

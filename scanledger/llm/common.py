@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scanledger.session import scratch_dir
 
@@ -26,6 +27,21 @@ def stored(table: DataFrame, purpose: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(folder)
 
 
+def schema_of(docs: DataFrame, more: str, without: tuple[str, ...] = ()) -> T.StructType:
+    """The columns of a table, without some, and further ones given as DDL."""
+    kept = [T.StructField(f.name, f.dataType) for f in docs.schema if f.name not in without]
+    return T.StructType(kept + T.StructType.fromDDL(more).fields)
+
+
+def set_aside(
+    docs: DataFrame, names: tuple[str, ...], work: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Do work that adds columns of these names; the table's own are put back, the added ones go."""
+    held = {c: f"__own_{c}" for c in docs.columns if c.lower() in names}
+    done = work(docs.withColumnsRenamed(held))
+    return done.select(*(F.col(f"`{held.get(c, c)}`").alias(c) for c in docs.columns))
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

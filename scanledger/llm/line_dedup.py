@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger.llm.common import ASCII_SPACE, batches, stored, utf8
+from scanledger.llm.common import ASCII_SPACE, batches, schema_of, stored, utf8
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -179,10 +179,10 @@ def kept_lines(text: bytes, lost: set[bytes]) -> tuple[bytes, int, int]:
 def _drop(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
         texts = part.column("text").to_pylist()
-        lost = part.column("lost").to_pylist()
+        lost = part.column("__lost").to_pylist()
         done = [kept_lines(utf8(t), set(x or ())) for t, x in zip(texts, lost, strict=True)]
         new = [None if t is None else d[0].decode() for t, d in zip(texts, done, strict=True)]
-        columns = {name: part.column(name) for name in part.schema.names if name != "lost"}
+        columns = {name: part.column(name) for name in part.schema.names if name != "__lost"}
         columns["text"] = pa.array(new, pa.string())
         columns["n_lines"] = pa.array([d[1] for d in done], pa.int64())
         columns["n_dropped"] = pa.array([d[2] for d in done], pa.int64())
@@ -200,11 +200,10 @@ def drop_repeated_lines(
     ``min_docs`` rows lose all their lines except in the largest doc_id that
     holds them; null ids rank lowest, and rows that repeat an id are treated
     alike. Other lines stay, joined by ``\\n``. Other columns are carried on;
-    earlier columns named ``n_lines``, ``n_dropped`` or ``lost`` are replaced.
-    An empty table gives no rows.
+    earlier columns named ``n_lines`` or ``n_dropped`` are replaced. An empty
+    table gives no rows.
     """
-    docs = docs.drop("n_lines", "n_dropped", "lost")
-    lost = lost_keys(docs, bits, min_docs).withColumnRenamed("doc_id", "losing_id")
-    joined = docs.join(lost, docs["doc_id"].eqNullSafe(lost["losing_id"]), "left").drop("losing_id")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(_drop, f"{fields}, n_lines long, n_dropped long")
+    docs = docs.drop("n_lines", "n_dropped")
+    lost = lost_keys(docs, bits, min_docs).select(F.col("doc_id").alias("__losing"), F.col("lost").alias("__lost"))
+    joined = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("__losing")), "left").drop("__losing")
+    return joined.mapInArrow(_drop, schema_of(docs, "n_lines long, n_dropped long"))

@@ -46,10 +46,10 @@ def source_rates(
         given = docs.sparkSession.createDataFrame(list(weights.items()), "named string, weight double")
         named = sizes.join(given, sizes["source"].eqNullSafe(given["named"]), "left").drop("named")
         aimed = named.withColumn("weight", F.coalesce("weight", F.lit(0.0)))
-    totals = aimed.agg(F.sum("chars").alias("all_chars"), F.sum("weight").alias("all_weight"))
-    both = aimed.join(F.broadcast(totals))  # one row
-    rate = F.col("weight") / F.col("all_weight") * F.col("all_chars") * F.lit(size) / F.col("chars")
-    return both.select("source", F.when(F.col("chars") == 0, 1.0).otherwise(rate).alias("rate"))
+    total = aimed.agg(F.sum("chars").alias("chars"), F.sum("weight").alias("weight")).first()
+    share = F.col("weight") / F.lit(total.weight)
+    rate = share * F.lit(total.chars) * F.lit(size) / F.col("chars")
+    return aimed.select("source", F.when(F.col("chars") == 0, 1.0).otherwise(rate).alias("rate"))
 
 
 def cumulative(mean: Column) -> Column:
@@ -76,30 +76,31 @@ def mix_sources(
 
     Documents with drawn number 0 are left out. Rows that repeat an id are
     drawn alike; a null id draws as the text ``null``; an empty table gives no
-    rows. Earlier columns of the names used here are replaced.
+    rows. An earlier column ``copy`` is replaced.
     """
-    docs = docs.drop("copy", "rate", "salt")
+    docs = docs.drop("copy")
     rates = source_rates(docs.select("source", "text"), weights, size)
     parts = F.greatest(F.ceil(F.col("rate") / PART_MEAN), F.lit(1)).cast("int")
     rates = rates.withColumn("parts", parts).select(
-        F.col("source").alias("of_source"), "parts", cumulative(F.col("rate") / F.col("parts")).alias("sums")
+        F.col("source").alias("__source"), F.col("parts").alias("__parts"),
+        cumulative(F.col("rate") / F.col("parts")).alias("__sums"),
     )
-    rates = rates.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = docs.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    on = salted["source"].eqNullSafe(rates["of_source"]) & (salted["salt"] == rates["of_salt"])
+    rates = rates.withColumn("__salt_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = docs.withColumn("__salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    on = salted["source"].eqNullSafe(rates["__source"]) & (salted["__salt"] == rates["__salt_of"])
 
     def drawn(part: Column) -> Column:
         number = uniform(seed, part, F.col("doc_id"))
-        return F.size(F.filter("sums", lambda bound: number >= bound))
+        return F.size(F.filter("__sums", lambda bound: number >= bound))
 
-    counts = F.transform(F.sequence(F.lit(1), F.col("parts")), drawn)
+    counts = F.transform(F.sequence(F.lit(1), F.col("__parts")), drawn)
     times = F.aggregate(counts, F.lit(0), lambda a, b: a + b)
     copies = (
         salted.join(rates, on)
-        .withColumn("times", times)
-        .filter("times > 0")
-        .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+        .withColumn("__times", times)
+        .filter("__times > 0")
+        .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("copy"))
     )
     place = F.md5(F.concat_ws("|", F.lit(seed).cast("string"), "doc_id", "copy").cast("binary"))
-    dealt = copies.withColumn("place", place).repartition("place").sortWithinPartitions("place")
-    return dealt.drop("place")
+    dealt = copies.withColumn("__place", place).repartition("__place").sortWithinPartitions("__place")
+    return dealt.drop("__place")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scanledger.llm.common import UPPER, utf8
+from scanledger.llm.common import UPPER, schema_of, utf8
 
 #: Labelled documents that the list is fitted on: those with the smallest hash of their id.
 FIT_ROWS = 20_000
@@ -135,8 +135,7 @@ def _add_statistics(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def with_statistics(docs: DataFrame) -> DataFrame:
     """The documents with a struct ``stats``; an earlier column of this name is replaced."""
     docs = docs.drop("stats")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_add_statistics, f"{fields}, stats struct<{_STATS_SQL}>")
+    return docs.mapInArrow(_add_statistics, schema_of(docs, f"stats struct<{_STATS_SQL}>"))
 
 
 def base_failed() -> Column:
