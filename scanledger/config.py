@@ -71,7 +71,7 @@ GENERIC_ISP_KEYWORDS = (
 
 # First hostname looks like an address pool entry (the last one is matched in lower case).
 DASHED_IP_PATTERN = r"^(ip-)?[0-9]+(-[0-9]+){2,}"
-DOTTED_IP_PATTERN = r"^([0-9]{1,3}\.){4}"
+DOTTED_IP_PATTERN = r"^[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\."
 CUSTOMER_MARKER_PATTERN = r"\.(static|dynamic|cust|customer|pool|dsl|dial|dhcp)\."
 
 RESERVED_ZONE_SUFFIX = ".arpa"
@@ -80,10 +80,10 @@ ORG_TRAILING_NOISE = "\t\n\f\r .,"
 RECENT_CVE_PATTERN = "CVE-202[5-9]-"
 
 RISKY_PORTS = {
-    21: "ftp", 23: "telnet", 1433: "mssql", 3389: "rdp",
-    5900: "vnc", 5901: "vnc", 5902: "vnc", 5903: "vnc", 5904: "vnc", 5905: "vnc",
-    5906: "vnc", 5907: "vnc", 5908: "vnc", 5909: "vnc", 5910: "vnc",
-    6379: "redis", 9200: "elasticsearch", 9300: "elasticsearch", 27017: "mongodb",
+    23: "telnet", 21: "ftp", 1433: "mssql", 3389: "rdp",
+    5900: "vnc", 5901: "vnc", 5902: "vnc", 5903: "vnc", 5904: "vnc",
+    5905: "vnc", 5906: "vnc", 5907: "vnc", 5908: "vnc", 5909: "vnc", 5910: "vnc",
+    27017: "mongodb", 6379: "redis", 9200: "elasticsearch", 9300: "elasticsearch",
 }
 
 TARGET_COUNTRIES = ("US", "GB", "CA", "DE", "FR", "AU", "NL", "SE", "CH", "SG", "JP")
@@ -126,6 +126,10 @@ ADJUDICATION_FIELDS = (
 
 DECISION_LABELS = ("contact", "skip", "escalate")
 
+# Name parts and names that the written rule gives for carriers and hosting providers.
+CARRIER_NAME_PARTS = ("communications", "telecom")
+CARRIER_NAMES = ("comcast.net", "spectrum.com", "swisscom.ch")
+
 # Job-title substrings (lower case) that mark a security or IT contact.
 SECURITY_TITLE_KEYWORDS = ("security", "it ", "admin", "cto", "cio", "sysadmin", "devops")
 
@@ -174,9 +178,8 @@ class SignalRules:
 
     risky_ports: tuple[int, ...] = tuple(RISKY_PORTS)
     recent_cve_pattern: str = RECENT_CVE_PATTERN
-    # Observation keys with at least this many rows are joined by broadcast;
-    # at most (rows / hot_key_rows) keys can reach it, which bounds the broadcast.
-    hot_key_rows: int = 1_000_000
+    # With a year, CVE ids of that year or later are recent, and the pattern isn't used.
+    recent_cve_year: int | None = None
 
 
 @dataclass(frozen=True)
@@ -210,7 +213,10 @@ class AdjudicationRules:
     low_fit: float = 25.0
     tiny_hosts: int = 3
     corroborating_types: int = 2
-    carrier_keywords: tuple[str, ...] = ("communications", "telecom")
+    carrier_keywords: tuple[str, ...] = CARRIER_NAME_PARTS
+    carrier_names: tuple[str, ...] = CARRIER_NAMES
+    # Also counts names with a keyword of the carrier and hosting lists as a carrier's.
+    known_providers: bool = False
     # First matching rule wins; an account that matches none is skipped.
     order: tuple[str, ...] = ("escalate", "contact", "skip")
 

@@ -87,8 +87,11 @@ def signal_type_names() -> Column:
 
 def carrier_like(rules: AdjudicationRules = AdjudicationRules()) -> Column:
     """The company name reads like a telecom carrier or hosting provider."""
+    parts = rules.carrier_keywords
+    if rules.known_providers:
+        parts += config.GENERIC_ISP_KEYWORDS + config.HYPERSCALER_KEYWORDS
     name = F.lower("company_key")
-    return contains_any(name, rules.carrier_keywords)
+    return contains_any(name, parts) | name.isin(*rules.carrier_names)
 
 
 def rule_label(rules: AdjudicationRules = AdjudicationRules()) -> Column:

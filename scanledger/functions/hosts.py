@@ -56,7 +56,17 @@ def vulns_typed(vulns: Column) -> Column:
     return F.transform_values(parsed, lambda _, entry: cast_leaves(entry))
 
 
-def cve_features(vulns: Column, recent_pattern: str = config.RECENT_CVE_PATTERN) -> dict[str, Column]:
+def recent_cve(cve_id: Column, rules: config.SignalRules) -> Column:
+    """By the pattern or, if the rules name one, by the year of the id."""
+    if rules.recent_cve_year is None:
+        return cve_id.rlike(rules.recent_cve_pattern)
+    year = F.regexp_extract(cve_id, "CVE-([0-9]+)-", 1).try_cast("int")
+    return F.coalesce(year >= rules.recent_cve_year, F.lit(False))
+
+
+def cve_features(
+    vulns: Column, rules: config.SignalRules = config.SignalRules()
+) -> dict[str, Column]:
     """CVE figures of one observation, without exploding the map.
 
     Observations without CVEs (the large majority) skip the map functions.
@@ -71,17 +81,11 @@ def cve_features(vulns: Column, recent_pattern: str = config.RECENT_CVE_PATTERN)
         "row_max_cvss": F.when(some, F.array_max(F.transform(values, lambda v: v["cvss"]))),
         "row_max_epss": F.when(some, F.array_max(F.transform(values, lambda v: v["epss"]))),
         "row_has_recent_cve": F.when(
-            some, F.exists(F.map_keys(vulns), lambda k: k.rlike(recent_pattern))
+            some, F.exists(F.map_keys(vulns), lambda k: recent_cve(k, rules))
         ).otherwise(False),
     }
 
 
-def recent_cve_pattern(from_year: int) -> str:
-    """Pattern of CVE ids from ``from_year`` to the end of its decade."""
-    decade, digit = divmod(from_year, 10)
-    return f"CVE-{decade}[{digit}-9]-"
-
-
 def risky_port_flag(port: Column, ports: Iterable[int] = tuple(config.RISKY_PORTS)) -> Column:
     return port.isin(*ports)
 

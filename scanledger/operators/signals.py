@@ -34,12 +34,13 @@ _LARGEST = {
 
 
 def with_host_features(hosts: DataFrame, rules: SignalRules = SignalRules()) -> DataFrame:
-    """Add the CVE figures and the risky-port flag of each row, unless it has them."""
-    if "row_cve_count" in hosts.columns:
-        return hosts
+    """Add the CVE figures and the risky-port flag of each row, by these rules.
+
+    The roll-ups below read these columns; the keyed table has them already.
+    """
     return hosts.withColumns(
         {
-            **cve_features(F.col("vulns"), rules.recent_cve_pattern),
+            **cve_features(F.col("vulns"), rules),
             "is_risky_port": risky_port_flag(F.col("port"), rules.risky_ports),
         }
     )
@@ -74,9 +75,9 @@ def _company_figures(per_port: DataFrame) -> DataFrame:
     )
 
 
-def observation_totals(hosts: DataFrame, rules: SignalRules = SignalRules()) -> DataFrame:
+def observation_totals(featured: DataFrame) -> DataFrame:
     """One row per observation key with the figures of all its host rows."""
-    return _joinable(with_host_features(hosts, rules)).groupBy(*_OBSERVATION).agg(*_row_figures())
+    return _joinable(featured).groupBy(*_OBSERVATION).agg(*_row_figures())
 
 
 def map_copies(host_map: DataFrame) -> DataFrame:
@@ -88,10 +89,8 @@ def map_copies(host_map: DataFrame) -> DataFrame:
     )
 
 
-def host_map_join(
-    hosts: DataFrame, host_map: DataFrame, rules: SignalRules = SignalRules()
-) -> DataFrame:
-    """Hosts joined to the map on (ip NULL-safe, port, ts), in summed form.
+def host_map_join(featured: DataFrame, host_map: DataFrame) -> DataFrame:
+    """Hosts (with their features) joined to the map on (ip NULL-safe, port, ts), in summed form.
 
     The key is not unique: h host rows and m map rows of one key stand for
     h*m joined rows. Those pairs are never produced. Hosts are summed per key
@@ -99,22 +98,13 @@ def host_map_join(
     row per key and each result row carries its weight: ``rows`` pairs and
     sums multiplied by ``copies``.
 
-    Keys with very many rows may still have many companies on the map side.
-    They are few (at most rows / hot_key_rows), so they are broadcast instead
-    of meeting in one task. The other keys grow with the data and are joined
-    by a shuffle; the hint rules out a broadcast chosen from the size of the
-    well compressed files.
+    Both sides grow with the data and are joined by a sort-merge join on the
+    partitioning that the sums leave; the hint rules out a broadcast chosen
+    from the size of the well compressed files. A key with very many companies
+    has one row for each, and adaptive execution splits such a side.
     """
-    totals = observation_totals(hosts, rules)
     copies = map_copies(host_map)
-    hot = F.col("rows") >= rules.hot_key_rows
-    hot_totals = F.broadcast(totals.filter(hot))
-    hot_pairs = copies.join(hot_totals, list(_OBSERVATION))
-    # A cold key is absent from the hot ones; anti-joining first keeps the
-    # map rows of hot keys out of the shuffle.
-    cold_copies = copies.join(hot_totals.select(*_OBSERVATION), list(_OBSERVATION), "left_anti")
-    cold_pairs = cold_copies.join(totals.filter(~hot).hint("merge"), list(_OBSERVATION))
-    pairs = cold_pairs.unionByName(hot_pairs)
+    pairs = copies.join(observation_totals(featured).hint("merge"), list(_OBSERVATION))
     weight = F.col("copies")
     return pairs.select(
         *COMPANY_KEY,
@@ -155,12 +145,10 @@ def _with_evidence(figures: DataFrame, evidence: DataFrame) -> DataFrame:
     )
 
 
-def signals_rollup(
-    hosts: DataFrame, host_map: DataFrame, rules: SignalRules = SignalRules()
-) -> DataFrame:
+def signals_rollup(featured: DataFrame, host_map: DataFrame) -> DataFrame:
     """Security signals through the hosts/map join (pairs counted, see above)."""
     per_port = (
-        host_map_join(hosts, host_map, rules)
+        host_map_join(featured, host_map)
         .groupBy(*COMPANY_KEY, "port")
         .agg(
             F.sum("rows").alias("rows"),
@@ -168,18 +156,16 @@ def signals_rollup(
             *[F.max(name).alias(name) for name in _LARGEST],
         )
     )
-    return _with_evidence(_company_figures(per_port), screenshot_evidence(hosts, host_map))
+    return _with_evidence(_company_figures(per_port), screenshot_evidence(featured, host_map))
 
 
-def signals_rollup_direct(keyed: DataFrame, rules: SignalRules = SignalRules()) -> DataFrame:
+def signals_rollup_direct(keyed: DataFrame) -> DataFrame:
     """Security signals from the resolved rows themselves, without a join.
 
     Equal to ``signals_rollup`` when (ip, port, ts) is unique and port and ts
     are never NULL. Duplicates count once per row here.
     """
-    rows = with_host_features(
-        keyed.filter(F.col("company_key").isNotNull()), rules
-    )
+    rows = keyed.filter(F.col("company_key").isNotNull())
     per_port = rows.groupBy(*COMPANY_KEY, "port").agg(*_row_figures())
     evidence = (
         keyed.filter(F.col("screenshot_text").isNotNull() & F.col("company_key").isNotNull())

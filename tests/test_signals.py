@@ -1,19 +1,19 @@
-"""Signals: NULL rules, duplicate observations and the split of hot keys."""
+"""Signals: NULL rules, duplicate observations and the plan of their join."""
 
 import datetime as dt
+import re
 from collections import defaultdict
 
-import pytest
 from pyspark.sql import functions as F
 
 from scanledger.config import SignalRules
-from scanledger.functions.hosts import cve_features, recent_cve_pattern, tag_flags
+from scanledger.functions.hosts import cve_features, recent_cve, tag_flags
 from scanledger.operators import resolve, signals
 from tests.helpers import host, hosts_table, plan_of, rows_of
 
 
 def layers(spark, rows):
-    hosts = hosts_table(spark, rows)
+    hosts = signals.with_host_features(hosts_table(spark, rows))
     keyed = resolve.resolve_hosts(hosts)
     return hosts, keyed, resolve.host_company_map(keyed)
 
@@ -45,8 +45,24 @@ def test_cve_features(spark):
         assert tuple(table.select(*cve_features(F.col("vulns")).values()).first()) == expected
 
 
-def test_recent_pattern():
-    assert recent_cve_pattern(2025) == "CVE-202[5-9]-"
+def test_recent_by_pattern_and_by_year(spark):
+    ids = ["CVE-2024-1", "CVE-2025-1", "CVE-2029-1", "CVE-2030-1", "CVE-2112-99999", "GHSA-1", "CVE--1"]
+    table = spark.createDataFrame([(x,) for x in ids], "id STRING")
+
+    def chosen(**rules):
+        return [r[0] for r in table.filter(recent_cve(F.col("id"), SignalRules(**rules))).collect()]
+
+    assert chosen() == ids[1:3]
+    assert chosen(recent_cve_year=2025) == ids[1:5]
+    assert chosen(recent_cve_year=2030) == ids[3:5]
+
+
+def test_features_follow_the_given_rules(spark):
+    table = hosts_table(spark, [host(port=8443, vulns={"CVE-2019-1": (1.0, None, None)})])
+    rules = SignalRules(risky_ports=(8443,), recent_cve_year=2019)
+    for featured in (table, signals.with_host_features(table)):
+        row = signals.with_host_features(featured, rules).first()
+        assert row.is_risky_port is True and row.row_has_recent_cve is True
 
 
 def test_tag_flags_null_rules(spark):
@@ -89,8 +105,7 @@ def expected_pairs(rows):
     return {k: tuple(v) for k, v in figures.items()}
 
 
-@pytest.mark.parametrize("hot_key_rows", [1, 40, 1_000_000])
-def test_duplicate_observations_count_as_pairs(spark, hot_key_rows):
+def test_duplicate_observations_count_as_pairs(spark):
     """A third of the rows share one key, some of them unresolved or of other companies."""
     same = {"ip_str": None, "ts": dt.datetime(2024, 5, 5)}
     rows = [
@@ -98,7 +113,7 @@ def test_duplicate_observations_count_as_pairs(spark, hot_key_rows):
         for n in range(60)
     ] + [host(n, org=f"Firm {n % 5}") for n in range(60, 180)]
     hosts, _, host_map = layers(spark, rows)
-    rolled = signals.signals_rollup(hosts, host_map, SignalRules(hot_key_rows=hot_key_rows))
+    rolled = signals.signals_rollup(hosts, host_map)
     got = {r.company_key: (r.host_count, r.c2_count) for r in rolled.collect()}
     assert got == expected_pairs(rows)
 
@@ -109,6 +124,11 @@ def test_direct_route_plans_no_wide_join(spark):
     assert len(joins) == 1 and "LeftOuter" in joins[0]
 
 
-def test_cold_keys_are_never_broadcast(spark):
+def test_observation_join_is_one_merge_join(spark):
+    """Two shuffles by the key for the figures, two for the screenshot texts."""
     hosts, _, host_map = layers(spark, mixed_rows())
-    assert "SortMergeJoin [_no_ip" in plan_of(signals.host_map_join(hosts, host_map))
+    plan = plan_of(signals.signals_rollup(hosts, host_map))
+    by_key = re.findall(r"Exchange hashpartitioning\(_no_ip#\d+, _ip#\d+, port#\d+L?, ts#\d+, \d+\)", plan)
+    assert "SortMergeJoin [_no_ip" in plan and len(by_key) <= 4
+    join = plan_of(signals.host_map_join(hosts, host_map))
+    assert "BroadcastExchange" not in join

@@ -338,11 +338,12 @@ def _(i: Inputs) -> DataFrame:
 
 @query("recency_year_param", over("hosts", select="""
     SELECT event_id, copy_no,
-        coalesce(len([c FOR c IN map_keys(vulns) IF c >= 'CVE-2023' AND c < 'CVE-2030']), 0) > 0
+        coalesce(len([c FOR c IN map_keys(vulns) IF CAST(split_part(c, '-', 2) AS INTEGER) >= 2023]), 0) > 0
             AS since_2023
     FROM hosts"""))
 def _(i: Inputs) -> DataFrame:
-    features = host_fn.cve_features(F.col("vulns"), host_fn.recent_cve_pattern(2023))
+    rules = config.SignalRules(recent_cve_year=2023)
+    features = host_fn.cve_features(F.col("vulns"), rules)
     return i.hosts.select(*ROW, features["row_has_recent_cve"].alias("since_2023"))
 
 
@@ -463,7 +464,7 @@ def _(i: Inputs) -> DataFrame:
         ON h.ip_str IS NOT DISTINCT FROM m.ip_str AND h.port = m.port AND h.ts = m.ts
     GROUP BY m.company_key, m.resolution_tier"""))
 def _(i: Inputs) -> DataFrame:
-    joined = signals.host_map_join(i.hosts, i.host_map)
+    joined = signals.host_map_join(signals.with_host_features(i.hosts), i.host_map)
     return joined.groupBy(*KEY).agg(
         F.sum("rows").alias("pairs"),
         F.sum(F.when(F.col("ip_str").isNull(), F.col("rows")).otherwise(0)).alias(
@@ -478,7 +479,7 @@ _SIGNAL_SELECT = f"SELECT {', '.join(schemas.SIGNAL_COLUMNS)} FROM "
 
 @query("signals_rollup", over("signals", select=_SIGNAL_SELECT + "signals"))
 def _(i: Inputs) -> DataFrame:
-    return signals.signals_rollup(i.hosts, i.host_map)
+    return signals.signals_rollup(signals.with_host_features(i.hosts), i.host_map)
 
 
 @query("signals_rollup_direct", over("keyed_features", select="""
