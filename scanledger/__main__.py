@@ -2,7 +2,8 @@
 
     ingest     raw export -> hosts table
     build      raw export -> all layers
-    adjudicate overlay the decisions of the written rule
+    inputs     write the review accounts as inputs of a model
+    adjudicate overlay the decisions of the written rule, or those of a model's replies or traces
     report     print the quality reports
     accounts   list accounts by label, country and score
     account    one company in detail
@@ -12,12 +13,12 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from scanledger.operators import serving
+from scanledger.operators import adjudicate, serving
 from scanledger.plans import build, reports
-from scanledger.sources.readers import gold_view
+from scanledger.sources import readers
+from scanledger.sources.writers import latest_snapshot, layer_exists, read_layer
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -27,14 +28,22 @@ def arguments() -> argparse.ArgumentParser:
     def command(name: str) -> argparse.ArgumentParser:
         sub = commands.add_parser(name)
         sub.add_argument("--out", required=True, help="folder of the layers")
+        sub.add_argument("--snapshot-date", help="date of the export (default: the last one built)")
         return sub
 
     for name in ("ingest", "build"):
         sub = command(name)
         sub.add_argument("--raw", required=True, nargs="+", help="raw NDJSON files or folders")
-        sub.add_argument("--snapshot-date", help="add the export as a dated partition")
-    command("adjudicate").add_argument("--sample", type=int, help="review accounts of a trial run")
-    command("report")
+        sub.add_argument("--array-lines-as-null", action="store_true", help="slower, see the README")
+    export = command("inputs")
+    export.add_argument("--to", required=True, help="folder of the JSON records")
+    export.add_argument("--sample", type=int, help="review accounts of a trial run")
+    overlay = command("adjudicate")
+    overlay.add_argument("--sample", type=int, help="review accounts of a trial run")
+    given = overlay.add_mutually_exclusive_group()
+    given.add_argument("--replies", help="JSON records with company_key, resolution_tier and reply")
+    given.add_argument("--traces", help="logged calls of the scoring skill")
+    command("report").add_argument("--raw", nargs="+", help="the export, to reconcile its lines")
     listing = command("accounts")
     listing.add_argument("--band")
     listing.add_argument("--country")
@@ -44,37 +53,55 @@ def arguments() -> argparse.ArgumentParser:
     return parser
 
 
-def gold(spark: SparkSession, out: str) -> DataFrame:
+def gold(spark: SparkSession, out: str, snapshot_date: str | None) -> DataFrame:
     """Adjudicated accounts if there are any, else the accounts."""
-    try:
-        return gold_view(None, spark.read.parquet(f"{out}/gold/accounts_adjudicated"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return gold_view(spark.read.parquet(f"{out}/gold/accounts"))
+    adjudicated = f"{out}/gold/accounts_adjudicated"
+    if layer_exists(spark, adjudicated):
+        table = read_layer(spark, adjudicated, snapshot_date)
+        # an export that was built but not adjudicated yet has no rows there
+        if snapshot_date is None or table.head(1):
+            return readers.gold_view(None, table)
+    return readers.gold_view(read_layer(spark, f"{out}/gold/accounts", snapshot_date))
+
+
+def decisions(spark: SparkSession, given: argparse.Namespace) -> DataFrame | None:
+    if given.replies:
+        return adjudicate.decisions_from_replies(readers.scan_replies(spark, given.replies))
+    if given.traces:
+        return adjudicate.decisions_from_traces(readers.scan_traces(spark, given.traces))
+    return None
 
 
 def main(argv: list[str] | None = None) -> None:
     given = arguments().parse_args(argv)
     spark = SparkSession.builder.appName("scanledger").getOrCreate()
     if given.command in ("ingest", "build"):
-        hosts = build.ingest(spark, given.raw, given.out, given.snapshot_date)
-        if given.command == "build":
-            if given.snapshot_date:
-                hosts = hosts.filter(hosts.snapshot_date == given.snapshot_date)
-            build.build_from_hosts(hosts, given.out)
+        run = build.ingest if given.command == "ingest" else build.build
+        run(
+            spark, given.raw, given.out, snapshot_date=given.snapshot_date,
+            array_lines_as_null=given.array_lines_as_null,
+        )
+        return
+    date = given.snapshot_date or latest_snapshot(spark, f"{given.out}/gold/accounts")
+    if given.command == "inputs":
+        build.export_inputs(build.read_layers(spark, given.out, date), given.to, given.sample)
     elif given.command == "adjudicate":
-        build.adjudicate(build.read_layers(spark, given.out), given.out, sample=given.sample)
+        layers = build.read_layers(spark, given.out, date)
+        build.adjudicate(
+            layers, given.out, decisions(spark, given), given.sample, snapshot_date=date
+        )
     elif given.command == "report":
-        for name, table in reports.quality_reports(build.read_layers(spark, given.out)).items():
+        raw = readers.line_counts(spark, given.raw) if given.raw else None
+        layers = build.read_layers(spark, given.out, date)
+        for name, table in reports.quality_reports(layers, raw).items():
             print(name)
-            table.show(50, truncate=False)
+            table.show(table.count(), truncate=False)
     elif given.command == "accounts":
         serving.query_accounts(
-            gold(spark, given.out), given.band, given.country, given.min_score, given.limit
+            gold(spark, given.out, date), given.band, given.country, given.min_score, given.limit
         ).show(given.limit, truncate=False)
     else:
-        serving.get_account(gold(spark, given.out), given.key).show(truncate=False)
+        serving.get_account(gold(spark, given.out, date), given.key).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scanledger import config
+from scanledger import config, schemas
 from scanledger.functions.common import contains_any
 
 
 # Search replies: addresses at the top, or below ``data`` with the organisation.
-FLAT_REPLY = """emails ARRAY<STRUCT<email: STRING, position: STRING, confidence: DOUBLE,
-    smtp_status_percentage: DOUBLE>>"""
+# An entry is kept whole, under the names of schemas.CONTACT_ENTRY.
+FLAT_REPLY = f"emails ARRAY<STRUCT<{schemas.CONTACT_ENTRY}>>"
 NESTED_REPLY = """data STRUCT<organization: STRING, emails: ARRAY<STRUCT<value: STRING,
-    position: STRING, confidence: DOUBLE>>>"""
+    type: STRING, confidence: DOUBLE, first_name: STRING, last_name: STRING, position: STRING,
+    verification: STRUCT<status: STRING>, sources: ARRAY<STRUCT<uri: STRING>>>>>"""
 
 
 def flat_reply_emails(reply: Column) -> Column:
@@ -23,11 +24,18 @@ def flat_reply_emails(reply: Column) -> Column:
 
 def nested_reply_emails(reply: Column) -> Column:
     """Address structs of a nested reply text, in the shape of the flat one."""
+    data = F.from_json(reply, NESTED_REPLY)["data"]
     return F.transform(
-        F.from_json(reply, NESTED_REPLY)["data"]["emails"],
+        data["emails"],
         lambda e: F.struct(
+            e["type"].alias("type"),
+            e["verification"]["status"].alias("status"),
             e["value"].alias("email"),
             e["position"].alias("position"),
+            e["first_name"].alias("firstName"),
+            e["last_name"].alias("lastName"),
+            data["organization"].alias("companyName"),
+            F.try_element_at(e["sources"], F.lit(1))["uri"].alias("sourcePage"),
             e["confidence"].alias("confidence"),
             F.lit(None).cast("double").alias("smtp_status_percentage"),
         ),

@@ -41,6 +41,30 @@ def parse_decisions(replies: DataFrame, reply: str | Column = "reply") -> DataFr
     ).drop("_text", "_fields")
 
 
+def decisions_from_replies(replies: DataFrame, order: str | None = None) -> DataFrame:
+    """One decision per company and tier from ``company_key, resolution_tier, reply``.
+
+    Of several replies the last by ``order`` counts; without an order, and for
+    equal places, the greatest text.
+    """
+    parsed = parse_decisions(replies).filter(F.col("company_key").isNotNull())
+    place = F.struct(*([order] if order else []), "reply")
+    fields = F.struct("final_label", "rationale", "confidence")
+    last = parsed.groupBy(*COMPANY_KEY).agg(F.max_by(fields, place).alias("decision"))
+    return last.select(*COMPANY_KEY, "decision.*")
+
+
+def decisions_from_traces(traces: DataFrame, skill: str = "account-scoring") -> DataFrame:
+    """Decisions of logged calls; request and response are the texts of their JSON."""
+    calls = traces.filter(F.col("skill") == skill).select(
+        F.get_json_object("request", "$.company_key").alias("company_key"),
+        F.get_json_object("request", "$.input.resolution_tier").alias("resolution_tier"),
+        F.col("response").alias("reply"),
+        "ts",
+    )
+    return decisions_from_replies(calls, "ts")
+
+
 def rule_adjudicate(
     review: DataFrame, rules: AdjudicationRules = AdjudicationRules()
 ) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanledger.functions.contacts import contact_rank, preference
+from scanledger.functions.contacts import (
+    contact_rank, flat_reply_emails, nested_reply_emails, pick_best_contact, preference,
+    reply_organization,
+)
 from scanledger.operators.accounts import filter_band
-
-CONTACT_FIELDS = ("email", "position", "confidence", "smtp_status_percentage")
+from scanledger.schemas import CONTACT_FIELDS
 
 
 def enrichment_candidates(
@@ -32,28 +34,51 @@ def best_contacts(hits: DataFrame, with_smtp_fallback: bool = True) -> DataFrame
     """Best address and number of addresses per company, from one row per address.
 
     A running minimum, combined on the map side: no list of the addresses is
-    built, whatever their number. ``place`` is the position in the reply.
+    built, whatever their number. ``place`` is the position in the reply. The
+    entry is kept whole, with all of CONTACT_FIELDS that ``hits`` has.
     """
+    entry = [c for c in CONTACT_FIELDS if c in hits.columns]
     smtp = F.col("smtp_status_percentage") if with_smtp_fallback else None
     rank = contact_rank(F.col("confidence"), smtp)
     return hits.groupBy("company_key").agg(
         F.min_by(
-            F.struct(*CONTACT_FIELDS), preference(F.col("position"), rank, F.col("place"))
+            F.struct(*entry), preference(F.col("position"), rank, F.col("place"))
         ).alias("contact"),
         F.count("*").alias("raw_email_count"),
     )
 
 
-def contact_report(
-    candidates: DataFrame, contacts: DataFrame, organization: Column | None = None
-) -> DataFrame:
-    """One record per looked-up account, also for those without a contact."""
-    extra = [] if organization is None else [organization]
+def contacts_from_replies(replies: DataFrame) -> DataFrame:
+    """Best address of each search reply, from ``company_key`` and the reply's JSON text.
+
+    Both forms of reply are read. A reply without addresses, an error or a text
+    that is no JSON gives no contact and count 0. Of several replies of one
+    company the one with the greatest text counts.
+    """
+    last = replies.groupBy("company_key").agg(F.max("reply").alias("reply"))
+    reply = F.col("reply")
+    emails = F.coalesce(flat_reply_emails(reply), nested_reply_emails(reply))
+    return last.withColumn("emails", emails).select(
+        "company_key",
+        reply_organization(reply).alias("organization"),
+        pick_best_contact(F.col("emails")).alias("contact"),
+        F.coalesce(F.size("emails"), F.lit(0)).cast("bigint").alias("raw_email_count"),
+    )
+
+
+def contact_report(candidates: DataFrame, contacts: DataFrame) -> DataFrame:
+    """One record per looked-up account, also for those without a contact.
+
+    ``contacts`` holds the whole chosen entry and, if the search tells it, the
+    organization.
+    """
+    if "organization" not in contacts.columns:
+        contacts = contacts.withColumn("organization", F.lit(None).cast("string"))
     return candidates.join(contacts, "company_key", "left").select(
         "company_key",
         "contact_score",
         F.col("primary_country_code").alias("country"),
-        *extra,
+        "organization",
         "contact",
         F.coalesce("raw_email_count", F.lit(0)).alias("raw_email_count"),
     )

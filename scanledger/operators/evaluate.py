@@ -50,6 +50,28 @@ def eval_metrics(
     )
 
 
+def eval_report(
+    pairs: DataFrame, run_keys: Sequence[str] = ("prompt_version", "run_no"),
+    rules: CostRules = CostRules(),
+) -> DataFrame:
+    """The metrics of each run with its model, number of examples and total cost.
+
+    ``pairs`` has one row per example: predicted, expected, model and the tokens
+    of its call. One row per run and label; the run's own figures are repeated.
+    """
+    costs = with_call_cost(pairs, rules).groupBy(*run_keys).agg(
+        F.max("model").alias("model"),
+        F.count("*").alias("n_examples"),
+        round_half_up(F.sum(_exact("cost_usd", 6)).cast("double"), 4).alias("total_cost_usd"),
+    )
+    return eval_metrics(pairs, run_keys).join(costs, list(run_keys))
+
+
+def run_accuracy(report: DataFrame) -> DataFrame:
+    """One row per run of a report: what ``eval_delta`` compares."""
+    return report.select("prompt_version", "run_no", "overall_accuracy").distinct()
+
+
 def eval_delta(runs: DataFrame, order: str = "run_no") -> DataFrame:
     """Accuracy of each run minus that of the previous run of its prompt version."""
     previous = F.lag("overall_accuracy").over(

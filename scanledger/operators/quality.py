@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scanledger import config
 from scanledger.functions.common import percent, round_half_up
-from scanledger.schemas import COMPANY_KEY
+from scanledger.schemas import COMPANY_KEY, HOST_COLUMNS
 
 
 def _rates(table: DataFrame, conditions: dict[str, Column], digits: int) -> DataFrame:
@@ -149,17 +149,22 @@ def infra_concentration(companies: DataFrame) -> DataFrame:
 
 
 def layer_reconcile(
-    raw_rows: DataFrame,
+    hosts: DataFrame,
     keyed: DataFrame,
     host_map: DataFrame,
     companies: DataFrame,
     signals: DataFrame,
     accounts: DataFrame,
+    raw: DataFrame | None = None,
 ) -> DataFrame:
     """Row counts that must agree between neighbouring layers, one row per check.
 
     Each layer is counted once, by a one-row aggregate of few columns; companies
-    and signals are also compared key by key.
+    and signals are also compared key by key. ``raw`` has the one row of
+    ``readers.line_counts`` for the export; every line that is not blank must
+    be a row of hosts. The rejected ones among them are told beside it, with
+    the hosts that hold no value at all; a line with an empty object is such a
+    row too, so there may be more of these.
     """
     resolved = F.count_if(F.col("resolution_tier").isin("domain", "org"))
     tiers = ["domain", "org", "unresolved"]
@@ -167,7 +172,7 @@ def layer_reconcile(
         signals.select(*COMPANY_KEY, F.lit(1).alias("_s")), list(COMPANY_KEY), "full"
     )
     counts = [
-        raw_rows.agg(F.count("*").alias("raw")),
+        hosts.agg(F.count("*").alias("hosts")),
         keyed.agg(
             F.count("*").alias("keyed"),
             F.count_if(F.col("resolution_tier").isin(*tiers)).alias("tiers"),
@@ -185,13 +190,17 @@ def layer_reconcile(
         ),
         companies.agg(F.sum("host_count").alias("company_hosts")),
     ]
+    if raw is not None:
+        empty = F.coalesce(*[F.col(c).cast("string") for c in HOST_COLUMNS if c != "vulns"]).isNull()
+        counts += [raw, hosts.agg(F.count_if(empty & F.col("vulns").isNull()).alias("empty_hosts"))]
     long = None
     for one_row in counts:
         rows = one_row.unpivot([], one_row.columns, "figure", "n")
         long = rows if long is None else long.unionByName(rows)
     figures = long.agg(F.map_from_entries(F.collect_list(F.struct("figure", "n"))).alias("n"))
     checks = {
-        "raw_records_vs_hosts": ("raw", "keyed"),
+        **({"raw_lines_vs_hosts": ("raw_lines", "hosts")} if raw is not None else {}),
+        "hosts_vs_keyed": ("hosts", "keyed"),
         "hosts_vs_tiers": ("keyed", "tiers"),
         "resolved_vs_map": ("resolved", "mapped"),
         "resolved_vs_company_hosts": ("resolved", "company_hosts"),
@@ -208,6 +217,15 @@ def layer_reconcile(
         )
         for name, (left, right) in checks.items()
     ]
-    return figures.select(F.inline(F.array(*rows))).withColumn(
-        "ok", F.col("left_n") == F.col("right_n")
-    )
+    ok = F.col("left_n") == F.col("right_n")
+    if raw is not None:
+        name = "rejected_lines_vs_empty_hosts"
+        rows.append(
+            F.struct(
+                F.lit(name).alias("check_name"),
+                F.col("n")["rejected_lines"].alias("left_n"),
+                F.col("n")["empty_hosts"].alias("right_n"),
+            )
+        )
+        ok = F.when(F.col("check_name") == name, F.col("left_n") <= F.col("right_n")).otherwise(ok)
+    return figures.select(F.inline(F.array(*rows))).withColumn("ok", ok)

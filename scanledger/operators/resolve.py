@@ -129,9 +129,11 @@ def primary_values(keyed: DataFrame) -> DataFrame:
 def sample_values(keyed: DataFrame, size: int = ResolveRules().sample_size) -> DataFrame:
     """Up to ``size`` distinct addresses and first hostnames per company.
 
-    The smallest values are taken, NULL last. The rank filter is applied
-    before the shuffle too, so a company of any size sends at most ``size``
-    rows per task and kind, and the arrays stay bounded.
+    The smallest values are taken, NULL last. The values are first made
+    distinct, which shuffles up to two of them per resolved host, spread by the
+    value. The rank filter then runs before the second shuffle too, which so
+    carries at most ``size`` values per company, kind and task, and the arrays
+    stay bounded.
     """
     distinct_values = (
         filter_resolved(keyed)

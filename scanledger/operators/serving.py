@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scanledger.functions.common import all_of
-from scanledger.schemas import COMPANY_KEY
+from scanledger.sources.readers import usable_emails
+from scanledger.schemas import COMPANY_KEY, CONTACT_ENTRY
 
 
 def _best_first() -> list[Column]:
@@ -76,12 +77,12 @@ def get_account(gold: DataFrame, company_key: str) -> DataFrame:
 def get_contact(
     keys: DataFrame, contacts: DataFrame | None, order_column: str = "record_no"
 ) -> DataFrame:
-    """Contact of each key with the outcome of the lookup; the first record counts."""
+    """The whole contact of each key with the outcome of the lookup; the first record counts."""
     if contacts is None:
         return keys.select(
             "company_key",
             F.lit("no enrichment data yet").alias("outcome"),
-            F.lit(None).cast("string").alias("email"),
+            F.lit(None).cast(f"STRUCT<{CONTACT_ENTRY}>").alias("contact"),
         )
     # Reduced before the join, so a company with many records arrives as one row.
     first = (
@@ -95,16 +96,24 @@ def get_contact(
         .when(F.col("contact").isNull(), "no contact found for this company")
         .otherwise("found")
         .alias("outcome"),
-        F.col("contact.email").alias("email"),
+        "contact",
     )
 
 
-def contact_lookup(top: DataFrame, emails: DataFrame) -> DataFrame:
-    """Attach the email address to accounts; companies without one keep NULL."""
-    return top.join(emails.select("company_key", "email"), "company_key", "left")
+def contact_lookup(top: DataFrame, contacts: DataFrame, order_column: str = "record_no") -> DataFrame:
+    """Attach the email address to a few accounts; companies without one keep NULL.
+
+    Only the records of these accounts reach the aggregation: ``top`` has as
+    many rows as are shown, which bounds the broadcast.
+    """
+    wanted = F.broadcast(top.select("company_key").distinct())
+    emails = usable_emails(contacts.join(wanted, "company_key", "left_semi"), order_column)
+    return top.join(emails, "company_key", "left")
 
 
-def dashboard_top(gold: DataFrame, emails: DataFrame | None = None, limit: int = 20) -> DataFrame:
+def dashboard_top(
+    gold: DataFrame, contacts: DataFrame | None = None, limit: int = 20, order_column: str = "record_no"
+) -> DataFrame:
     top = top_accounts(gold, limit, band=None).select(
         "company_key",
         "resolution_tier",
@@ -114,7 +123,7 @@ def dashboard_top(gold: DataFrame, emails: DataFrame | None = None, limit: int =
         F.col("fit_score").alias("fit"),
         F.col("urgency_score").alias("urgency"),
     )
-    return top if emails is None else contact_lookup(top, emails)
+    return top if contacts is None else contact_lookup(top, contacts, order_column)
 
 
 def dashboard_counts(gold: DataFrame, countries: int = 8) -> DataFrame:
@@ -153,18 +162,19 @@ def dashboard_counts(gold: DataFrame, countries: int = 8) -> DataFrame:
 
 
 def dashboard_stats(
-    gold: DataFrame, emails: DataFrame | None = None, countries: int = 8, limit: int = 20
+    gold: DataFrame, contacts: DataFrame | None = None, countries: int = 8, limit: int = 20,
+    order_column: str = "record_no",
 ) -> DataFrame:
     """Everything the dashboard shows, as (section, label, value, email)."""
     no_email = F.lit(None).cast("string").alias("email")
     counts = dashboard_counts(gold, countries).select(
         "section", "label", F.col("n").cast("double").alias("value"), no_email
     )
-    top = dashboard_top(gold, emails, limit).select(
+    top = dashboard_top(gold, contacts, limit, order_column).select(
         F.lit("top").alias("section"),
         F.concat_ws("|", *COMPANY_KEY).alias("label"),
         F.col("score").alias("value"),
-        no_email if emails is None else F.col("email"),
+        no_email if contacts is None else F.col("email"),
     )
     return counts.unionByName(top)
 

@@ -8,8 +8,11 @@ from scanledger.operators import evaluate, quality, serving
 from scanledger.plans.build import Layers
 
 
-def quality_reports(layers: Layers) -> dict[str, DataFrame]:
-    """Null, distinct, flag and coverage figures, yields and distributions."""
+def quality_reports(layers: Layers, raw: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Null, distinct, flag and coverage figures, yields and distributions.
+
+    ``raw`` has the line counts of the export, to reconcile the hosts with it.
+    """
     return {
         "null_rates": quality.null_rates(layers.hosts),
         "distinct_counts": quality.distinct_counts(layers.hosts),
@@ -30,6 +33,6 @@ def quality_reports(layers: Layers) -> dict[str, DataFrame]:
         "cost_projection": evaluate.cost_projection(layers.accounts),
         "layer_reconcile": quality.layer_reconcile(
             layers.hosts, layers.keyed, layers.host_map, layers.companies, layers.signals,
-            layers.accounts,
+            layers.accounts, raw,
         ),
     }

@@ -60,12 +60,15 @@ ACCOUNT_FROM_SIGNALS = tuple(
     if c not in COMPANY_KEY + ("host_count", "iot_count", "vpn_count")
 )
 
-CONTACT_RECORD = """
-    company_key STRING, contact_score DOUBLE, country STRING,
-    contact STRUCT<type: STRING, status: STRING, email: STRING, position: STRING,
-                   firstName: STRING, lastName: STRING, companyName: STRING,
-                   sourcePage: STRING>,
-    raw_email_count BIGINT
+CONTACT_ENTRY = """type: STRING, status: STRING, email: STRING, position: STRING,
+    firstName: STRING, lastName: STRING, companyName: STRING, sourcePage: STRING,
+    confidence: DOUBLE, smtp_status_percentage: DOUBLE"""
+
+CONTACT_FIELDS = tuple(f.split(":")[0].strip() for f in CONTACT_ENTRY.split(","))
+
+CONTACT_RECORD = f"""
+    company_key STRING, contact_score DOUBLE, country STRING, organization STRING,
+    contact STRUCT<{CONTACT_ENTRY}>, raw_email_count BIGINT
 """
 
 LABELED_RECORD = """
@@ -78,6 +81,8 @@ LABELED_RECORD = """
     expected_label STRING, rationale STRING
 """
 
+REPLY_RECORD = "company_key STRING, resolution_tier STRING, reply STRING"
+
 # request and response differ per skill, so they are kept as JSON text.
 TRACE_RECORD = """
     ts STRING, call_id STRING, skill STRING, prompt_version STRING, model STRING,
@@ -85,6 +90,13 @@ TRACE_RECORD = """
     request STRING, response STRING, decision STRING
 """
 
+# One row per run and label; the last two are the partition columns.
+EVAL_REPORT = """
+    label STRING, tp BIGINT, fp BIGINT, fn BIGINT, precision DOUBLE, recall DOUBLE, f1 DOUBLE,
+    overall_accuracy DOUBLE, model STRING, n_examples BIGINT, total_cost_usd DOUBLE,
+    prompt_version STRING, run_no BIGINT
+"""
+
 DECISION_RECORD = (
     "company_key STRING, resolution_tier STRING, final_label STRING, "
     "rationale STRING, confidence STRING"

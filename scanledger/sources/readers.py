@@ -3,29 +3,59 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scanledger import schemas
 
 
-def scan_raw_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def scan_raw_records(
+    spark: SparkSession, path: str | list[str], array_lines_as_null: bool = False
+) -> DataFrame:
     """Raw scan records, one JSON object per line.
 
     Only the declared fields are parsed. A malformed line becomes a row of
     NULLs, a wrong value a NULL. Record size is not limited. Compressed files
     (.gz, .zst, ...) are read directly but not split, so deliver many files.
+
+    A line that holds a JSON array of records is no record. The JSON source
+    gives a row for each of its elements; with ``array_lines_as_null`` it is a
+    malformed line as any other, but reading lines first and parsing them then
+    takes about half as long again, so it is not the default. The
+    reconciliation counts lines and shows if an export needs it.
     """
-    return spark.read.schema(schemas.RAW_RECORD).json(path)
+    if not array_lines_as_null:
+        return spark.read.schema(schemas.RAW_RECORD).json(path)
+    lines = record_lines(spark, path)
+    return lines.select(F.from_json("value", schemas.RAW_RECORD).alias("record")).select("record.*")
+
+
+def record_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The lines of an export that are not blank."""
+    line = F.col("value")
+    # most lines show by their first character that they aren't blank
+    blank = F.left(line, F.lit(1)).isin("", " ", "\t") & (F.trim(line) == "")
+    return spark.read.text(path).filter(~blank)
 
 
 def rejected_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The raw text of the lines that are no JSON object."""
-    lines = spark.read.text(path)
-    parsed = F.from_json("value", "`_` STRING, _rejected STRING",
-                         {"columnNameOfCorruptRecord": "_rejected"})
-    return lines.filter(F.trim("value") != "").filter(parsed["_rejected"].isNotNull())
+    return record_lines(spark, path).filter(_is_rejected(F.col("value")))
+
+
+def _is_rejected(line: Column) -> Column:
+    parsed = F.from_json(
+        line, "`_` STRING, _rejected STRING", {"columnNameOfCorruptRecord": "_rejected"}
+    )
+    return parsed["_rejected"].isNotNull()
+
+
+def line_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines that are not blank, and those of them that are no JSON object, in one scan."""
+    return record_lines(spark, path).agg(
+        F.count("*").alias("raw_lines"), F.count_if(_is_rejected(F.col("value"))).alias("rejected_lines")
+    )
 
 
 def sample_raw(spark: SparkSession, path: str, out_dir: str, lines: int = 5000) -> DataFrame:
@@ -86,6 +116,11 @@ def scan_labeled_set(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.LABELED_RECORD).json(path)
 
 
+def scan_replies(spark: SparkSession, path: str) -> DataFrame:
+    """Replies of an adjudicating model, one JSON record with the reply's text per account."""
+    return spark.read.schema(schemas.REPLY_RECORD).json(path)
+
+
 def scan_traces(spark: SparkSession, path: str, skill: str | None = None) -> DataFrame:
     """Call traces; an absent path gives an empty table."""
     try:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger import config
+from scanledger import config, schemas
 
 
 def write_parquet_zstd(
@@ -13,18 +14,19 @@ def write_parquet_zstd(
     path: str,
     partition_by: str | None = None,
     mode: str = "overwrite",
-    max_files: int | None = None,
+    rebalance: bool = False,
 ) -> DataFrame:
     """Write a ZSTD Parquet table and return it as read back.
 
-    ``max_files`` lets a task take several input splits, without a shuffle,
-    for a table much smaller than the input it was computed from.
+    ``rebalance`` is for a table much smaller than the input it was computed
+    from: its rows are shuffled into files of the advisory partition size, so
+    that the tasks before may be as many as the input has splits.
 
     Reading back cuts the lineage: a lost executor costs the running stage,
     not the whole chain. With a partition column only the partitions present
     in ``table`` are replaced.
     """
-    rows = table if max_files is None else table.coalesce(max_files)
+    rows = table.hint("rebalance") if rebalance else table
     writer = rows.write.mode(mode).option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
@@ -38,9 +40,64 @@ def write_jsonl(table: DataFrame, path: str, append: bool = False, **options: st
     table.write.mode(mode).options(ignoreNullFields="false", **options).json(path)
 
 
+SNAPSHOT = "snapshot_date"
+
+
+def write_layer(table: DataFrame, path: str, snapshot_date: str | None = None, **options) -> DataFrame:
+    """Write a layer, as one partition if it belongs to a dated export; returns that export's rows."""
+    if snapshot_date is None:
+        return write_parquet_zstd(table, path, **options)
+    dated = table.withColumn(SNAPSHOT, F.lit(snapshot_date).cast("date"))
+    written = write_parquet_zstd(dated, path, partition_by=SNAPSHOT, **options)
+    return one_snapshot(written, snapshot_date)
+
+
+def one_snapshot(table: DataFrame, snapshot_date: str) -> DataFrame:
+    """The rows of one export; the filter on the partition column reads only its files."""
+    return table.filter(F.col(SNAPSHOT) == F.lit(snapshot_date).cast("date")).drop(SNAPSHOT)
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> str | None:
+    """The last date of a layer; None if it is not dated. Only partition values are read."""
+    table = spark.read.parquet(path)
+    if SNAPSHOT not in table.columns:
+        return None
+    return table.agg(F.max(SNAPSHOT).cast("string")).first()[0]
+
+
+def read_layer(spark: SparkSession, path: str, snapshot_date: str | None = None) -> DataFrame:
+    """A layer as of one export, or the whole of a layer that is not dated."""
+    table = spark.read.parquet(path)
+    if SNAPSHOT not in table.columns:
+        return table
+    if snapshot_date is None:
+        raise ValueError(f"{path} has dated exports: name one of them")
+    return one_snapshot(table, snapshot_date)
+
+
+def layer_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def write_eval_report(report: DataFrame, path: str) -> None:
-    """Append a run to the reports, which are kept per prompt version."""
-    report.write.mode("append").partitionBy("prompt_version").json(path)
+    """Keep a run with the reports; repeating it replaces its own entry only."""
+    (
+        report.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("ignoreNullFields", "false")
+        .partitionBy("prompt_version", "run_no")
+        .json(path)
+    )
+
+
+def read_eval_reports(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.EVAL_REPORT).json(path)
 
 
 def source_manifest(

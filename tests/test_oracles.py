@@ -53,7 +53,10 @@ def test_query_matches_oracle(spark, duck, name):
     assert {c: TYPES[t] for c, t in result.dtypes} == {
         c[0]: str(c[1]) for c in expected.description
     }
-    assert _ordered(result.collect(), result.columns) == _ordered(expected.fetchall(), names)
+    found = _ordered(result.collect(), result.columns)
+    assert found == _ordered(expected.fetchall(), names)
+    # some recipes match nothing in the smallest tables
+    assert found or SF_DIR.endswith("sf0.001")
 
 
 def test_entry_returns_rows(spark):

@@ -1,10 +1,13 @@
 """Evaluation, cost, enrichment, serving and quality reports."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from scanledger.functions.contacts import pick_best_contact
 from scanledger.operators import enrichment, evaluate, quality, serving
+from scanledger.sources import readers, writers
 from tests.helpers import plan_of, rows_of
 
 GOLD = """
@@ -99,11 +102,58 @@ def test_contact_lookup_outcomes(spark):
         "company_key STRING, contact STRUCT<email: STRING>, record_no INT",
     )
     keys = spark.createDataFrame([("a",), ("b",), ("c",)], "company_key STRING")
-    assert rows_of(serving.get_contact(keys, contacts)) == [
+    found = serving.get_contact(keys, contacts)
+    assert rows_of(found.select("company_key", "outcome", "contact.email")) == [
         ("a", "no contact found for this company", None), ("b", "found", "1@b"),
         ("c", "not in the enriched set", None),
     ]
-    assert serving.get_contact(keys, None).first().outcome == "no enrichment data yet"
+    absent = serving.get_contact(keys, None).first()
+    assert absent.outcome == "no enrichment data yet" and absent.contact is None
+
+
+def test_contacts_keep_the_whole_entry(spark, tmp_path):
+    """From reply texts of both forms to written records and back."""
+    flat = {"emails": [
+        {"type": "personal", "status": "verified", "email": "1@a", "position": "CTO", "firstName": "A",
+         "lastName": "B", "companyName": "A Inc", "sourcePage": "http://a/x", "confidence": 7},
+        {"email": "2@a", "smtp_status_percentage": 99}]}
+    nested = {"data": {"organization": "B Org", "emails": [
+        {"value": "1@b", "type": "generic", "confidence": 50, "first_name": "C", "last_name": "D",
+         "position": None, "verification": {"status": "valid"}, "sources": [{"uri": "http://b/y"}, {"uri": "z"}]}]}}
+    replies = [("a", json.dumps(flat)), ("b", json.dumps(nested)), ("c", '{"error": "x"}'), ("d", "<html>"), ("e", None),
+               ("f", '{"emails": []}'), ("a", "")]
+    found = enrichment.contacts_from_replies(spark.createDataFrame(replies, "company_key STRING, reply STRING"))
+    accounts = spark.createDataFrame([(k, "DE", 90.0) for k in "abcdefg"], "company_key STRING, primary_country_code STRING, contact_score DOUBLE")
+    writers.write_jsonl(enrichment.contact_report(accounts, found), str(tmp_path / "contacts"))
+    read = {r.company_key: r for r in readers.scan_contacts(spark, str(tmp_path / "contacts")).collect()}
+    assert tuple(read["a"].contact) == ("personal", "verified", "1@a", "CTO", "A", "B", "A Inc", "http://a/x", 7.0, None)
+    assert tuple(read["b"].contact) == ("generic", "valid", "1@b", None, "C", "D", "B Org", "http://b/y", 50.0, None)
+    assert [read[k].organization for k in "ab"] == [None, "B Org"]
+    assert [read[k].raw_email_count for k in "abcdefg"] == [2, 1, 0, 0, 0, 0, 0]
+    assert all(read[k].contact is None for k in "cdefg")
+
+
+def test_lookup_reads_contacts_of_the_shown_accounts_only(spark):
+    contacts = spark.createDataFrame(
+        [(f"k{n}", (f"{n}@x",), n) for n in range(50)], "company_key STRING, contact STRUCT<email: STRING>, record_no INT"
+    )
+    top = spark.createDataFrame([("k1",), ("none",)], "company_key STRING")
+    found = serving.contact_lookup(top, contacts)
+    assert rows_of(found) == [("k1", "1@x"), ("none", None)]
+    plan = plan_of(found)
+    assert "LeftSemi" in plan and plan.rindex("LeftSemi") > plan.index("max_by")
+
+
+def test_names_of_carriers_escalate(spark):
+    from scanledger.config import AdjudicationRules
+    from scanledger.functions.decisions import carrier_like
+
+    names = ["Comcast.net", "swisscom.ch", "x communications", "leaseweb.com", "firm.de"]
+    table = spark.createDataFrame([(n,) for n in names], "company_key STRING")
+    got = [r[0] for r in table.select(carrier_like()).collect()]
+    assert got == [True, True, True, False, False]
+    known = AdjudicationRules(known_providers=True)
+    assert [r[0] for r in table.select(carrier_like(known)).collect()] == [True] * 4 + [False]
 
 
 def test_query_accounts(gold):

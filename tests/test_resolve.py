@@ -124,9 +124,15 @@ def test_row_order_and_partitions_do_not_matter(spark):
     assert rows_of(one) == rows_of(two)
 
 
-def test_sampling_limits_rows_before_the_shuffle(spark):
-    plan = plan_of(resolve.sample_values(keyed(spark, {"org": "a"})))
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+def test_sampling_limits_rows_before_the_second_shuffle(spark):
+    """Read upwards: distinct values by their own hash, the rank limit, the shuffle by company."""
+    plan = plan_of(resolve.sample_values(keyed(spark, {"org": "a"}))).splitlines()[::-1]
+    by_value = next(k for k, x in enumerate(plan) if "Exchange hashpartitioning" in x and "value" in x)
+    limit = next(k for k, x in enumerate(plan) if "WindowGroupLimit" in x and "Partial" in x)
+    by_company = next(
+        k for k, x in enumerate(plan) if "Exchange hashpartitioning" in x and "value" not in x
+    )
+    assert by_value < limit < by_company
 
 
 def test_roll_up_has_no_per_company_value_list(spark):

@@ -2,13 +2,15 @@
 
 import json
 
+import pytest
 import zstandard
 from pyspark.sql import functions as F
 
 from scanledger import schemas
 from scanledger.functions.common import to_bigint
+from scanledger.operators import evaluate, quality
 from scanledger.operators.ingest import flatten_hosts
-from scanledger.plans import build
+from scanledger.plans import build, reports
 from scanledger.sources import readers, writers
 from tests.helpers import rows_of
 
@@ -170,8 +172,137 @@ def test_dated_snapshots_replace_only_their_partition(spark, tmp_path):
     raw = write_lines(tmp_path / "raw.json", RECORD, RECORD)
     out = str(tmp_path / "out")
     for day in ("2024-01-01", "2024-01-02", "2024-01-02"):
-        table = build.ingest(spark, str(raw), out, snapshot_date=day)
-    assert rows_of(table.groupBy("snapshot_date").count(), "count") == [(2,), (2,)]
+        assert build.ingest(spark, str(raw), out, snapshot_date=day).count() == 2
+    stored = spark.read.parquet(f"{out}/silver/hosts")
+    assert rows_of(stored.groupBy("snapshot_date").count(), "count") == [(2,), (2,)]
+
+
+def test_reports_of_one_of_two_dated_exports(spark, tmp_path, capsys):
+    from scanledger.__main__ import main
+
+    out, exports = str(tmp_path / "out"), {"2024-01-01": 4, "2024-02-01": 7}
+    for day, size in exports.items():
+        records = [dict(RECORD, ip_str=f"10.0.0.{n}", domains=[f"{day[5:7]}firm{n}.de"]) for n in range(size)]
+        raw = write_lines(tmp_path / f"{day}.json", *records, '{"broken": ')
+        main(["build", "--raw", str(raw), "--out", out, "--snapshot-date", day])
+        main(["adjudicate", "--out", out, "--snapshot-date", day])
+    for day, size in exports.items():
+        layers = build.read_layers(spark, out, day)
+        raw = readers.line_counts(spark, str(tmp_path / f"{day}.json"))
+        found = reports.quality_reports(layers, raw)
+        checks = {r.check_name: r for r in found["layer_reconcile"].collect()}
+        assert all(r.ok for r in checks.values())
+        assert checks["raw_lines_vs_hosts"].left_n == size + 1 == layers.hosts.count()
+        assert checks["rejected_lines_vs_empty_hosts"].left_n == 1
+        assert found["signal_prevalence"].first().total == size
+        assert {r.n for r in found["null_rates"].filter("column_name = 'ip_str'").collect()} == {1}
+    capsys.readouterr()
+    main(["report", "--out", out, "--raw", str(tmp_path / "2024-02-01.json")])
+    assert "false" not in capsys.readouterr().out.split("layer_reconcile")[1]
+    main(["accounts", "--out", out])
+    latest = capsys.readouterr().out
+    assert "02firm" in latest and "01firm" not in latest
+    main(["accounts", "--out", out, "--snapshot-date", "2024-01-01"])
+    assert "01firm" in capsys.readouterr().out
+    with pytest.raises(ValueError, match="dated exports"):
+        build.read_layers(spark, out)
+
+
+def test_a_lost_record_fails_the_reconciliation(spark, tmp_path):
+    raw = write_lines(tmp_path / "raw.json", *[dict(RECORD, ip_str=f"10.0.0.{n}") for n in range(6)], "", '[1]')
+    layers = build.build(spark, str(raw), str(tmp_path / "out"))
+    lines = readers.line_counts(spark, str(raw))
+
+    def checks(**changed):
+        given = {**vars(layers), **changed}
+        table = quality.layer_reconcile(
+            given["hosts"], given["keyed"], given["host_map"], given["companies"], given["signals"],
+            given["accounts"], lines,
+        )
+        return {r.check_name: r.ok for r in table.collect()}
+
+    assert all(checks().values())
+    lost = layers.hosts.filter("ip_str <> '10.0.0.3' OR ip_str IS NULL")
+    assert checks(hosts=lost)["raw_lines_vs_hosts"] is False
+
+
+def test_array_lines(spark, tmp_path):
+    """An array of records is no record; the JSON source takes it for several."""
+    path = write_lines(tmp_path / "a.json", RECORD, json.dumps([RECORD, RECORD, RECORD]), "  ", "{}")
+    assert readers.scan_raw_records(spark, str(path)).count() == 5
+    records = readers.scan_raw_records(spark, str(path), array_lines_as_null=True)
+    assert rows_of(flatten_hosts(records), "port") == rows_of(
+        spark.createDataFrame([(443,), (None,), (None,)], "port BIGINT")
+    )
+    counts = readers.line_counts(spark, str(path)).first()
+    assert (counts.raw_lines, counts.rejected_lines) == (3, 1)
+
+
+def test_ingest_parses_with_a_task_per_split(spark, tmp_path):
+    """The number of files is settled behind the parse, by a shuffle of the small result."""
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for k in range(40):
+        write_lines(folder / f"{k}.json", *[dict(RECORD, ip_str=f"10.{k}.0.{n}", data="x" * 5000) for n in range(20)])
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    try:
+        splits = readers.scan_raw_records(spark, str(folder)).rdd.getNumPartitions()
+        hosts = build.ingest(spark, str(folder), str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert splits == 40 and hosts.count() == 800
+    assert len(list((tmp_path / "out/silver/hosts").glob("part-*"))) == 1
+
+
+def test_model_decisions_in_a_run(spark, tmp_path):
+    """Inputs out, replies and traces in, by company and tier."""
+    from scanledger.__main__ import main
+
+    records = [
+        dict(RECORD, ip_str=f"10.0.0.{n}", domains=[f"firm{n % 4}.de"], tags=["eol-product"]) for n in range(24)
+    ]
+    raw, out = write_lines(tmp_path / "raw.json", *records), str(tmp_path / "out")
+    main(["build", "--raw", str(raw), "--out", out])
+    main(["inputs", "--out", out, "--to", str(tmp_path / "inputs")])
+    inputs = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "inputs")).collect()]
+    assert len(inputs) == 4 and json.loads(inputs[0]["account_json"])["company_key"] == inputs[0]["company_key"]
+    said = ['{"label": "skip", "rationale": "r", "confidence": "high"}', "no JSON", '```json\n{"label": "contact"}\n```']
+    replies = [
+        {"company_key": f"firm{n}.de", "resolution_tier": "domain", "reply": text} for n, text in enumerate(said)
+    ] + [{"company_key": "firm3.de", "resolution_tier": "org", "reply": said[0]}]
+    main(["adjudicate", "--out", out, "--replies", str(write_lines(tmp_path / "replies.json", *replies))])
+    table = spark.read.parquet(f"{out}/gold/accounts_adjudicated")
+    assert rows_of(table, "company_key", "final_label", "confidence") == rows_of(spark.createDataFrame(
+        [("firm0.de", "skip", "high"), ("firm1.de", "escalate", "low"), ("firm2.de", "contact", None),
+         ("firm3.de", "review", None)], "a STRING, b STRING, c STRING"))
+    traces = [
+        {"ts": f"2024-01-0{n}", "skill": "account-scoring", "response": {"label": label},
+         "request": {"company_key": "firm3.de", "input": {"resolution_tier": "domain"}}}
+        for n, label in ((2, "contact"), (1, "skip"))
+    ]
+    main(["adjudicate", "--out", out, "--traces", str(write_lines(tmp_path / "traces.json", *traces))])
+    spark.catalog.clearCache()
+    table = spark.read.parquet(f"{out}/gold/accounts_adjudicated")
+    assert rows_of(table.filter("final_label <> band"), "company_key", "final_label") == [("firm3.de", "contact")]
+
+
+def test_repeated_run_replaces_its_report(spark, tmp_path):
+    pairs = spark.createDataFrame(
+        [("v1", 1, "skip", "skip", "m", 10, 10), ("v1", 1, "skip", "contact", "m", 10, 10), ("v1", 2, "skip", "skip", "m", 1, 1),
+         ("v2", 1, "skip", "skip", "openai/gpt-oss-120b", 600, 75)],
+        "prompt_version STRING, run_no BIGINT, predicted STRING, expected STRING, model STRING, input_tokens BIGINT, output_tokens BIGINT")
+    path = str(tmp_path / "reports")
+    report = evaluate.eval_report(pairs)
+    writers.write_eval_report(report, path)
+    writers.write_eval_report(report.filter("run_no = 2"), path)
+    stored = writers.read_eval_reports(spark, path)
+    assert stored.count() == 9
+    assert rows_of(stored) == rows_of(report.select(*stored.columns))
+    deltas = evaluate.eval_delta(evaluate.run_accuracy(stored))
+    assert rows_of(deltas, "run_no", "accuracy_delta") == rows_of(
+        spark.createDataFrame([(1, None), (2, 0.5), (1, None)], "a BIGINT, b DOUBLE"))
+    assert stored.filter("prompt_version = 'v2'").first().total_cost_usd == 0.0001
 
 
 def test_command_line(spark, tmp_path, capsys):
@@ -186,4 +317,4 @@ def test_command_line(spark, tmp_path, capsys):
     main(["account", "--out", out, "--key", "firm.de"])
     main(["report", "--out", out])
     printed = capsys.readouterr().out
-    assert "firm.de" in printed and "raw_records_vs_hosts" in printed
+    assert "firm.de" in printed and "hosts_vs_keyed" in printed

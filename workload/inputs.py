@@ -11,6 +11,7 @@ from scanledger.operators.accounts import filter_band, gold_accounts
 from scanledger.operators.adjudicate import decision_overlay, rule_adjudicate
 from scanledger.operators.resolve import companies_rollup, host_company_map, keyed_table
 from scanledger.operators.signals import signals_rollup
+from scanledger.schemas import CONTACT_FIELDS
 from scanledger.session import scratch_dir
 from scanledger.sources.writers import write_parquet_zstd
 from workload import recipes
@@ -83,6 +84,16 @@ class Inputs:
         records.unionByName(broken).write.text(path)
         return path
 
+    @cached_property
+    def raw_array_lines_path(self) -> str:
+        """The raw lines, and some that hold an array of records."""
+        arrays = self.hosts.filter((F.col("event_id") % 500 == 7) & (F.col("copy_no") == 1))
+        line = F.lit('[{"ip_str": "10.0.0.2", "port": 80}, {"ip_str": "10.0.0.3"}]')
+        path = f"{self.folder}/raw_arrays"
+        lines = self.spark.read.text(self.raw_lines_path)
+        lines.unionByName(arrays.select(line.alias("value"))).write.text(path)
+        return path
+
     @cached_property
     def raw_gzip_path(self) -> str:
         path = f"{self.folder}/raw_gzip"
@@ -99,16 +110,8 @@ class Inputs:
             "company_key",
             F.col("contact_score"),
             "country",
-            F.when(
-                F.col("has_contact"),
-                F.struct(
-                    F.lit("email").alias("type"), "status", "email", "position",
-                    F.lit(None).cast("string").alias("firstName"),
-                    F.lit(None).cast("string").alias("lastName"),
-                    F.lit(None).cast("string").alias("companyName"),
-                    F.lit(None).cast("string").alias("sourcePage"),
-                ),
-            ).alias("contact"),
+            "organization",
+            F.when(F.col("has_contact"), F.struct(*CONTACT_FIELDS)).alias("contact"),
             "raw_email_count",
             "seq",
         )

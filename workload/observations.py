@@ -61,7 +61,7 @@ _SCALARS = {
     "http_server": "CASE WHEN event_id % 3 = 0 THEN event_type END",
     "http_title": "CASE WHEN event_id % 3 = 1 THEN event_type END",
     "shodan_module": "CASE WHEN event_id % 2 = 0 THEN 'https' ELSE 'auto' END",
-    "screenshot_text": """CASE WHEN event_type = 'signup' AND event_id % 301 = 0
+    "screenshot_text": """CASE WHEN event_type = 'signup' AND event_id % 7 = 0
         THEN concat('Login: user', CAST(user_id AS STRING)) END""",
 }
 
@@ -120,7 +120,7 @@ def _nested(dialect: str) -> dict[str, str]:
                 ELSE {arr.format("'vpn', 'iot'")} END END""",
         "cpe23": f"CASE WHEN event_id % 6 = 1 THEN {arr.format('event_type')} END",
         "vulns": f"CASE WHEN event_type = 'error' AND value > 20 THEN {vulns} END",
-        "screenshot_labels": f"""CASE WHEN event_type = 'signup' AND event_id % 301 = 0
+        "screenshot_labels": f"""CASE WHEN event_type = 'signup' AND event_id % 7 = 0
             THEN {arr.format("'windows'")} END""",
     }
 

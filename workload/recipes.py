@@ -12,7 +12,7 @@ TABLES = ("events", "customer", "nation", "pages", "labels", "conversations")
 
 # Every customer is an address found for the site of one page.
 _CUSTOMER_SITES = f"""
-    SELECT c.*, lower({SITE_OF_URL}) AS company_key
+    SELECT c.*, url, lower({SITE_OF_URL}) AS company_key
     FROM (SELECT s.*, s.c_custkey % (SELECT count(*) FROM {{pages}}) AS page_no
           FROM {{customer}} s) c
     JOIN {{pages}} p ON p.page_id = c.page_no
@@ -24,8 +24,17 @@ _POSITION = """CASE c_custkey % 7 WHEN 0 THEN 'Security Engineer' WHEN 1 THEN 'I
 
 _EMAIL = "concat(lower(replace(c_name, '#', '.')), '@', company_key)"
 
+# The other fields of an address entry.
+_ENTRY = """CASE WHEN c_custkey % 3 = 0 THEN 'generic' ELSE 'personal' END AS type,
+        CASE WHEN c_custkey % 2 = 0 THEN 'verified' ELSE 'unverified' END AS status,
+        CASE WHEN c_custkey % 3 > 0 THEN concat('First', CAST(c_custkey % 50 AS STRING)) END AS firstName,
+        CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS lastName,
+        CASE WHEN c_custkey % 5 > 0 THEN concat(c_mktsegment, ' Inc') END AS companyName,
+        CASE WHEN c_custkey % 4 > 0 THEN url END AS sourcePage"""
+
 EMAIL_HITS = f"""
     SELECT company_key, {_EMAIL} AS email, {_POSITION} AS position,
+        {_ENTRY},
         CASE WHEN c_custkey % 3 > 0 THEN CAST(floor(abs(c_acctbal)) AS BIGINT) % 100 END AS confidence,
         CASE WHEN c_custkey % 2 = 0 THEN c_custkey % 90 END AS smtp_status_percentage,
         c_custkey AS place
@@ -35,9 +44,11 @@ EMAIL_HITS = f"""
 CONTACT_RECORDS = f"""
     SELECT company_key, CAST(c_custkey % 100 AS DOUBLE) AS contact_score, c_mktsegment AS country,
         c_custkey % 4 > 0 AS has_contact,
-        CASE WHEN c_custkey % 2 = 0 THEN 'verified' ELSE 'unverified' END AS status,
+        {_ENTRY},
         CASE WHEN c_custkey % 9 = 0 THEN '' ELSE {_EMAIL} END AS email,
-        {_POSITION} AS position,
+        {_POSITION} AS position, CAST(c_custkey % 100 AS DOUBLE) AS confidence,
+        CAST(NULL AS DOUBLE) AS smtp_status_percentage,
+        concat(c_mktsegment, ' Org') AS organization,
         c_custkey % 5 AS raw_email_count, c_custkey AS seq
     FROM ({_CUSTOMER_SITES}) q
 """
@@ -59,7 +70,9 @@ TRACES = """
 EVAL_PAIRS = """
     SELECT doc_id, doc_id % 6 AS run_no, CASE WHEN doc_id % 2 = 0 THEN 'v1' ELSE 'v2' END AS prompt_version,
         CASE WHEN doc_id % 11 = 0 THEN 'escalate' WHEN quality = 1 THEN 'contact' ELSE 'skip' END AS expected,
-        CASE WHEN toxic = 1 THEN 'escalate' WHEN doc_id % 7 = 0 THEN 'skip' ELSE 'contact' END AS predicted
+        CASE WHEN toxic = 1 THEN 'escalate' WHEN doc_id % 7 = 0 THEN 'skip' ELSE 'contact' END AS predicted,
+        CASE WHEN doc_id % 2 = 0 THEN 'openai/gpt-oss-120b' ELSE 'claude-opus-5' END AS model,
+        600 + doc_id % 100 AS input_tokens, 50 + doc_id % 30 AS output_tokens
     FROM {labels}
 """
 
