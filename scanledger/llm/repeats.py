@@ -6,8 +6,8 @@ least (the leftmost, if tied). It depends on the string's bytes alone, so equal
 strings have their anchors at the same offset, and suffixes are kept only for
 anchors: a sparse suffix array, about one entry in 150 bytes.
 
-An anchor's context is what the strings that it stands for cover. Occurrences
-of equal contexts are counted, combined before the shuffle; more than one, and
+An anchor's context is what the strings that it stands for cover. Equal
+contexts are combined before the shuffle, and wherever there is more than one,
 all of the context is repeated. Different contexts with the same gram are
 sorted by what follows the anchor. One scan with a stack turns the lengths of
 common prefixes of neighbours into the tree of common-prefix intervals. An
@@ -17,14 +17,16 @@ on the left is a repeat. Its members reach as far to the left as to where what
 precedes them differs (left-extension diversity), so that the repeats found
 are maximal, with all their occurrences.
 
-A gram with more than ``CROWD`` different contexts is not gathered in a task:
-there the strings are compared by their digests, one row each.
+A gram with more than ``CROWD`` rows is not gathered in a task: there equal
+contexts are found by an aggregation and strings are compared by their digests,
+one row each.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -39,7 +41,7 @@ from scanledger.llm.common import batches, stored, texts_of
 
 SPAN = 400
 GRAM = 64
-#: Different contexts of one gram, of up to 740 bytes each, that one task holds.
+#: Contexts of one gram, of up to 740 bytes each, that one task holds.
 CROWD = 1 << 16
 #: Bytes of a text that are searched at once; places within them take twenty bits.
 _CHUNK = 1 << 19
@@ -49,21 +51,29 @@ _FINISH = np.uint64(0xD6E8FEB86659FD93)
 _BYTES = np.array([(b + 1) * _MIX * _MIX % (1 << 64) for b in range(256)], np.uint64)
 _POWERS = {k: np.uint64(pow(_MIX, k, 1 << 64)) for k in (1, 2, 4, 8, 16, 32)}
 
+#: A row is known by its id and a checksum of its text, so that rows of one id are told apart.
+_ROW = [("doc_id", pa.int64()), ("check", pa.int64())]
+_ROW_SQL = "doc_id long, check long"
+#: What a task has found: contexts with their number (2: two or more, all of them in spans already),
+#: or, without a gram, a span from ``first`` to ``last``.
 _ANCHORS = pa.schema(
     [
-        ("doc_id", pa.int64()), ("check", pa.int64()), ("gram", pa.int64()), ("context", pa.int64()),
+        *_ROW, ("gram", pa.int64()), ("context", pa.int64()), ("n", pa.int32()),
         ("at", pa.int64()), ("first", pa.int64()), ("last", pa.int64()),
     ]
 )
+_ANCHORS_SQL = f"{_ROW_SQL}, gram long, context long, n int, at long, first long, last long"
 _CONTEXTS = pa.schema(
-    [("gram", pa.int64()), ("context", pa.int64()), ("left", pa.binary()), ("right", pa.binary())]
-)
-_REACH = pa.schema(
-    [("gram", pa.int64()), ("context", pa.int64()), ("before", pa.int64()), ("after", pa.int64())]
-)
-_WINDOWS = pa.schema(
-    [("digest", pa.binary()), ("gram", pa.int64()), ("context", pa.int64()), ("before", pa.int64())]
-)
+    [
+        *_ROW, ("gram", pa.int64()), ("n", pa.int32()), ("at", pa.int64()),
+        ("left", pa.binary()), ("right", pa.binary()),
+    ]
+)
+_CONTEXTS_SQL = f"{_ROW_SQL}, gram long, n int, at long, left binary, right binary"
+_SPANS = pa.schema([*_ROW, ("start", pa.int64()), ("end", pa.int64())])
+_SPANS_SQL = f"{_ROW_SQL}, start long, end long"
+_WINDOWS = pa.schema([("digest", pa.binary()), *_ROW, ("n", pa.int32()), ("start", pa.int64())])
+_WINDOWS_SQL = f"digest binary, {_ROW_SQL}, n int, start long"
 _PACKED = pa.schema([("doc_id", pa.int64()), ("check", pa.int64()), ("packed", pa.binary())])
 
 
@@ -112,12 +122,30 @@ def _context_hash(text: bytes, at: int, first: int, last: int) -> int:
 
 
 def _anchor_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each different context of a batch; spans where it is found again."""
+
     def rows() -> Iterator[tuple]:
         for part in parts:
-            for doc_id, text in zip(part.column("doc_id").to_pylist(), texts_of(part), strict=True):
-                check = zlib.crc32(text)
-                for gram, at, first, last in zip(*anchors(text).tolist(), strict=True):
-                    yield doc_id, check, gram, _context_hash(text, at, first, last), at, first, last
+            found, texts = [], texts_of(part)
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
+                listed = anchors(text).tolist()
+                contexts = [_context_hash(text, *place) for place in zip(*listed[1:], strict=True)]
+                found.append((doc_id, zlib.crc32(text), listed, contexts))
+            seen = Counter(k for _, _, listed, contexts in found for k in zip(listed[0], contexts, strict=True))
+            given: set = set()
+            for doc_id, check, listed, contexts in found:
+                spans = []
+                for gram, at, first, last, context in zip(*listed, contexts, strict=True):
+                    key = (gram, context)
+                    n = min(seen[key], 2)
+                    if n > 1:
+                        spans.append((first, last + SPAN))
+                    if key not in given:
+                        yield doc_id, check, gram, context, n, at, first, last
+                        if n > 1:
+                            given.add(key)
+                for start, end in merged_spans(spans):
+                    yield doc_id, check, None, None, None, None, start, end
 
     yield from batches(rows(), _ANCHORS, 16_384)
 
@@ -180,30 +208,53 @@ def reach(lefts: list[bytes], rights: list[bytes]) -> list[tuple[int, int] | Non
     return [(b, a) if b >= 0 else None for b, a in zip(before, after, strict=True)]
 
 
+def _rows_of(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for part in parts:
+        yield from zip(*(c.to_pylist() for c in part.columns), strict=True)
+
+
+def _compare_contexts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts come sorted by gram. Repeated ones become spans; of grams with different contexts
+    and a single one among them, one row for each context goes on."""
+
+    def rows() -> Iterator[tuple]:
+        for gram, group in groupby(_rows_of(parts), key=lambda r: r[2]):
+            alike: dict[int, list[tuple]] = {}
+            for row in group:
+                alike.setdefault(row[3], []).append(row)
+            counts = {context: sum(r[4] for r in held) for context, held in alike.items()}
+            for context, held in alike.items():
+                if counts[context] > 1:
+                    for doc_id, check, _, _, n, _, first, last in held:
+                        if n == 1:
+                            yield doc_id, check, None, None, None, None, first, last + SPAN
+            if len(alike) > 1 and 1 in counts.values():
+                for context, held in alike.items():
+                    doc_id, check, _, _, _, at, first, last = held[0]
+                    yield doc_id, check, gram, context, min(counts[context], 2), at, first, last
+
+    yield from batches(rows(), _ANCHORS, 16_384)
+
+
 def _scan_groups(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts come sorted by gram and by what follows the anchor."""
 
-    def entries() -> Iterator[tuple]:
-        for part in parts:
-            yield from zip(*(c.to_pylist() for c in part.columns), strict=True)
-
     def rows() -> Iterator[tuple]:
-        for gram, group in groupby(entries(), key=lambda e: e[0]):
-            _, contexts, lefts, rights = zip(*group, strict=True)
-            for context, found in zip(contexts, reach(list(lefts), list(rights)), strict=True):
-                if found:
-                    yield gram, context, *found
+        for _, group in groupby(_rows_of(parts), key=lambda r: r[2]):
+            ids, checks, _, counts, places, lefts, rights = zip(*group, strict=True)
+            for k, found in enumerate(reach(list(lefts), list(rights))):
+                if found and counts[k] == 1:
+                    yield ids[k], checks[k], places[k] - found[0], places[k] + found[1]
 
-    yield from batches(rows(), _REACH)
+    yield from batches(rows(), _SPANS)
 
 
 def _window_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
-        for part in parts:
-            for gram, context, left, right in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                whole = left[::-1] + right
-                for k in range(len(whole) - SPAN + 1):
-                    yield xxhash.xxh3_128_digest(whole[k : k + SPAN]), gram, context, len(left) - k
+        for doc_id, check, _, n, at, left, right in _rows_of(parts):
+            whole, first = left[::-1] + right, at - len(left)
+            for k in range(len(whole) - SPAN + 1):
+                yield xxhash.xxh3_128_digest(whole[k : k + SPAN]), doc_id, check, n, first + k
 
     yield from batches(rows(), _WINDOWS, 16_384)
 
@@ -235,72 +286,67 @@ def _context_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     expand = zstandard.ZstdDecompressor().decompress
 
     def rows() -> Iterator[tuple]:
-        for part in parts:
-            wanted = part.column("wanted")
-            for k, packed in enumerate(part.column("packed").to_pylist()):
-                text = expand(packed)
-                for w in wanted[k].as_py():
-                    left = text[w["first"] : w["at"]][::-1]
-                    yield w["gram"], w["context"], left, text[w["at"] : w["last"] + SPAN]
+        for doc_id, check, packed, wanted in _rows_of(parts):
+            text = expand(packed)
+            for w in wanted:
+                left = text[w["first"] : w["at"]][::-1]
+                yield doc_id, check, w["gram"], w["n"], w["at"], left, text[w["at"] : w["last"] + SPAN]
 
     yield from batches(rows(), _CONTEXTS)
 
 
 def _context_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``gram, context, left, right`` of one occurrence of each wanted context."""
-    one = F.struct("gram", "context", "at", "first", "last")
+    """What precedes (reversed) and follows the anchor of each wanted context."""
     by_row = wanted.groupBy(F.col("doc_id").alias("of_doc"), F.col("check").alias("of_check")).agg(
-        F.collect_list(one).alias("wanted")
+        F.collect_list(F.struct("gram", "n", "at", "first", "last")).alias("wanted")
     )
     texts = packed_texts(docs)
-    return (
-        texts.join(by_row, _same_row(texts, by_row))
-        .select("packed", "wanted")
-        .mapInArrow(_context_rows, "gram long, context long, left binary, right binary")
-    )
+    joined = texts.join(by_row, _same_row(texts, by_row)).select("doc_id", "check", "packed", "wanted")
+    return joined.mapInArrow(_context_rows, _CONTEXTS_SQL)
 
 
-def repeated_reach(docs: DataFrame, found: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """``gram, context, before, after``: what of each context is repeated, around the anchor.
+def _as_spans(rows: DataFrame) -> DataFrame:
+    return rows.select("doc_id", "check", F.col("first").alias("start"), F.col("last").alias("end"))
 
-    ``found`` has all anchors of ``docs``. Contexts without repeats are left out.
-    """
-    contexts = found.groupBy("gram", "context").agg(
-        F.count("*").alias("n"),
-        *(F.first(c).alias(c) for c in ("doc_id", "check", "at", "first", "last")),
-    )
-    contexts = stored(contexts, "contexts")
-    alike = contexts.filter("n > 1").select(
-        "gram", "context", (F.col("at") - F.col("first")).alias("before"),
-        (F.col("last") + SPAN - F.col("at")).alias("after"),
-    )
-    # only grams that hold a context of a single occurrence and another one are left to compare
-    groups = (
-        contexts.groupBy("gram").agg(F.count("*").alias("members"), F.min("n").alias("least"))
-        .filter("members > 1 and least = 1").select("gram", "members")
-    )
-    wanted = contexts.join(groups, "gram")
-    sorted_out = (
-        _context_bytes(docs, wanted.filter(F.col("members") <= crowd))
+
+def _ordinary_spans(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Spans of the grams that a task can hold."""
+    by_gram = contexts.repartition("gram").sortWithinPartitions("gram")
+    compared = stored(by_gram.mapInArrow(_compare_contexts, _ANCHORS_SQL), "compared")
+    sorted_array = (
+        _context_bytes(docs, compared.filter(F.col("gram").isNotNull()))
         .repartition("gram")
         .sortWithinPartitions("gram", "right")
-        .mapInArrow(_scan_groups, "gram long, context long, before long, after long")
     )
-    windows = stored(
-        _context_bytes(docs, wanted.filter(F.col("members") > crowd)).mapInArrow(
-            _window_rows, "digest binary, gram long, context long, before long"
-        ),
-        "windows",
-    ) if groups.filter(F.col("members") > crowd).head(1) else None
-    parts = sorted_out
-    if windows is not None:
-        shared = windows.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
-        crowded = windows.join(shared, "digest").groupBy("gram", "context").agg(
-            F.max("before").alias("before"), (F.lit(SPAN) - F.min("before")).alias("after")
-        )
-        parts = parts.unionByName(crowded)
-    single = contexts.filter("n = 1").select("gram", "context")
-    return alike.unionByName(parts.join(single, ["gram", "context"], "left_semi"))
+    scanned = sorted_array.mapInArrow(_scan_groups, _SPANS_SQL)
+    return _as_spans(compared.filter(F.col("gram").isNull())).unionByName(scanned)
+
+
+def _crowded_spans(docs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Spans of the other grams, by aggregations that combine before their shuffle."""
+    place = [F.first(c).alias(c) for c in ("doc_id", "check", "at", "first", "last")]
+    counted = stored(contexts.groupBy("gram", "context").agg(F.sum("n").cast("int").alias("n"), *place), "crowded")
+    alike = counted.filter("n > 1").select("gram", "context")
+    found = contexts.filter("n = 1").join(alike, ["gram", "context"])
+    found = found.withColumn("last", F.col("last") + SPAN)
+    windows = stored(_context_bytes(docs, counted).mapInArrow(_window_rows, _WINDOWS_SQL), "windows")
+    shared = windows.groupBy("digest").agg(F.count("*").alias("strings")).filter("strings > 1").select("digest")
+    strings = windows.filter("n = 1").join(shared, "digest")
+    strings = strings.select("doc_id", "check", "start", (F.col("start") + SPAN).alias("end"))
+    return _as_spans(found).unionByName(strings)
+
+
+def repeated_spans(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """``doc_id, check, start, end``: spans that together cover all repeated strings."""
+    found = stored(docs.select("doc_id", "text").mapInArrow(_anchor_rows, _ANCHORS_SQL), "anchors")
+    contexts = found.filter(F.col("gram").isNotNull())
+    crowds = contexts.groupBy("gram").agg(F.count("*").alias("rows")).filter(F.col("rows") > crowd)
+    crowds = stored(crowds.select("gram"), "crowds")
+    spans = _as_spans(found.filter(F.col("gram").isNull()))
+    if crowds.head(1):
+        spans = spans.unionByName(_crowded_spans(docs, contexts.join(crowds, "gram", "left_semi")))
+        contexts = contexts.join(crowds, "gram", "left_anti")
+    return spans.unionByName(_ordinary_spans(docs, contexts))
 
 
 def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -367,14 +413,10 @@ def remove_repeats(docs: DataFrame, crowd: int = CROWD, with_bytes: bool = True)
     repeat an id are told apart by their text; wholly equal rows are repeats of
     each other. An empty table gives no rows; other columns aren't read.
     """
-    schema = "doc_id long, check long, gram long, context long, at long, first long, last long"
-    found = stored(docs.select("doc_id", "text").mapInArrow(_anchor_rows, schema), "anchors")
-    known = repeated_reach(docs, found, crowd)
-    span = F.struct((F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("end"))
     spans = (
-        found.join(known, ["gram", "context"])
+        repeated_spans(docs, crowd)
         .groupBy(F.col("doc_id").alias("of_doc"), F.col("check").alias("of_check"))
-        .agg(F.collect_list(span).alias("spans"))
+        .agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     )
     texts = packed_texts(docs)
     joined = texts.join(spans, _same_row(texts, spans), "left").select("doc_id", "packed", "spans")
