@@ -18,6 +18,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
+import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -44,8 +47,12 @@ TASK_WORDS = 1 << 20
 
 _COUNTS = pa.schema([("word", pa.string()), ("seen", pa.int64())])
 _IDS = pa.schema([("word", pa.string()), ("ids", pa.binary())])
-_RARE = pa.schema([("word", pa.string()), ("text_key", pa.binary()), ("place", pa.int32())])
-_PLACED = pa.schema([("text_key", pa.binary()), ("place", pa.int32()), ("ids", pa.binary())])
+#: A row is known by its id and a checksum of its text, so that rows of one id are told apart.
+_KEY = [("doc_id", pa.int64()), ("check", pa.int64())]
+_RARE = pa.schema([("word", pa.string()), *_KEY, ("place", pa.int32())])
+_PLACED = pa.schema([*_KEY, ("place", pa.int32()), ("ids", pa.binary())])
+#: Ids as they are stored; both vocabularies have fewer than 65,536.
+_ID = np.dtype("<u2")
 
 
 # --- vocabulary ------------------------------------------------------------------------------
@@ -56,6 +63,7 @@ def read_ranks(vocabulary: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+_NATIVE = sys.byteorder == "little"
 _encodings: dict[str, tiktoken.Encoding] = {}
 
 
@@ -70,7 +78,7 @@ def word_ids(vocabulary: str, words: list[str]) -> list[list[int]]:
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return array("H", ids).tobytes() if _NATIVE else np.array(ids, _ID).tobytes()
 
 
 # --- frequent words --------------------------------------------------------------------------
@@ -120,9 +128,9 @@ class FrequentWords(WordTable):
         words, lists = table.column("word").to_pylist(), table.column("ids").to_pylist()
         self.index = dict(zip(words, range(len(words)), strict=True))
         # one more word without ids, which place -1 finds, stands for every other word
-        self.lengths = np.array([*(len(x) // 4 for x in lists), 0], np.int64)
+        self.lengths = np.array([*(len(x) // _ID.itemsize for x in lists), 0], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.flat = np.frombuffer(b"".join(lists), "<u4").astype(np.uint32)
+        self.flat = np.frombuffer(b"".join(lists), _ID).astype(np.uint32)
         self.size, self.used = len(words), len(self.flat)
         edges, values = self.starts.tolist(), self.flat.tolist()
         self.decimal = [
@@ -161,27 +169,31 @@ def broadcast_words(spark: SparkSession, words: DataFrame) -> Broadcast:
 # --- other words -----------------------------------------------------------------------------
 
 
-def text_key(text: str) -> bytes:
-    """Equal texts share their rare words, also in rows that repeat an id."""
-    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
-
-
 def _rare_words(frequent: Broadcast):
     def find(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = worker_table(frequent).index
+        find_word = worker_table(frequent).index.get
+        for part in parts:
+            rare, places, rows, checks = [], [], [], []
+            for row, text in enumerate(part.column("text").to_pylist()):
+                words = split_words(text or "")
+                at = np.fromiter(map(find_word, words, repeat(-1)), np.int32, len(words))
+                holes = np.flatnonzero(at < 0)
+                if len(holes):
+                    rare.extend(map(words.__getitem__, holes.tolist()))
+                    places.append(holes)
+                    rows.append(np.full(len(holes), row))
+                    checks.append(np.full(len(holes), _check(text)))
+            if rare:
+                ids = part.column("doc_id").take(pa.array(np.concatenate(rows)))
+                columns = [pa.array(rare, pa.string()), ids, pa.array(np.concatenate(checks))]
+                columns.append(pa.array(np.concatenate(places), pa.int32()))
+                yield pa.RecordBatch.from_arrays(columns, schema=_RARE)
 
-        def rows() -> Iterator[tuple]:
-            for part in parts:
-                for text in part.column("text").to_pylist():
-                    words, key = split_words(text or ""), None
-                    for place, word in enumerate(words):
-                        if word not in index:
-                            key = key or text_key(text)
-                            yield word, key, place
+    return find
 
-        yield from batches(rows(), _RARE, 16_384)
 
-    return find
+def _check(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
 
 
 def _encode_placed(vocabulary: str):
@@ -194,22 +206,24 @@ def _encode_placed(vocabulary: str):
                 held, new = {}, list(set(words))
             held.update(zip(new, map(_packed, word_ids(vocabulary, new)), strict=True))
             ids = pa.array([held[w] for w in words], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("text_key"), part.column("place"), ids], schema=_PLACED)
+            known = [part.column(name) for name in ("doc_id", "check", "place")]
+            yield pa.RecordBatch.from_arrays([*known, ids], schema=_PLACED)
 
     return encode
 
 
 def rare_ids(docs: DataFrame, frequent: Broadcast, vocabulary: str) -> DataFrame:
-    """``text_key, placed``: the ids of each text's other words with their positions."""
-    rare = docs.select("text").mapInArrow(
-        _rare_words(frequent), "word string, text_key binary, place int"
+    """``doc_id, check, placed``: the ids of each text's other words with their positions."""
+    rare = docs.select("doc_id", "text").mapInArrow(
+        _rare_words(frequent), "word string, doc_id long, check long, place int"
     )
     placed = (
         rare.repartition("word")
         .sortWithinPartitions("word")
-        .mapInArrow(_encode_placed(vocabulary), "text_key binary, place int, ids binary")
+        .mapInArrow(_encode_placed(vocabulary), "doc_id long, check long, place int, ids binary")
     )
-    return placed.groupBy("text_key").agg(F.collect_set(F.struct("place", "ids")).alias("placed"))
+    # a set, as rows that repeat id and text send the same places
+    return placed.groupBy("doc_id", "check").agg(F.collect_set(F.struct("place", "ids")).alias("placed"))
 
 
 # --- whole texts -----------------------------------------------------------------------------
@@ -223,7 +237,7 @@ def _pack_texts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = {name: part.column(name) for name in part.schema.names if name != "text"}
         packed = [None if t is None else compress(t.encode("utf-8", "surrogatepass")) for t in texts]
         columns["__packed"] = pa.array(packed, pa.binary())
-        columns["__text_key"] = pa.array([text_key(t or "") for t in texts], pa.binary())
+        columns["__check"] = pa.array([_check(t or "") for t in texts], pa.int64())
         yield pa.RecordBatch.from_pydict(columns)
 
 
@@ -244,7 +258,8 @@ class _Assembler:
     def decode(self, ids: np.ndarray) -> bytes:
         return gather(self.token_bytes, self.token_starts[ids], self.token_lengths[ids]).tobytes()
 
-    def assemble(self, text: str, placed: list[dict] | None) -> tuple:
+    def assemble(self, text: str, places: np.ndarray, ends: np.ndarray, flat: np.ndarray) -> tuple:
+        """``places`` of the rare words, and where in ``flat`` the ids of each end (one more entry)."""
         table = self.table
         words = split_words(text)
         at = np.fromiter(map(table.index.get, words, repeat(-1)), np.int64, len(words))
@@ -252,13 +267,14 @@ class _Assembler:
         decimal = [table.decimal[k] for k in at.tolist()]
         holes = np.flatnonzero(at < 0)
         if len(holes):
-            by_place = {p["place"]: np.frombuffer(p["ids"], "<u4") for p in placed}
-            lists = [by_place[h] for h in holes.tolist()]
-            lengths[holes] = [len(x) for x in lists]
-            lent = table.lend(np.concatenate(lists))
-            starts[holes] = lent + np.cumsum(lengths[holes]) - lengths[holes]
-            for hole, ids in zip(holes.tolist(), lists, strict=True):
-                decimal[hole] = ",".join(map(str, ids.tolist()))
+            order = np.argsort(places)
+            if not np.array_equal(places[order], holes):
+                raise ValueError("the ids of some words are missing")
+            lengths[holes] = np.diff(ends)[order]
+            starts[holes] = table.lend(flat) + ends[:-1][order]
+            listed, edges = list(map(str, flat.tolist())), ends.tolist()
+            for hole, k in zip(holes.tolist(), order.tolist(), strict=True):
+                decimal[hole] = ",".join(listed[edges[k] : edges[k + 1]])
         ids = gather(table.flat, starts, lengths)
         return (
             len(ids), ids if self.with_ids else None,
@@ -267,16 +283,30 @@ class _Assembler:
         )
 
 
+def _placed_arrays(placed: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each row the places, the ends of their ids in the last array, and that array."""
+    starts = placed.offsets.to_numpy()
+    values = placed.values
+    places, ids = values.field("place").to_numpy(zero_copy_only=False), values.field("ids")
+    edges = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+    data = ids.buffers()[2]
+    flat = np.frombuffer(data, _ID, len(data) // _ID.itemsize) if data else np.zeros(0, _ID)
+    for k in range(len(placed)):
+        first, last = starts[k], starts[k + 1]
+        ends = edges[first : last + 1].astype(np.int64) // _ID.itemsize
+        yield places[first:last], ends - ends[0], flat[ends[0] : ends[-1]]
+
+
 def _assemble(frequent: Broadcast, tokens: Broadcast, with_ids: bool):
     def assemble(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = _Assembler(worker_table(frequent), tokens.value, with_ids)
         expand = zstandard.ZstdDecompressor().decompress
         for part in parts:
             found = []
-            placed = part.column("__placed")
-            for k, packed in enumerate(part.column("__packed").to_pylist()):
+            placed = _placed_arrays(part.column("__placed"))
+            for packed, rare in zip(part.column("__packed").to_pylist(), placed, strict=True):
                 text = "" if packed is None else expand(packed).decode("utf-8", "surrogatepass")
-                found.append(work.assemble(text, placed[k].as_py()))
+                found.append(work.assemble(text, *rare))
             fields = [pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), _encoded_type, strict=True)]
             columns = {n: part.column(n) for n in part.schema.names if n not in ("__placed", "__packed")}
             if found:
@@ -305,15 +335,18 @@ def encode_and_decode(
     spark = docs.sparkSession
     words = broadcast_words(spark, frequent_words(docs, vocabulary, frequent))
     ranks = read_ranks(vocabulary)
+    if max(ranks.values()) > np.iinfo(_ID).max:
+        raise ValueError("the ids of this vocabulary don't fit into two bytes")
     table: list[bytes] = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         table[rank] = token
     tokens = spark.sparkContext.broadcast(table)
 
-    packed = docs.mapInArrow(_pack_texts, schema_of(docs, "__packed binary, __text_key binary", ("text",)))
+    packed = docs.mapInArrow(_pack_texts, schema_of(docs, "__packed binary, __check long", ("text",)))
     rare = rare_ids(docs, words, vocabulary).select(
-        F.col("text_key").alias("__rare_key"), F.col("placed").alias("__placed")
+        F.col("doc_id").alias("__id"), F.col("check").alias("__id_check"), F.col("placed").alias("__placed")
     )
-    joined = packed.join(rare, F.col("__text_key") == F.col("__rare_key"), "left").drop("__rare_key", "__text_key")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__check") == F.col("__id_check"))
+    joined = packed.join(rare, same, "left").drop("__id", "__id_check", "__check")
     kind = "struct<n_tokens: bigint, ids: array<int>, ids_sha256: string, decoded_sha256: string>"
     return joined.mapInArrow(_assemble(words, tokens, with_ids), schema_of(docs, f"encoded {kind}", ("text",)))
