@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -36,47 +37,58 @@ def split_words(text: str) -> list[str]:
 class WordTable:
     """Ids of words, kept in flat arrays so that whole documents are looked up at once.
 
-    ``encode`` gives the ids of a word not held yet. More than ``most`` words
-    are forgotten by ``trim``, between batches.
+    ``encode`` gives the ids of a word not held yet. When more than ``most``
+    words are held, those met once are forgotten between two lookups.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]] | None, most: int):
+    def __init__(self, encode: Callable[[str], list[int]], most: int):
         self.encode, self.most = encode, most
-        self.trim(force=True)
+        self._fill([], [])
 
-    def trim(self, force: bool = False) -> None:
-        if not force and len(self.index) <= self.most:
-            return
+    def _fill(self, words: list[str], ids: list[array]) -> None:
         table = self
 
         class Index(dict):
             def __missing__(self, word: str) -> int:
-                self[word] = at = table.add(table.encode(word))
+                self[word] = at = table._add(table.encode(word))
                 return at
 
-        self.index = Index()
-        self.size = self.used = 0
-        self.starts, self.lengths = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-        self.flat = np.zeros(1 << 14, np.uint32)
-
-    def add(self, ids: list[int]) -> int:
-        at, end = self.size, self.used + len(ids)
-        if at == len(self.starts):
-            self.starts, self.lengths = _doubled(self.starts), _doubled(self.lengths)
-        while end > len(self.flat):
-            self.flat = _doubled(self.flat)
-        self.starts[at], self.lengths[at] = self.used, len(ids)
-        self.flat[self.used : end] = ids
-        self.size, self.used = at + 1, end
-        return at
-
-    def gather(self, places: np.ndarray) -> np.ndarray:
-        """The ids of many words, one after the other."""
-        return gather(self.flat, self.starts[places], self.lengths[places])
+        self.index, self.hits = Index(), np.zeros(0, np.int64)
+        self.starts, self.lengths, self.flat = array("q"), array("q"), array("I")
+        for word, own in zip(words, ids, strict=True):
+            self.index[word] = self._add(own)
 
+    def _add(self, ids) -> int:
+        at = len(self.lengths)
+        self.starts.append(len(self.flat))
+        self.lengths.append(len(ids))
+        self.flat.extend(ids)
+        return at
 
-def _doubled(values: np.ndarray) -> np.ndarray:
-    return np.concatenate([values, np.zeros_like(values)])
+    def lookup(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some lists of words, one after the other, and how many each list has."""
+        self._forget()
+        places = array("q")
+        for words in texts:
+            places.extend(map(self.index.__getitem__, words))
+        at = np.frombuffer(places, np.int64) if places else np.zeros(0, np.int64)
+        starts, lengths = np.array(self.starts), np.array(self.lengths)
+        met = np.bincount(at, minlength=len(lengths))
+        met[: len(self.hits)] += self.hits
+        self.hits = met
+        ends = np.concatenate([[0], np.cumsum(lengths[at])])
+        edges = np.concatenate([[0], np.cumsum([len(words) for words in texts])])
+        return gather(np.array(self.flat), starts[at], lengths[at]), np.diff(ends[edges])
+
+    def _forget(self) -> None:
+        if len(self.index) <= self.most:
+            return
+        kept = np.flatnonzero(self.hits > 1)
+        if len(kept) > self.most // 2:
+            kept = np.sort(np.argsort(-self.hits, kind="stable")[: self.most // 2])
+        words = list(self.index)
+        spans = [(self.starts[k], self.lengths[k]) for k in kept]
+        self._fill([words[k] for k in kept], [self.flat[s : s + n] for s, n in spans])
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

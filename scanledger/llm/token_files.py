@@ -123,24 +123,21 @@ class Words(WordTable):
         if tokenizer.normalizer is not None:
             raise ValueError("a vocabulary whose tokenizer changes texts can't be used by words")
         self.tokenize, self.shown = tokenizer.model.tokenize, byte_characters()
+        self.space = chr(self.shown[ord(" ")])
         super().__init__(self._encode, most)
 
     def _encode(self, word: str) -> list[int]:
-        shown = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.shown)
+        if word.isascii() and word.isalnum():
+            shown = word
+        elif word.isascii() and word[1:].isalnum() and word[0] == " ":
+            shown = self.space + word[1:]
+        else:
+            shown = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.shown)
         return [t.id for t in self.tokenize(shown)]
 
     def documents(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of some texts, one after the other, and how many each has."""
-        self.trim()
-        places, sizes = [], []
-        for text in texts:
-            words = split_words(text)
-            places.extend(map(self.index.__getitem__, words))
-            sizes.append(len(words))
-        at = np.array(places, dtype=np.int64)
-        ends = np.concatenate([[0], np.cumsum(self.lengths[at])])
-        edges = np.concatenate([[0], np.cumsum(sizes)])
-        return self.gather(at), np.diff(ends[edges])
+        return self.lookup([split_words(text) for text in texts])
 
 
 _words: dict[str, Words] = {}
