@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scanledger.llm.common import stored
+
 PLACES = 4096
 CENTROIDS = 4
 #: Training texts of a language that are clustered: those with the smallest hash of their id.
@@ -166,9 +168,15 @@ def fit_languages(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
     """
     training = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     idf = inverse_frequencies(training)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = training.select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
-    chosen = chosen.filter(F.col("rank") <= rows).select("doc_id", "lang").distinct()
+    counts = stored(training.groupBy("lang").agg(F.count("*").alias("texts")), "counts")
+    # hashes that are small enough to be among the first of their language, with ample room, so
+    # that a language of any size sends no more than twice ``rows`` to its rank
+    place = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
+    early = training.select("doc_id", "lang").join(counts, "lang").filter(place * F.col("texts") < 2 * rows)
+    order = Window.partitionBy("lang").orderBy(place, "doc_id")
+    ranked = early.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= rows)
+    # stored, so that its true size decides whether the texts must be shuffled to it
+    chosen = stored(ranked.select("doc_id", "lang").distinct(), "chosen")
     texts = training.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"])
     fitted = texts.groupBy("lang").applyInPandas(
         _fit_language(idf), "lang string, centroid array<float>, least double"
