@@ -36,7 +36,8 @@ def source_rates(
 
     ``size`` is the size of the mixture over that of the corpus, in characters.
     ``weights`` are the target shares (scaled to sum 1; a source not named gets
-    none); without them the share of characters to the power ``EVENNESS``. A
+    none, and if none of those named is present there is no mixture); without
+    them the share of characters to the power ``EVENNESS``. A
     null source is a source of its own; one without characters has rate 1.
     """
     sizes = docs.groupBy("source").agg(F.sum(F.length(F.coalesce("text", F.lit("")))).alias("chars"))
@@ -47,7 +48,7 @@ def source_rates(
         named = sizes.join(given, sizes["source"].eqNullSafe(given["named"]), "left").drop("named")
         aimed = named.withColumn("weight", F.coalesce("weight", F.lit(0.0)))
     total = aimed.agg(F.sum("chars").alias("chars"), F.sum("weight").alias("weight")).first()
-    share = F.col("weight") / F.lit(total.weight)
+    share = F.coalesce(F.try_divide("weight", F.lit(total.weight)), F.lit(0.0))
     rate = share * F.lit(total.chars) * F.lit(size) / F.col("chars")
     return aimed.select("source", F.when(F.col("chars") == 0, 1.0).otherwise(rate).alias("rate"))
 

@@ -140,6 +140,12 @@ def test_mixing_draws_by_inversion(spark):
     assert mixed.filter("salt = 'own' and rate = 'own'").count() == len(expected)
 
 
+def test_mixing_without_anything_to_mix(spark):
+    empty = table(spark, [(k, ["", None][k % 2], None, "a", 0) for k in range(200)])
+    assert 120 < mixing.mix_sources(empty).count() < 280
+    assert mixing.mix_sources(table(spark, ROWS), {"unseen": 1.0}).count() == 0
+
+
 def test_mixing_reaches_target_shares_and_large_rates(spark):
     docs = spark.range(4000).selectExpr(
         "id AS doc_id", "repeat('x', 10) AS text", "if(id % 100 = 0, 'small', 'large') AS source"
@@ -404,11 +410,12 @@ def test_bpe(spark, frequent):
     library = tiktoken.Encoding(
         "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(bpe.VOCABULARY), special_tokens={}
     )
+    rows = [*ROWS, (None, words(1, 200), None, None, None), (0, words(2, 60), None, None, None)]
     expected = []
-    for doc_id, text, *_ in ROWS:
+    for doc_id, text, *_ in rows:
         ids = library.encode_ordinary(text or "")
         expected.append((doc_id, len(ids), ids, sha(",".join(map(str, ids))), sha(text or "")))
-    encoded = bpe.encode_and_decode(table(spark, ROWS, True), frequent=frequent)
+    encoded = bpe.encode_and_decode(table(spark, rows, True), frequent=frequent)
     fields = (f"encoded.{c}" for c in ("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
     assert found(encoded, "doc_id", *fields) == same(expected)
     assert set(CLASHES) <= set(encoded.columns)
