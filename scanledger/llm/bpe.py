@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import sys
 import zlib
 from array import array
@@ -35,22 +36,27 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger.llm.common import batches, schema_of
-from scanledger.llm.pretokens import WordTable, gather, split_words
+from scanledger.llm.common import batches, schema_of, stored
+from scanledger.llm.pretokens import gather, split_words
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Words that are broadcast with their ids, about 14 bytes each; longer ones than this are not.
 FREQUENT_WORDS = 1 << 19
 FREQUENT_CHARS = 32
+#: Most frequent words of a task that it reports.
+SENT_WORDS = 1 << 17
+#: Rare words that a task holds before it sends them on by text.
+PLACED_ROWS = 1 << 20
 #: Distinct words that a task counts before it forgets those it has met once.
 TASK_WORDS = 1 << 20
 
 _COUNTS = pa.schema([("word", pa.string()), ("seen", pa.int64())])
 _IDS = pa.schema([("word", pa.string()), ("ids", pa.binary())])
-#: A row is known by its id and a checksum of its text, so that rows of one id are told apart.
+#: A row is known by its id and a checksum of its text, so that rows of one id are told apart. A
+#: null id is known as 0 with another checksum: keys without nulls need one shuffle less.
 _KEY = [("doc_id", pa.int64()), ("check", pa.int64())]
 _RARE = pa.schema([("word", pa.string()), *_KEY, ("place", pa.int32())])
-_PLACED = pa.schema([*_KEY, ("place", pa.int32()), ("ids", pa.binary())])
+_PLACED = pa.schema([*_KEY, ("placed", pa.binary())])
 #: Ids as they are stored; both vocabularies have fewer than 65,536.
 _ID = np.dtype("<u2")
 
@@ -93,9 +99,8 @@ def _count_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen = Counter({w: n for w, n in seen.items() if n > 1})
                 if len(seen) > TASK_WORDS // 2:
                     seen = Counter(dict(seen.most_common(TASK_WORDS // 2)))
-    yield from batches(
-        ((w, n) for w, n in seen.items() if n > 1 and len(w) <= FREQUENT_CHARS), _COUNTS
-    )
+    short = ((w, n) for w, n in seen.items() if len(w) <= FREQUENT_CHARS)
+    yield from batches(heapq.nlargest(SENT_WORDS, short, key=lambda item: item[1]), _COUNTS)
 
 
 def _encode_words(vocabulary: str):
@@ -111,31 +116,37 @@ def _encode_words(vocabulary: str):
 def frequent_words(docs: DataFrame, vocabulary: str, most: int = FREQUENT_WORDS) -> DataFrame:
     """``word, ids`` of the most frequent words, ``most`` at the most.
 
+    They are all words counted at least so often, without a sort of them all.
     Which words are among them affects what is shuffled, not the result. A task
-    with very many distinct words forgets rare ones and so may count a word
-    too low.
+    reports its own most frequent words and forgets rare ones when it has met
+    very many, and so may count a word too low.
     """
     counts = docs.select("text").mapInArrow(_count_words, "word string, seen long")
-    top = counts.groupBy("word").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "word").limit(most)
-    return top.select("word").mapInArrow(_encode_words(vocabulary), "word string, ids binary")
-
-
-class FrequentWords(WordTable):
-    """The broadcast words, with their ids also as decimal text."""
+    counts = stored(counts.groupBy("word").agg(F.sum("seen").alias("seen")), "words")
+    # counts in steps of a sixteenth of a power of two: few, whatever the size of the corpus
+    counts = counts.withColumn("step", F.floor(F.log2("seen") * 16))
+    sizes = counts.groupBy("step").agg(F.count("*").alias("words")).collect()
+    held, steps = 0, []
+    for row in sorted(sizes, key=lambda r: -r.step):
+        held += row.words
+        if held > most:
+            break
+        steps.append(row.step)
+    top = counts.filter(F.col("step") >= F.lit(steps[-1]) if steps else F.lit(False)).select("word")
+    return top.mapInArrow(_encode_words(vocabulary), "word string, ids binary")
+
+
+class FrequentWords:
+    """The broadcast words, with their ids in flat arrays."""
 
     def __init__(self, table: pa.Table):
-        super().__init__(None, 0)
         words, lists = table.column("word").to_pylist(), table.column("ids").to_pylist()
         self.index = dict(zip(words, range(len(words)), strict=True))
         # one more word without ids, which place -1 finds, stands for every other word
         self.lengths = np.array([*(len(x) // _ID.itemsize for x in lists), 0], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.frombuffer(b"".join(lists), _ID).astype(np.uint32)
-        self.size, self.used = len(words), len(self.flat)
-        edges, values = self.starts.tolist(), self.flat.tolist()
-        self.decimal = [
-            ",".join(map(str, values[a:b])) for a, b in zip(edges, edges[1:], strict=False)
-        ] + [""]
+        self.used = len(self.flat)
 
     def lend(self, ids: np.ndarray) -> int:
         """Put the ids of one text's other words behind the table's own until the next call."""
@@ -174,6 +185,7 @@ def _rare_words(frequent: Broadcast):
         find_word = worker_table(frequent).index.get
         for part in parts:
             rare, places, rows, checks = [], [], [], []
+            unnamed = part.column("doc_id").is_null().to_pylist()
             for row, text in enumerate(part.column("text").to_pylist()):
                 words = split_words(text or "")
                 at = np.fromiter(map(find_word, words, repeat(-1)), np.int32, len(words))
@@ -182,9 +194,9 @@ def _rare_words(frequent: Broadcast):
                     rare.extend(map(words.__getitem__, holes.tolist()))
                     places.append(holes)
                     rows.append(np.full(len(holes), row))
-                    checks.append(np.full(len(holes), _check(text)))
+                    checks.append(np.full(len(holes), _check(text, unnamed[row])))
             if rare:
-                ids = part.column("doc_id").take(pa.array(np.concatenate(rows)))
+                ids = part.column("doc_id").fill_null(0).take(pa.array(np.concatenate(rows)))
                 columns = [pa.array(rare, pa.string()), ids, pa.array(np.concatenate(checks))]
                 columns.append(pa.array(np.concatenate(places), pa.int32()))
                 yield pa.RecordBatch.from_arrays(columns, schema=_RARE)
@@ -192,38 +204,72 @@ def _rare_words(frequent: Broadcast):
     return find
 
 
-def _check(text: str) -> int:
-    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
+def _check(text: str, unnamed: bool) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) | int(unnamed) << 32
+
+
+def _pack_places(places: np.ndarray, lengths: np.ndarray, ids: bytes) -> bytes:
+    head = np.array([len(places)], "<u4")
+    return b"".join((head.tobytes(), places.astype("<u4").tobytes(), lengths.astype("<u2").tobytes(), ids))
+
+
+def _unpack_places(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(packed, "<u4", 1)[0])
+    places = np.frombuffer(packed, "<u4", n, 4).astype(np.int64)
+    lengths = np.frombuffer(packed, "<u2", n, 4 + 4 * n).astype(np.int64)
+    return places, lengths, np.frombuffer(packed, _ID, -1, 4 + 6 * n)
+
+
+def _by_text(parts: list[pa.RecordBatch], ids: list[bytes]) -> pa.RecordBatch:
+    """Rows of words as one row for each text."""
+    doc_ids, checks, places = (
+        np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("doc_id", "check", "place")
+    )
+    order = np.lexsort((places, checks, doc_ids))
+    key = np.stack([doc_ids[order], checks[order]])
+    first = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
+    lengths = np.array([len(i) // _ID.itemsize for i in ids])[order]
+    packed = [
+        _pack_places(places[order[a:b]], lengths[a:b], b"".join([ids[k] for k in order[a:b].tolist()]))
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True)
+    ]
+    columns = [pa.array(doc_ids[order[first]]), pa.array(checks[order[first]]), pa.array(packed, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, schema=_PLACED)
 
 
 def _encode_placed(vocabulary: str):
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, bytes] = {}
+        rows: list[pa.RecordBatch] = []
+        ids: list[bytes] = []
         for part in parts:
             words = part.column("word").to_pylist()
-            new = list({w for w in words if w not in held})
             if len(held) > TASK_WORDS:  # words come sorted: earlier ones don't come again
-                held, new = {}, list(set(words))
+                held = {}
+            new = list({w for w in words if w not in held})
             held.update(zip(new, map(_packed, word_ids(vocabulary, new)), strict=True))
-            ids = pa.array([held[w] for w in words], pa.binary())
-            known = [part.column(name) for name in ("doc_id", "check", "place")]
-            yield pa.RecordBatch.from_arrays([*known, ids], schema=_PLACED)
+            ids += [held[w] for w in words]
+            rows.append(part.select(["doc_id", "check", "place"]))
+            if len(ids) >= PLACED_ROWS:
+                yield _by_text(rows, ids)
+                rows, ids = [], []
+        if ids:
+            yield _by_text(rows, ids)
 
     return encode
 
 
 def rare_ids(docs: DataFrame, frequent: Broadcast, vocabulary: str) -> DataFrame:
-    """``doc_id, check, placed``: the ids of each text's other words with their positions."""
+    """``doc_id, check, placed``: the ids of each text's other words with their positions, packed."""
     rare = docs.select("doc_id", "text").mapInArrow(
         _rare_words(frequent), "word string, doc_id long, check long, place int"
     )
     placed = (
         rare.repartition("word")
         .sortWithinPartitions("word")
-        .mapInArrow(_encode_placed(vocabulary), "doc_id long, check long, place int, ids binary")
+        .mapInArrow(_encode_placed(vocabulary), "doc_id long, check long, placed binary")
     )
-    # a set, as rows that repeat id and text send the same places
-    return placed.groupBy("doc_id", "check").agg(F.collect_set(F.struct("place", "ids")).alias("placed"))
+    return placed.groupBy("doc_id", "check").agg(F.collect_set("placed").alias("placed"))
 
 
 # --- whole texts -----------------------------------------------------------------------------
@@ -237,7 +283,9 @@ def _pack_texts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = {name: part.column(name) for name in part.schema.names if name != "text"}
         packed = [None if t is None else compress(t.encode("utf-8", "surrogatepass")) for t in texts]
         columns["__packed"] = pa.array(packed, pa.binary())
-        columns["__check"] = pa.array([_check(t or "") for t in texts], pa.int64())
+        unnamed = part.column("doc_id").is_null().to_pylist()
+        checks = [_check(t or "", u) for t, u in zip(texts, unnamed, strict=True)]
+        columns["__check"] = pa.array(checks, pa.int64())
         yield pa.RecordBatch.from_pydict(columns)
 
 
@@ -251,6 +299,7 @@ class _Assembler:
 
     def __init__(self, table: FrequentWords, tokens: list[bytes], with_ids: bool):
         self.table, self.with_ids = table, with_ids
+        self.decimal = [str(k) for k in range(len(tokens))]
         self.token_lengths = np.array([len(t) for t in tokens], np.int64)
         self.token_starts = np.cumsum(self.token_lengths) - self.token_lengths
         self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
@@ -258,55 +307,39 @@ class _Assembler:
     def decode(self, ids: np.ndarray) -> bytes:
         return gather(self.token_bytes, self.token_starts[ids], self.token_lengths[ids]).tobytes()
 
-    def assemble(self, text: str, places: np.ndarray, ends: np.ndarray, flat: np.ndarray) -> tuple:
-        """``places`` of the rare words, and where in ``flat`` the ids of each end (one more entry)."""
+    def assemble(self, text: str, placed: list[bytes] | None) -> tuple:
+        """``placed``: the packed rare words; rows that repeat id and text give them again."""
         table = self.table
         words = split_words(text)
         at = np.fromiter(map(table.index.get, words, repeat(-1)), np.int64, len(words))
         lengths, starts = table.lengths[at], table.starts[at]
-        decimal = [table.decimal[k] for k in at.tolist()]
         holes = np.flatnonzero(at < 0)
         if len(holes):
-            order = np.argsort(places)
-            if not np.array_equal(places[order], holes):
+            parts = [_unpack_places(p) for p in placed or ()]
+            places, own, flat = (np.concatenate(c) for c in zip(*parts, strict=True))
+            places, order = np.unique(places, return_index=True)
+            if not np.array_equal(places, holes):
                 raise ValueError("the ids of some words are missing")
-            lengths[holes] = np.diff(ends)[order]
-            starts[holes] = table.lend(flat) + ends[:-1][order]
-            listed, edges = list(map(str, flat.tolist())), ends.tolist()
-            for hole, k in zip(holes.tolist(), order.tolist(), strict=True):
-                decimal[hole] = ",".join(listed[edges[k] : edges[k + 1]])
+            lengths[holes] = own[order]
+            starts[holes] = table.lend(flat) + (np.cumsum(own) - own)[order]
         ids = gather(table.flat, starts, lengths)
+        listed = ",".join(map(self.decimal.__getitem__, ids.tolist()))
         return (
             len(ids), ids if self.with_ids else None,
-            hashlib.sha256(",".join(decimal).encode()).hexdigest(),
-            hashlib.sha256(self.decode(ids)).hexdigest(),
+            hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(self.decode(ids)).hexdigest(),
         )
 
 
-def _placed_arrays(placed: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each row the places, the ends of their ids in the last array, and that array."""
-    starts = placed.offsets.to_numpy()
-    values = placed.values
-    places, ids = values.field("place").to_numpy(zero_copy_only=False), values.field("ids")
-    edges = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
-    data = ids.buffers()[2]
-    flat = np.frombuffer(data, _ID, len(data) // _ID.itemsize) if data else np.zeros(0, _ID)
-    for k in range(len(placed)):
-        first, last = starts[k], starts[k + 1]
-        ends = edges[first : last + 1].astype(np.int64) // _ID.itemsize
-        yield places[first:last], ends - ends[0], flat[ends[0] : ends[-1]]
-
-
 def _assemble(frequent: Broadcast, tokens: Broadcast, with_ids: bool):
     def assemble(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = _Assembler(worker_table(frequent), tokens.value, with_ids)
         expand = zstandard.ZstdDecompressor().decompress
         for part in parts:
             found = []
-            placed = _placed_arrays(part.column("__placed"))
+            placed = part.column("__placed").to_pylist()
             for packed, rare in zip(part.column("__packed").to_pylist(), placed, strict=True):
                 text = "" if packed is None else expand(packed).decode("utf-8", "surrogatepass")
-                found.append(work.assemble(text, *rare))
+                found.append(work.assemble(text, rare))
             fields = [pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), _encoded_type, strict=True)]
             columns = {n: part.column(n) for n in part.schema.names if n not in ("__placed", "__packed")}
             if found:
@@ -346,7 +379,8 @@ def encode_and_decode(
     rare = rare_ids(docs, words, vocabulary).select(
         F.col("doc_id").alias("__id"), F.col("check").alias("__id_check"), F.col("placed").alias("__placed")
     )
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__check") == F.col("__id_check"))
-    joined = packed.join(rare, same, "left").drop("__id", "__id_check", "__check")
+    packed = packed.withColumn("__known", F.coalesce("doc_id", F.lit(0)))
+    same = (F.col("__known") == F.col("__id")) & (F.col("__check") == F.col("__id_check"))
+    joined = packed.join(rare, same, "left").drop("__known", "__id", "__id_check", "__check")
     kind = "struct<n_tokens: bigint, ids: array<int>, ids_sha256: string, decoded_sha256: string>"
     return joined.mapInArrow(_assemble(words, tokens, with_ids), schema_of(docs, f"encoded {kind}", ("text",)))
