@@ -59,6 +59,8 @@ _RARE = pa.schema([("word", pa.string()), *_KEY, ("place", pa.int32())])
 _PLACED = pa.schema([*_KEY, ("placed", pa.binary())])
 #: Ids as they are stored; both vocabularies have fewer than 65,536.
 _ID = np.dtype("<u2")
+#: Numbers of ids of placed words are stored in a byte; longer words give this and a number of four bytes.
+LONG_WORD = 255
 
 
 # --- vocabulary ------------------------------------------------------------------------------
@@ -210,14 +212,17 @@ def _check(text: str, unnamed: bool) -> int:
 
 def _pack_places(places: np.ndarray, lengths: np.ndarray, ids: bytes) -> bytes:
     head = np.array([len(places)], "<u4")
-    return b"".join((head.tobytes(), places.astype("<u4").tobytes(), lengths.astype("<u2").tobytes(), ids))
+    short, long = np.minimum(lengths, LONG_WORD).astype("u1"), lengths[lengths >= LONG_WORD].astype("<u4")
+    return b"".join((head.tobytes(), places.astype("<u4").tobytes(), short.tobytes(), long.tobytes(), ids))
 
 
 def _unpack_places(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = int(np.frombuffer(packed, "<u4", 1)[0])
     places = np.frombuffer(packed, "<u4", n, 4).astype(np.int64)
-    lengths = np.frombuffer(packed, "<u2", n, 4 + 4 * n).astype(np.int64)
-    return places, lengths, np.frombuffer(packed, _ID, -1, 4 + 6 * n)
+    lengths = np.frombuffer(packed, "u1", n, 4 + 4 * n).astype(np.int64)
+    long = np.flatnonzero(lengths == LONG_WORD)
+    lengths[long] = np.frombuffer(packed, "<u4", len(long), 4 + 5 * n)
+    return places, lengths, np.frombuffer(packed, _ID, -1, 4 + 5 * n + 4 * len(long))
 
 
 def _by_text(parts: list[pa.RecordBatch], ids: list[bytes]) -> pa.RecordBatch:

@@ -421,6 +421,24 @@ def test_bpe(spark, frequent):
     assert set(CLASHES) <= set(encoded.columns)
 
 
+@pytest.mark.parametrize("frequent", [0, bpe.FREQUENT_WORDS])
+def test_bpe_of_words_with_very_many_ids(spark, frequent):
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(bpe.VOCABULARY), special_tokens={}
+    )
+    rows = []
+    for k, word in enumerate(["\0" * 100_000, "\U0001f642" * 40_000, "\0" * 255, "\0" * 254, "\0" * 65_536]):
+        rows.append((k, f"{words(k, 30)} {word}\n{words(k + 50, 30)} {word}! {words(k + 90, 9)}", None, None, None))
+    expected = []
+    for doc_id, text, *_ in rows:
+        ids = library.encode_ordinary(text)
+        expected.append((doc_id, len(ids), ids, sha(",".join(map(str, ids))), sha(text)))
+    assert max(len(library.encode_ordinary(w)) for w in pretokens.split_words(rows[1][1])) > 65_535
+    encoded = bpe.encode_and_decode(table(spark, rows), frequent=frequent)
+    fields = (f"encoded.{c}" for c in ("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
+    assert found(encoded, "doc_id", *fields) == same(expected)
+
+
 def test_split_words():
     pattern = regex.compile(public_tokenizers.PATTERN)
     for _, text, *_ in ROWS:
