@@ -57,7 +57,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files(_table(spark, sf_dir, "documents"))
+    return token_files(_table(spark, sf_dir, "documents"), added_tokens=True)
 
 
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ ascending doc_id order within and across files::
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -116,10 +117,21 @@ def byte_characters() -> dict[int, int]:
 
 
 class Words(WordTable):
-    """Words encoded by the model of a tokenizer file, which needs no more than the split words."""
+    """Words encoded by the model of a tokenizer file, which needs no more than the split words.
 
-    def __init__(self, path: str, most: int = CACHED_WORDS):
+    With ``added_tokens``, the tokens that the file adds to its model are cut
+    out of the texts first and have their own ids, as the library does it.
+    """
+
+    def __init__(self, path: str, most: int = CACHED_WORDS, added_tokens: bool = False):
         tokenizer = Tokenizer.from_file(path)
+        found = tokenizer.get_added_tokens_decoder() if added_tokens else {}
+        if any(t.single_word or t.lstrip or t.rstrip for t in found.values()):
+            raise ValueError("added tokens that depend on what is around them can't be cut out")
+        self.added = {t.content: k for k, t in found.items()}
+        # of those that start at one place, the longest
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest))})").split if longest else None
         if tokenizer.normalizer is not None:
             raise ValueError("a vocabulary whose tokenizer changes texts can't be used by words")
         self.tokenize, self.shown = tokenizer.model.tokenize, byte_characters()
@@ -127,6 +139,8 @@ class Words(WordTable):
         super().__init__(self._encode, most)
 
     def _encode(self, word: str) -> list[int]:
+        if word in self.added:
+            return [self.added[word]]
         if word.isascii() and word.isalnum():
             shown = word
         elif word.isascii() and word[1:].isalnum() and word[0] == " ":
@@ -137,25 +151,31 @@ class Words(WordTable):
 
     def documents(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of some texts, one after the other, and how many each has."""
-        return self.lookup([split_words(text) for text in texts])
+        return self.lookup([self._split(text) for text in texts])
+
+    def _split(self, text: str) -> list[str]:
+        pieces = self.cut(text) if self.cut else [text]
+        if len(pieces) == 1:
+            return split_words(text)
+        return [w for piece in pieces for w in ([piece] if piece in self.added else split_words(piece))]
 
 
-_words: dict[str, Words] = {}
+_words: dict[tuple[str, bool], Words] = {}
 
 
-def worker_words(path: str) -> Words:
+def worker_words(path: str, added_tokens: bool = False) -> Words:
     """The table of this worker; it outlives the task."""
-    if path not in _words:
-        _words[path] = Words(path)
-    return _words[path]
+    if (path, added_tokens) not in _words:
+        _words[path, added_tokens] = Words(path, added_tokens=added_tokens)
+    return _words[path, added_tokens]
 
 
 # --- files -----------------------------------------------------------------------------------
 
 
-def _segments(path: str):
+def _segments(path: str, added_tokens: bool):
     def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, shard = worker_words(path), TaskContext.get().partitionId()
+        words, shard = worker_words(path, added_tokens), TaskContext.get().partitionId()
 
         def encoded() -> Iterator[tuple]:
             for part in parts:
@@ -186,16 +206,19 @@ def _segments(path: str):
     return write
 
 
-def write_token_files(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY) -> None:
+def write_token_files(
+    docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, added_tokens: bool = False
+) -> None:
     """Encode the whole texts and write the files, in ascending doc_id order.
 
-    Null texts are empty; each document ends with id 0; strings of special
-    tokens in a text are ordinary text. Null ids come first and rows that
+    Null texts are empty; each document ends with id 0; strings of added tokens
+    in a text have those tokens' ids if ``added_tokens``, as with the library's
+    ``encode``, and are ordinary text otherwise. Null ids come first and rows that
     repeat an id follow one another. An empty table gives files without rows.
     """
     path = public_tokenizers.path(vocabulary)
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(_segments(path), SEGMENT_SQL).write.parquet(folder)
+    ordered.mapInArrow(_segments(path, added_tokens), SEGMENT_SQL).write.parquet(folder)
 
 
 def _documents(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,8 +255,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def token_files(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def token_files(docs: DataFrame, vocabulary: str = VOCABULARY, added_tokens: bool = False) -> DataFrame:
     """Write the files to a new folder beside the session's tables, and read them back."""
     folder = scratch_dir(docs.sparkSession, "tokens")
-    write_token_files(docs, folder, vocabulary)
+    write_token_files(docs, folder, vocabulary, added_tokens)
     return read_token_files(docs.sparkSession, folder)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from scanledger.llm import (
-    bpe, components, exact, language, line_dedup, mixing, pretokens, quality_rules, repeats, simhash,
+    bpe, components, exact, language, line_dedup, mixing, pretokens, quality_rules, queries, repeats, simhash,
     token_files, url_rules,
 )
 from tests.llm.cases import CLASHES, SCHEMA, awkward_rows, long_text, table, words
@@ -388,6 +388,21 @@ def test_token_files(spark):
     assert got == same(expected)
 
 
+def test_token_files_query_gives_added_tokens_their_ids(spark, tmp_path):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", "<|endoftext|", "it's <|endoftext|>'s 7", "été<|endoftext|>漢字\n"]
+    rows = [*ROWS, *((2000 + k, t, None, None, None) for k, t in enumerate(texts))]
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(token_files.VOCABULARY))
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    expected, start = [], 0
+    for doc_id, text, *_ in sorted(rows, key=lambda r: r[0]):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        expected.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = found(queries.op7_token_files(spark, str(tmp_path)), "doc_id", "start", "n_tokens", "ids_crc32")
+    assert got == same(expected)
+
+
 def test_token_files_of_several_segments(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(token_files, "SEGMENT_TOKENS", 50)
     docs = table(spark, [(k, words(k, k % 40), None, None, None) for k in range(80)] + [(None, "x y", None, None, None)])
