@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scanledger.llm import sql
 from scanledger.llm.bpe import encode_and_decode
+from scanledger.llm.conversations import damage, repair_conversations, repaired_digests
 from scanledger.llm.exact import exact_groups
 from scanledger.llm.language import fit_languages, predict_languages
 from scanledger.llm.line_dedup import drop_repeated_lines
@@ -16,6 +17,7 @@ from scanledger.llm.mixing import mix_sources
 from scanledger.llm.quality_rules import COUNTS, fit_rules, judge_quality
 from scanledger.llm.repeats import remove_repeats
 from scanledger.llm.simhash import near_groups
+from scanledger.llm.spelling import spelling_variants, word_counts
 from scanledger.llm.token_files import token_files
 from scanledger.llm.url_rules import judge_urls
 
@@ -74,6 +76,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(docs, with_ids=False).select("doc_id", *(f"encoded.{c}" for c in digests))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(word_counts(_table(spark, sf_dir, "documents"), damage=True))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damage(_table(spark, sf_dir, "conversations"))
+    return repaired_digests(rows, repair_conversations(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mixing": op2_source_mixing,
@@ -85,6 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLES: dict[str, str] = {
     "op2_source_mixing": sql.SOURCE_MIXING,
