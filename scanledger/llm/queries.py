@@ -16,6 +16,7 @@ from scanledger.llm.line_dedup import drop_repeated_lines
 from scanledger.llm.mixing import mix_sources
 from scanledger.llm.quality_rules import COUNTS, fit_rules, judge_quality
 from scanledger.llm.repeats import remove_repeats
+from scanledger.llm.secret_scan import KINDS, find_secrets, listed
 from scanledger.llm.simhash import near_groups
 from scanledger.llm.spelling import spelling_variants, word_counts
 from scanledger.llm.token_files import token_files
@@ -80,6 +81,13 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(word_counts(_table(spark, sf_dir, "documents"), damage=True))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_table(spark, sf_dir, "documents"))
+    counts = (F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS[:3])
+    base = F.sha2(F.encode(listed(KINDS[:3]), "UTF-8"), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), listed(KINDS).alias("spans"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = damage(_table(spark, sf_dir, "conversations"))
     return repaired_digests(rows, repair_conversations(rows))
@@ -97,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_secret_scan": op12_secret_scan,
     "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLES: dict[str, str] = {
