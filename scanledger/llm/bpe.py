@@ -3,64 +3,46 @@
 Texts are cut into pre-tokens ("words") by the vocabulary's pattern; BPE works
 inside a word only, so equal words have equal ids wherever they stand.
 
-1. The most frequent words are counted over all texts, encoded once and
-   broadcast; their number is fixed, and so is the size of the broadcast.
-2. All other words are exploded with their text and position and shuffled by
-   the word, so that each is encoded in one place.
-3. Their ids are joined back to the texts and put in by position.
-
-Step 1 keeps the few words that fill most positions out of the shuffle: without
-it a single very common word would be sent once per occurrence. Decoding joins
-the table of token bytes, which is as large as the vocabulary.
+1. Texts are split once, in blocks of neighbouring documents. A block lists its
+   distinct words and, for each position of its texts, the word's number in
+   that list. Blocks are written, so all later steps see the same ones.
+2. The words of all blocks are exploded with block and place and shuffled by
+   the word: each distinct word is encoded in one place.
+3. The ids of the distinct words are joined with the table of token bytes,
+   which decodes them.
+4. Ids and bytes are joined back to the places of each block, and put in by
+   position.
+
+A word that stands everywhere is one row per block, not one per occurrence, and
+before it is made distinct one row per task.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
-import sys
-import zlib
-from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
-import xxhash
 import zstandard
-from pyspark import Broadcast
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from scanledger.llm.common import batches, schema_of, stored
+from scanledger.llm.common import schema_of, stored
 from scanledger.llm.pretokens import gather, split_words
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Words that are broadcast with their ids, about 14 bytes each; longer ones than this are not.
-FREQUENT_WORDS = 1 << 19
-FREQUENT_CHARS = 32
-#: Most frequent words of a task that it reports.
-SENT_WORDS = 1 << 17
-#: Rare words that a task holds before it sends them on by text.
-PLACED_ROWS = 1 << 20
-#: Distinct words that a task counts before it forgets those it has met once.
-TASK_WORDS = 1 << 20
-
-_COUNTS = pa.schema([("word", pa.string()), ("seen", pa.int64())])
-_IDS = pa.schema([("word", pa.string()), ("ids", pa.binary())])
-#: A row is known by its id and a checksum of its text, so that rows of one id are told apart. A
-#: null id is known as 0 with another checksum: keys without nulls need one shuffle less.
-_KEY = [("doc_id", pa.int64()), ("check", pa.int64())]
-_RARE = pa.schema([("word", pa.string()), *_KEY, ("place", pa.int32())])
-_PLACED = pa.schema([*_KEY, ("placed", pa.binary())])
-#: Ids as they are stored; both vocabularies have fewer than 65,536.
-_ID = np.dtype("<u2")
-#: Numbers of ids of placed words are stored in a byte; longer words give this and a number of four bytes.
-LONG_WORD = 255
+#: Code points of a block, or one longer text. It bounds what a task holds; blocks twice as large send
+#: a good deal less than twice as many words.
+BLOCK_CHARS = 1 << 21
+#: Longer words are known by a digest.
+KEY_CHARS = 32
 
 
 # --- vocabulary ------------------------------------------------------------------------------
@@ -71,7 +53,6 @@ def read_ranks(vocabulary: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-_NATIVE = sys.byteorder == "little"
 _encodings: dict[str, tiktoken.Encoding] = {}
 
 
@@ -85,269 +66,187 @@ def word_ids(vocabulary: str, words: list[str]) -> list[list[int]]:
     return [encode(word) for word in words]
 
 
-def _packed(ids: list[int]) -> bytes:
-    return array("H", ids).tobytes() if _NATIVE else np.array(ids, _ID).tobytes()
+def token_table(spark: SparkSession, vocabulary: str) -> DataFrame:
+    """``id, token`` with the bytes of a token as hex digits; as many rows as the vocabulary has."""
+    rows = pa.table(
+        [pa.array(c) for c in zip(*((i, t.hex()) for t, i in read_ranks(vocabulary).items()), strict=True)],
+        pa.schema([("id", pa.int32()), ("token", pa.string())]),
+    )
+    return spark.createDataFrame(rows)
+
+
+# --- blocks ----------------------------------------------------------------------------------
+
+
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers of words, byte plane by byte plane."""
+    kind = np.dtype("<u2") if not len(numbers) or numbers.max() < 1 << 16 else np.dtype("<u4")
+    planes = numbers.astype(kind).view("u1").reshape(-1, kind.itemsize).T
+    return bytes([kind.itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
 
+def unpack_numbers(packed: bytes) -> np.ndarray:
+    kind = np.dtype(f"<u{packed[0]}")
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), "u1")
+    return np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).ravel()
 
-# --- frequent words --------------------------------------------------------------------------
 
+def _spans(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
+    """Consecutive texts of so many code points together, or a single longer one."""
+    start, size = 0, 0
+    for k, text in enumerate(texts):
+        if k > start and size + len(text) > chars:
+            yield start, k
+            start, size = k, 0
+        size += len(text)
+    if texts:
+        yield start, len(texts)
 
-def _count_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
-    for part in parts:
-        for text in part.column("text").to_pylist():
-            seen.update(split_words(text or ""))
-            if len(seen) > TASK_WORDS:
-                seen = Counter({w: n for w, n in seen.items() if n > 1})
-                if len(seen) > TASK_WORDS // 2:
-                    seen = Counter(dict(seen.most_common(TASK_WORDS // 2)))
-    short = ((w, n) for w, n in seen.items() if len(w) <= FREQUENT_CHARS)
-    yield from batches(heapq.nlargest(SENT_WORDS, short, key=lambda item: item[1]), _COUNTS)
+
+def _cut_blocks(chars: int):
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the table of blocks is written, so numbers by task are the same for all that read it
+        number = TaskContext.get().partitionId() << 32
+        for part in parts:
+            texts = [t or "" for t in part.column("text").to_pylist()]
+            others = [n for n in part.schema.names if n != "text"]
+            for start, end in _spans(texts, chars):
+                split = [split_words(t) for t in texts[start:end]]
+                seen: Counter = Counter()
+                for words in split:
+                    seen.update(words)
+                # frequent words get small numbers
+                words = [w for w, _ in seen.most_common()]
+                index = dict(zip(words, range(len(words)), strict=True)).__getitem__
+                numbers = np.fromiter((index(w) for own in split for w in own), np.uint32)
+                columns = [part.column(n).slice(start, end - start) for n in others]
+                columns.append(pa.array([len(own) for own in split], pa.int32()))
+                docs = pa.StructArray.from_arrays(columns, [*others, "__words"])
+                row = {
+                    "block": pa.array([number], pa.int64()),
+                    "docs": pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs),
+                    "numbers": pa.array([pack_numbers(numbers)], pa.binary()),
+                    "words": pa.array([words], pa.list_(pa.string())),
+                }
+                yield pa.RecordBatch.from_pydict(row)
+                number += 1
+
+    return cut
+
+
+def text_blocks(docs: DataFrame, chars: int = BLOCK_CHARS) -> DataFrame:
+    """``block, docs, numbers, words``: neighbouring documents with their words, each text split once.
+
+    ``docs`` has the documents' other columns and ``__words``, their number of
+    positions; ``numbers`` has the word of every position as its place in ``words``.
+    """
+    kept = schema_of(docs, "__words int", ("text",))
+    schema = T.StructType().add("block", "long").add("docs", T.ArrayType(kept)).add("numbers", "binary")
+    schema = schema.add("words", T.ArrayType(T.StringType()))
+    return stored(docs.mapInArrow(_cut_blocks(chars), schema), "blocks")
+
+
+# --- distinct words --------------------------------------------------------------------------
 
 
 def _encode_words(vocabulary: str):
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            words = part.column("word").to_pylist()
-            ids = [_packed(i) for i in word_ids(vocabulary, words)]
-            yield pa.RecordBatch.from_pydict({"word": words, "ids": ids}, schema=_IDS)
+            ids = pa.array(word_ids(vocabulary, part.column("word").to_pylist()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_pydict({"key": part.column("key"), "ids": ids})
 
     return encode
 
 
-def frequent_words(docs: DataFrame, vocabulary: str, most: int = FREQUENT_WORDS) -> DataFrame:
-    """``word, ids`` of the most frequent words, ``most`` at the most.
+def word_places(blocks: DataFrame) -> DataFrame:
+    """``key, word, block, place``: every word of every block, exploded.
 
-    They are all words counted at least so often, without a sort of them all.
-    Which words are among them affects what is shuffled, not the result. A task
-    reports its own most frequent words and forgets rare ones when it has met
-    very many, and so may count a word too low.
+    The key is the word, or of a long one its digest, so that rows stay narrow;
+    a digest is longer than any word that is its own key.
     """
-    counts = docs.select("text").mapInArrow(_count_words, "word string, seen long")
-    counts = stored(counts.groupBy("word").agg(F.sum("seen").alias("seen")), "words")
-    # counts in steps of a sixteenth of a power of two: few, whatever the size of the corpus
-    counts = counts.withColumn("step", F.floor(F.log2("seen") * 16))
-    sizes = counts.groupBy("step").agg(F.count("*").alias("words")).collect()
-    held, steps = 0, []
-    for row in sorted(sizes, key=lambda r: -r.step):
-        held += row.words
-        if held > most:
-            break
-        steps.append(row.step)
-    top = counts.filter(F.col("step") >= F.lit(steps[-1]) if steps else F.lit(False)).select("word")
-    return top.mapInArrow(_encode_words(vocabulary), "word string, ids binary")
-
-
-class FrequentWords:
-    """The broadcast words, with their ids in flat arrays."""
-
-    def __init__(self, table: pa.Table):
-        words, lists = table.column("word").to_pylist(), table.column("ids").to_pylist()
-        self.index = dict(zip(words, range(len(words)), strict=True))
-        # one more word without ids, which place -1 finds, stands for every other word
-        self.lengths = np.array([*(len(x) // _ID.itemsize for x in lists), 0], np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.flat = np.frombuffer(b"".join(lists), _ID).astype(np.uint32)
-        self.used = len(self.flat)
-
-    def lend(self, ids: np.ndarray) -> int:
-        """Put the ids of one text's other words behind the table's own until the next call."""
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + len(ids), np.uint32)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        return self.used
-
-
-_tables: dict[int, FrequentWords] = {}
-
-
-def worker_table(frequent: Broadcast) -> FrequentWords:
-    """The broadcast table as this worker holds it; only the last one is kept."""
-    key = frequent.value[0]
-    if key not in _tables:
-        _tables.clear()
-        _tables[key] = FrequentWords(pa.ipc.open_stream(frequent.value[1]).read_all())
-    return _tables[key]
-
-
-def broadcast_words(spark: SparkSession, words: DataFrame) -> Broadcast:
-    table = words.toArrow()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    packed = sink.getvalue().to_pybytes()
-    return spark.sparkContext.broadcast((xxhash.xxh3_64_intdigest(packed), packed))
-
-
-# --- other words -----------------------------------------------------------------------------
-
-
-def _rare_words(frequent: Broadcast):
-    def find(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find_word = worker_table(frequent).index.get
-        for part in parts:
-            rare, places, rows, checks = [], [], [], []
-            unnamed = part.column("doc_id").is_null().to_pylist()
-            for row, text in enumerate(part.column("text").to_pylist()):
-                words = split_words(text or "")
-                at = np.fromiter(map(find_word, words, repeat(-1)), np.int32, len(words))
-                holes = np.flatnonzero(at < 0)
-                if len(holes):
-                    rare.extend(map(words.__getitem__, holes.tolist()))
-                    places.append(holes)
-                    rows.append(np.full(len(holes), row))
-                    checks.append(np.full(len(holes), _check(text, unnamed[row])))
-            if rare:
-                ids = part.column("doc_id").fill_null(0).take(pa.array(np.concatenate(rows)))
-                columns = [pa.array(rare, pa.string()), ids, pa.array(np.concatenate(checks))]
-                columns.append(pa.array(np.concatenate(places), pa.int32()))
-                yield pa.RecordBatch.from_arrays(columns, schema=_RARE)
-
-    return find
-
-
-def _check(text: str, unnamed: bool) -> int:
-    return zlib.crc32(text.encode("utf-8", "surrogatepass")) | int(unnamed) << 32
-
-
-def _pack_places(places: np.ndarray, lengths: np.ndarray, ids: bytes) -> bytes:
-    head = np.array([len(places)], "<u4")
-    short, long = np.minimum(lengths, LONG_WORD).astype("u1"), lengths[lengths >= LONG_WORD].astype("<u4")
-    return b"".join((head.tobytes(), places.astype("<u4").tobytes(), short.tobytes(), long.tobytes(), ids))
-
-
-def _unpack_places(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = int(np.frombuffer(packed, "<u4", 1)[0])
-    places = np.frombuffer(packed, "<u4", n, 4).astype(np.int64)
-    lengths = np.frombuffer(packed, "u1", n, 4 + 4 * n).astype(np.int64)
-    long = np.flatnonzero(lengths == LONG_WORD)
-    lengths[long] = np.frombuffer(packed, "<u4", len(long), 4 + 5 * n)
-    return places, lengths, np.frombuffer(packed, _ID, -1, 4 + 5 * n + 4 * len(long))
-
-
-def _by_text(parts: list[pa.RecordBatch], ids: list[bytes]) -> pa.RecordBatch:
-    """Rows of words as one row for each text."""
-    doc_ids, checks, places = (
-        np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("doc_id", "check", "place")
-    )
-    order = np.lexsort((places, checks, doc_ids))
-    key = np.stack([doc_ids[order], checks[order]])
-    first = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
-    lengths = np.array([len(i) // _ID.itemsize for i in ids])[order]
-    packed = [
-        _pack_places(places[order[a:b]], lengths[a:b], b"".join([ids[k] for k in order[a:b].tolist()]))
-        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True)
-    ]
-    columns = [pa.array(doc_ids[order[first]]), pa.array(checks[order[first]]), pa.array(packed, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, schema=_PLACED)
-
-
-def _encode_placed(vocabulary: str):
-    def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, bytes] = {}
-        rows: list[pa.RecordBatch] = []
-        ids: list[bytes] = []
-        for part in parts:
-            words = part.column("word").to_pylist()
-            if len(held) > TASK_WORDS:  # words come sorted: earlier ones don't come again
-                held = {}
-            new = list({w for w in words if w not in held})
-            held.update(zip(new, map(_packed, word_ids(vocabulary, new)), strict=True))
-            ids += [held[w] for w in words]
-            rows.append(part.select(["doc_id", "check", "place"]))
-            if len(ids) >= PLACED_ROWS:
-                yield _by_text(rows, ids)
-                rows, ids = [], []
-        if ids:
-            yield _by_text(rows, ids)
+    places = blocks.select("block", F.posexplode("words").alias("place", "word"))
+    digest = F.sha2(F.encode("word", "UTF-8"), 256)
+    return places.withColumn("key", F.when(F.length("word") > KEY_CHARS, digest).otherwise(F.col("word")))
 
-    return encode
 
+def encoded_words(places: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """``key, listed, bytes`` of each distinct word: its ids in decimal, and what they decode to.
 
-def rare_ids(docs: DataFrame, frequent: Broadcast, vocabulary: str) -> DataFrame:
-    """``doc_id, check, placed``: the ids of each text's other words with their positions, packed."""
-    rare = docs.select("doc_id", "text").mapInArrow(
-        _rare_words(frequent), "word string, doc_id long, check long, place int"
-    )
-    placed = (
-        rare.repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(_encode_placed(vocabulary), "doc_id long, check long, placed binary")
+    Words are made distinct across the cluster and encoded once. Decoding joins
+    their ids with the token-byte table, which is as large as the vocabulary.
+    """
+    words = places.select("key", "word").distinct()
+    encoded = words.mapInArrow(_encode_words(vocabulary), "key string, ids array<int>")
+    positions = encoded.select("key", F.posexplode("ids").alias("position", "id"))
+    tokens = F.broadcast(token_table(places.sparkSession, vocabulary))
+    parts = positions.join(tokens, "id").groupBy("key").agg(
+        F.array_sort(F.collect_list(F.struct("position", "id", "token"))).alias("parts")
     )
-    return placed.groupBy("doc_id", "check").agg(F.collect_set("placed").alias("placed"))
+    listed = F.array_join(F.transform("parts", lambda p: p["id"].cast("string")), ",")
+    found = F.unhex(F.array_join(F.transform("parts", lambda p: p["token"]), ""))
+    return stored(parts.select("key", listed.alias("listed"), found.alias("bytes")), "words")
 
 
-# --- whole texts -----------------------------------------------------------------------------
-
+def block_words(places: DataFrame, encoded: DataFrame) -> DataFrame:
+    """``block, found``: the ids and bytes of each block's words, with their places."""
+    joined = places.select("key", "block", "place").join(encoded, "key").select("block", "place", "listed", "bytes")
+    return joined.groupBy("block").agg(F.collect_list(F.struct("place", "listed", "bytes")).alias("found"))
 
-def _pack_texts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts compressed for the shuffle to the ids of their rare words."""
-    compress = zstandard.ZstdCompressor(level=1).compress
-    for part in parts:
-        texts = part.column("text").to_pylist()
-        columns = {name: part.column(name) for name in part.schema.names if name != "text"}
-        packed = [None if t is None else compress(t.encode("utf-8", "surrogatepass")) for t in texts]
-        columns["__packed"] = pa.array(packed, pa.binary())
-        unnamed = part.column("doc_id").is_null().to_pylist()
-        checks = [_check(t or "", u) for t, u in zip(texts, unnamed, strict=True)]
-        columns["__check"] = pa.array(checks, pa.int64())
-        yield pa.RecordBatch.from_pydict(columns)
 
+# --- whole texts -----------------------------------------------------------------------------
 
 _encoded_type = pa.struct(
     [("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
 )
 
 
-class _Assembler:
-    """Whole texts from the frequent words' table and their placed rare words."""
-
-    def __init__(self, table: FrequentWords, tokens: list[bytes], with_ids: bool):
-        self.table, self.with_ids = table, with_ids
-        self.decimal = [str(k) for k in range(len(tokens))]
-        self.token_lengths = np.array([len(t) for t in tokens], np.int64)
-        self.token_starts = np.cumsum(self.token_lengths) - self.token_lengths
-        self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        return gather(self.token_bytes, self.token_starts[ids], self.token_lengths[ids]).tobytes()
-
-    def assemble(self, text: str, placed: list[bytes] | None) -> tuple:
-        """``placed``: the packed rare words; rows that repeat id and text give them again."""
-        table = self.table
-        words = split_words(text)
-        at = np.fromiter(map(table.index.get, words, repeat(-1)), np.int64, len(words))
-        lengths, starts = table.lengths[at], table.starts[at]
-        holes = np.flatnonzero(at < 0)
-        if len(holes):
-            parts = [_unpack_places(p) for p in placed or ()]
-            places, own, flat = (np.concatenate(c) for c in zip(*parts, strict=True))
-            places, order = np.unique(places, return_index=True)
-            if not np.array_equal(places, holes):
-                raise ValueError("the ids of some words are missing")
-            lengths[holes] = own[order]
-            starts[holes] = table.lend(flat) + (np.cumsum(own) - own)[order]
-        ids = gather(table.flat, starts, lengths)
-        listed = ",".join(map(self.decimal.__getitem__, ids.tolist()))
-        return (
-            len(ids), ids if self.with_ids else None,
-            hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(self.decode(ids)).hexdigest(),
-        )
-
+class _Block:
+    """The encoded words of a block in the order of their numbers."""
+
+    def __init__(self, found: pa.StructArray | None):
+        if found is None or not len(found):
+            self.listed, self.bytes, self.counts = [], [], np.zeros(0, np.int64)
+            return
+        places = found.field("place").to_numpy(zero_copy_only=False)
+        if not np.array_equal(np.sort(places), np.arange(len(places))):
+            raise ValueError("the ids of some words are missing")
+        order = pa.array(np.argsort(places))
+        self.listed = found.field("listed").take(order).to_pylist()
+        self.bytes = found.field("bytes").take(order).to_pylist()
+        self.counts = np.array([1 + ids.count(",") for ids in self.listed], np.int64)
+
+    def all_ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after the other, and where each word's begin."""
+        text = ",".join(self.listed)
+        flat = np.array(text.split(","), np.int32) if text else np.zeros(0, np.int32)
+        return flat, np.cumsum(self.counts) - self.counts
+
+
+def _assemble(with_ids: bool):
+    def encode_block(docs: pa.StructArray, numbers: bytes, found: pa.StructArray | None) -> list[tuple]:
+        block, held = _Block(found), unpack_numbers(numbers)
+        flat, starts = block.all_ids() if with_ids else (None, None)
+        rows, at = [], 0
+        for size in docs.field("__words").to_pylist():
+            own = held[at : at + size]
+            at += size
+            counts, each = block.counts[own], own.tolist()
+            listed = ",".join(map(block.listed.__getitem__, each))
+            decoded = b"".join(map(block.bytes.__getitem__, each))
+            ids = gather(flat, starts[own], counts) if with_ids else None
+            rows.append(
+                (int(counts.sum()), ids, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest())
+            )
+        return rows
 
-def _assemble(frequent: Broadcast, tokens: Broadcast, with_ids: bool):
     def assemble(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = _Assembler(worker_table(frequent), tokens.value, with_ids)
-        expand = zstandard.ZstdDecompressor().decompress
         for part in parts:
-            found = []
-            placed = part.column("__placed").to_pylist()
-            for packed, rare in zip(part.column("__packed").to_pylist(), placed, strict=True):
-                text = "" if packed is None else expand(packed).decode("utf-8", "surrogatepass")
-                found.append(work.assemble(text, rare))
-            fields = [pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), _encoded_type, strict=True)]
-            columns = {n: part.column(n) for n in part.schema.names if n not in ("__placed", "__packed")}
-            if found:
+            for k in range(part.num_rows):
+                docs = part.column("docs").slice(k, 1).flatten()
+                found = part.column("found").slice(k, 1).flatten()
+                rows = encode_block(docs, part.column("numbers")[k].as_py(), found)
+                fields = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _encoded_type, strict=True)]
+                columns = {f.name: docs.field(f.name) for f in docs.type if f.name != "__words"}
                 columns["encoded"] = pa.StructArray.from_arrays(fields, fields=list(_encoded_type))
                 yield pa.RecordBatch.from_pydict(columns)
 
@@ -355,37 +254,22 @@ def _assemble(frequent: Broadcast, tokens: Broadcast, with_ids: bool):
 
 
 def encode_and_decode(
-    docs: DataFrame,
-    vocabulary: str = VOCABULARY,
-    with_ids: bool = True,
-    frequent: int = FREQUENT_WORDS,
+    docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bool = True, block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
     """The documents without ``text``, with a struct ``encoded``.
 
     It holds ``n_tokens``, ``ids`` (null unless ``with_ids``), ``ids_sha256``
     (of the decimal ids joined by commas) and ``decoded_sha256`` (of the bytes
     decoded from the ids), the digests as lower-case hex. Special tokens in a
-    text are ordinary text; null texts are empty and have no ids. Rows that
-    repeat stay, an empty table gives no rows, and an earlier column ``encoded``
-    is replaced.
+    text are ordinary text; null texts are empty and have no ids. A document is
+    known by its place in a block, so null and repeated ids make no difference;
+    rows that repeat stay, an empty table gives no rows, and an earlier column
+    ``encoded`` is replaced.
     """
     docs = docs.drop("encoded")
-    spark = docs.sparkSession
-    words = broadcast_words(spark, frequent_words(docs, vocabulary, frequent))
-    ranks = read_ranks(vocabulary)
-    if max(ranks.values()) > np.iinfo(_ID).max:
-        raise ValueError("the ids of this vocabulary don't fit into two bytes")
-    table: list[bytes] = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        table[rank] = token
-    tokens = spark.sparkContext.broadcast(table)
-
-    packed = docs.mapInArrow(_pack_texts, schema_of(docs, "__packed binary, __check long", ("text",)))
-    rare = rare_ids(docs, words, vocabulary).select(
-        F.col("doc_id").alias("__id"), F.col("check").alias("__id_check"), F.col("placed").alias("__placed")
-    )
-    packed = packed.withColumn("__known", F.coalesce("doc_id", F.lit(0)))
-    same = (F.col("__known") == F.col("__id")) & (F.col("__check") == F.col("__id_check"))
-    joined = packed.join(rare, same, "left").drop("__known", "__id", "__id_check", "__check")
+    blocks = text_blocks(docs, block_chars)
+    places = word_places(blocks)
+    found = block_words(places, encoded_words(places, vocabulary))
+    joined = blocks.select("block", "docs", "numbers").join(found, "block", "left").drop("block")
     kind = "struct<n_tokens: bigint, ids: array<int>, ids_sha256: string, decoded_sha256: string>"
-    return joined.mapInArrow(_assemble(words, tokens, with_ids), schema_of(docs, f"encoded {kind}", ("text",)))
+    return joined.mapInArrow(_assemble(with_ids), schema_of(docs, f"encoded {kind}", ("text",)))

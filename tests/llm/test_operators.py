@@ -420,8 +420,8 @@ def test_levels_give_single_tokens():
     assert len(token_files.decode_levels(token_files.encode_levels(np.array([], int)))) == 0
 
 
-@pytest.mark.parametrize("frequent", [0, 20, bpe.FREQUENT_WORDS])
-def test_bpe(spark, frequent):
+@pytest.mark.parametrize("block_chars", [1, 3000, bpe.BLOCK_CHARS])
+def test_bpe(spark, block_chars):
     library = tiktoken.Encoding(
         "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(bpe.VOCABULARY), special_tokens={}
     )
@@ -430,14 +430,13 @@ def test_bpe(spark, frequent):
     for doc_id, text, *_ in rows:
         ids = library.encode_ordinary(text or "")
         expected.append((doc_id, len(ids), ids, sha(",".join(map(str, ids))), sha(text or "")))
-    encoded = bpe.encode_and_decode(table(spark, rows, True), frequent=frequent)
+    encoded = bpe.encode_and_decode(table(spark, rows, True), block_chars=block_chars)
     fields = (f"encoded.{c}" for c in ("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
     assert found(encoded, "doc_id", *fields) == same(expected)
     assert set(CLASHES) <= set(encoded.columns)
 
 
-@pytest.mark.parametrize("frequent", [0, bpe.FREQUENT_WORDS])
-def test_bpe_of_words_with_very_many_ids(spark, frequent):
+def test_bpe_of_words_with_very_many_ids(spark):
     library = tiktoken.Encoding(
         "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(bpe.VOCABULARY), special_tokens={}
     )
@@ -449,11 +448,46 @@ def test_bpe_of_words_with_very_many_ids(spark, frequent):
         ids = library.encode_ordinary(text)
         expected.append((doc_id, len(ids), ids, sha(",".join(map(str, ids))), sha(text)))
     assert max(len(library.encode_ordinary(w)) for w in pretokens.split_words(rows[1][1])) > 65_535
-    encoded = bpe.encode_and_decode(table(spark, rows), frequent=frequent)
+    encoded = bpe.encode_and_decode(table(spark, rows))
     fields = (f"encoded.{c}" for c in ("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
     assert found(encoded, "doc_id", *fields) == same(expected)
 
 
+def colliding_texts() -> tuple[str, str]:
+    """Two texts with the same crc32, so that no 32-bit checksum tells them apart."""
+    seen: dict[int, str] = {}
+    before, after = words(1, 60), words(2, 60)
+    for k in range(1 << 20):
+        text = f"{before} {k * 2654435761 % (1 << 32):x} {after}"
+        check = zlib.crc32(text.encode())
+        if check in seen:
+            return seen[check], text
+        seen[check] = text
+    raise AssertionError("no collision")
+
+
+def test_bpe_of_rows_that_a_checksum_confuses(spark):
+    one, two = colliding_texts()
+    rows = [(i, t, "en", "hot", 1) for i in (None, 7) for t in (one, two, one)]
+    encoded = bpe.encode_and_decode(table(spark, rows), with_ids=False, block_chars=1000)
+    assert found(encoded, "doc_id", "encoded.decoded_sha256") == same((i, sha(t)) for i, t, *_ in rows)
+
+
+def test_every_distinct_word_is_shuffled_and_encoded_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    places = bpe.word_places(bpe.text_blocks(docs, 200_000))
+    expected = {w for r in docs.collect() for w in pretokens.split_words(r.text or "")}
+    encoded = bpe.encoded_words(places).collect()
+    assert len(encoded) == len(expected) and {bytes(r.bytes).decode() for r in encoded} == expected
+    # a word is a row per block, however often it occurs
+    assert places.groupBy("key", "block").count().filter("count > 1").count() == 0
+
+
+def test_numbers_of_words_are_packed_and_unpacked():
+    for numbers in ([], [0], [65_535, 0, 1], [65_536, 3], list(range(70_000))):
+        assert bpe.unpack_numbers(bpe.pack_numbers(np.array(numbers, np.uint32))).tolist() == numbers
+
+
 def test_split_words():
     pattern = regex.compile(public_tokenizers.PATTERN)
     for _, text, *_ in ROWS:
