@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from scanledger.operators import adjudicate, serving
 from scanledger.plans import build, reports
 from scanledger.sources import readers
-from scanledger.sources.writers import latest_snapshot, layer_exists, read_layer
+from scanledger.sources.writers import (
+    COUNTS, latest_snapshot, layer_exists, read_counts, read_layer,
+)
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -43,7 +45,7 @@ def arguments() -> argparse.ArgumentParser:
     given = overlay.add_mutually_exclusive_group()
     given.add_argument("--replies", help="JSON records with company_key, resolution_tier and reply")
     given.add_argument("--traces", help="logged calls of the scoring skill")
-    command("report").add_argument("--raw", nargs="+", help="the export, to reconcile its lines")
+    command("report").add_argument("--raw", nargs="+", help="count the lines of the export again")
     listing = command("accounts")
     listing.add_argument("--band")
     listing.add_argument("--country")
@@ -93,9 +95,12 @@ def main(argv: list[str] | None = None) -> None:
     elif given.command == "report":
         raw = readers.line_counts(spark, given.raw) if given.raw else None
         layers = build.read_layers(spark, given.out, date)
-        for name, table in reports.quality_reports(layers, raw).items():
-            print(name)
-            table.show(table.count(), truncate=False)
+        counts = read_counts(spark, given.out, date) if layer_exists(spark, f"{given.out}/{COUNTS}") else None
+        for name, table in reports.quality_reports(layers, raw, counts).items():
+            rows = table.collect()
+            print(name, *table.columns, sep="\t")
+            for row in rows:
+                print("", *row, sep="\t")
     elif given.command == "accounts":
         serving.query_accounts(
             gold(spark, given.out, date), given.band, given.country, given.min_score, given.limit

@@ -11,21 +11,21 @@ from scanledger.functions.common import contains_any
 
 # Search replies: addresses at the top, or below ``data`` with the organisation.
 # An entry is kept whole, under the names of schemas.CONTACT_ENTRY.
-FLAT_REPLY = f"emails ARRAY<STRUCT<{schemas.CONTACT_ENTRY}>>"
-NESTED_REPLY = """data STRUCT<organization: STRING, emails: ARRAY<STRUCT<value: STRING,
+REPLY = f"""emails ARRAY<STRUCT<{schemas.CONTACT_ENTRY}>>,
+    data STRUCT<organization: STRING, emails: ARRAY<STRUCT<value: STRING,
     type: STRING, confidence: DOUBLE, first_name: STRING, last_name: STRING, position: STRING,
     verification: STRUCT<status: STRING>, sources: ARRAY<STRUCT<uri: STRING>>>>>"""
 
 
-def flat_reply_emails(reply: Column) -> Column:
-    """Address structs of a reply text; NULL for an error reply."""
-    return F.from_json(reply, FLAT_REPLY)["emails"]
+def parsed_reply(reply: Column) -> Column:
+    """A reply text, parsed once for both forms."""
+    return F.from_json(reply, REPLY)
 
 
-def nested_reply_emails(reply: Column) -> Column:
-    """Address structs of a nested reply text, in the shape of the flat one."""
-    data = F.from_json(reply, NESTED_REPLY)["data"]
-    return F.transform(
+def reply_emails(parsed: Column) -> Column:
+    """Address structs of a parsed reply; NULL for an error or a text that is no JSON."""
+    data = parsed["data"]
+    nested = F.transform(
         data["emails"],
         lambda e: F.struct(
             e["type"].alias("type"),
@@ -40,10 +40,11 @@ def nested_reply_emails(reply: Column) -> Column:
             F.lit(None).cast("double").alias("smtp_status_percentage"),
         ),
     )
+    return F.coalesce(parsed["emails"], nested)
 
 
-def reply_organization(reply: Column) -> Column:
-    return F.from_json(reply, NESTED_REPLY)["data"]["organization"]
+def reply_organization(parsed: Column) -> Column:
+    return parsed["data"]["organization"]
 
 
 def contact_rank(confidence: Column, smtp_status: Column | None = None) -> Column:
@@ -65,8 +66,8 @@ def preference(position: Column, rank: Column, place: Column) -> Column:
     )
 
 
-def pick_best_contact(emails: Column, with_smtp_fallback: bool = True) -> Column:
-    """Best entry of an array of address structs; NULL when there is none.
+def best_of_reply(emails: Column, with_smtp_fallback: bool = True) -> Column:
+    """``key, entry`` of the best in an array of address structs; NULL when there is none.
 
     For one search reply per row (a reply is short): no explode, no shuffle.
     """
@@ -83,4 +84,9 @@ def pick_best_contact(emails: Column, with_smtp_fallback: bool = True) -> Column
             e.alias("entry"),
         ),
     )
-    return F.array_min(keyed)["entry"]
+    return F.array_min(keyed)
+
+
+def pick_best_contact(emails: Column, with_smtp_fallback: bool = True) -> Column:
+    """Best entry of an array of address structs; NULL when there is none."""
+    return best_of_reply(emails, with_smtp_fallback)["entry"]

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanledger.functions.contacts import (
-    contact_rank, flat_reply_emails, nested_reply_emails, pick_best_contact, preference,
-    reply_organization,
+    best_of_reply, contact_rank, parsed_reply, preference, reply_emails, reply_organization,
 )
 from scanledger.operators.accounts import filter_band
 from scanledger.schemas import CONTACT_FIELDS
@@ -48,21 +47,37 @@ def best_contacts(hits: DataFrame, with_smtp_fallback: bool = True) -> DataFrame
     )
 
 
-def contacts_from_replies(replies: DataFrame) -> DataFrame:
-    """Best address of each search reply, from ``company_key`` and the reply's JSON text.
+def contacts_from_replies(replies: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
+    """Best address of each company, from ``company_key`` and the JSON texts of its search replies.
 
-    Both forms of reply are read. A reply without addresses, an error or a text
-    that is no JSON gives no contact and count 0. Of several replies of one
-    company the one with the greatest text counts.
+    Both forms of reply are read, each text once. All replies of a company
+    count: the best address of all of them is chosen, their addresses are
+    summed. At equal preference the earlier reply by ``page`` goes first, if
+    there is such a column, then the earlier place in a reply, then the smaller
+    address. A reply without addresses, an error or a text that is no JSON adds
+    nothing; a company that has only such replies has no contact and count 0.
+
+    With ``candidates`` only the replies of these companies are parsed; they
+    are as many as are looked up, which bounds the broadcast.
     """
-    last = replies.groupBy("company_key").agg(F.max("reply").alias("reply"))
-    reply = F.col("reply")
-    emails = F.coalesce(flat_reply_emails(reply), nested_reply_emails(reply))
-    return last.withColumn("emails", emails).select(
-        "company_key",
-        reply_organization(reply).alias("organization"),
-        pick_best_contact(F.col("emails")).alias("contact"),
-        F.coalesce(F.size("emails"), F.lit(0)).cast("bigint").alias("raw_email_count"),
+    if candidates is not None:
+        wanted = F.broadcast(candidates.select("company_key").distinct())
+        replies = replies.join(wanted, "company_key", "left_semi")
+    page = F.col("page") if "page" in replies.columns else F.lit(0)
+    parsed = replies.select("company_key", page.alias("page"), parsed_reply(F.col("reply")).alias("parsed"))
+    found = parsed.select(
+        "company_key", "page", reply_organization(F.col("parsed")).alias("organization"),
+        reply_emails(F.col("parsed")).alias("emails"),
+    ).select(
+        "company_key", "page", "organization", best_of_reply(F.col("emails")).alias("best"),
+        F.coalesce(F.size("emails"), F.lit(0)).cast("bigint").alias("n"),
+    )
+    key = F.col("best.key")
+    order = F.struct(key["other_title"], key["rank"], F.col("page"), key["place"], F.col("best.entry.email"))
+    return found.groupBy("company_key").agg(
+        F.min_by("organization", F.when(F.col("organization").isNotNull(), F.col("page"))).alias("organization"),
+        F.min_by("best.entry", F.when(F.col("best").isNotNull(), order)).alias("contact"),
+        F.sum("n").alias("raw_email_count"),
     )
 
 

@@ -9,8 +9,8 @@ from scanledger.functions.common import to_bigint
 from scanledger.functions.hosts import empty_to_null, parse_ts, tag_flags, vulns_typed
 
 
-def flatten_hosts(raw: DataFrame) -> DataFrame:
-    """One row per observation with the 34 host columns.
+def flatten_hosts(raw: DataFrame, *carried: str) -> DataFrame:
+    """One row per observation with the 34 host columns, and columns carried on.
 
     A projection only: the JSON scan parses just the fields used here, and a
     reader of fewer columns prunes it further.
@@ -45,4 +45,5 @@ def flatten_hosts(raw: DataFrame) -> DataFrame:
         c("screenshot.labels").alias("screenshot_labels"),
         empty_to_null(c("screenshot.text")).alias("screenshot_text"),
         *tag_flags(c("tags")),
+        *carried,
     )

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from scanledger import config
 from scanledger.functions.common import percent, round_half_up
-from scanledger.schemas import COMPANY_KEY, HOST_COLUMNS
+from scanledger.schemas import (
+    ACCOUNTS, COMPANIES, COMPANY_KEY, HOST_COLUMNS, HOST_MAP, HOSTS, KEYED,
+)
 
 
 def _rates(table: DataFrame, conditions: dict[str, Column], digits: int) -> DataFrame:
@@ -148,58 +150,34 @@ def infra_concentration(companies: DataFrame) -> DataFrame:
     )
 
 
-def layer_reconcile(
-    hosts: DataFrame,
-    keyed: DataFrame,
-    host_map: DataFrame,
-    companies: DataFrame,
-    signals: DataFrame,
-    accounts: DataFrame,
-    raw: DataFrame | None = None,
-) -> DataFrame:
-    """Row counts that must agree between neighbouring layers, one row per check.
-
-    Each layer is counted once, by a one-row aggregate of few columns; companies
-    and signals are also compared key by key. ``raw`` has the one row of
-    ``readers.line_counts`` for the export; every line that is not blank must
-    be a row of hosts. The rejected ones among them are told beside it, with
-    the hosts that hold no value at all; a line with an empty object is such a
-    row too, so there may be more of these.
-    """
-    resolved = F.count_if(F.col("resolution_tier").isin("domain", "org"))
-    tiers = ["domain", "org", "unresolved"]
-    sides = companies.select(*COMPANY_KEY, F.lit(1).alias("_c")).join(
+def _sides(companies: DataFrame, signals: DataFrame) -> DataFrame:
+    """Companies and signals counted, and the keys that only one of them has."""
+    both = companies.select(*COMPANY_KEY, F.lit(1).alias("_c")).join(
         signals.select(*COMPANY_KEY, F.lit(1).alias("_s")), list(COMPANY_KEY), "full"
     )
-    counts = [
-        hosts.agg(F.count("*").alias("hosts")),
-        keyed.agg(
-            F.count("*").alias("keyed"),
-            F.count_if(F.col("resolution_tier").isin(*tiers)).alias("tiers"),
-            resolved.alias("resolved"),
-        ),
-        host_map.agg(F.count("*").alias("mapped")),
-        sides.agg(
-            F.count("_c").alias("companies"),
-            F.count("_s").alias("signals"),
-            F.count_if(F.col("_c").isNull() | F.col("_s").isNull()).alias("one_sided"),
-        ),
-        accounts.agg(
-            F.count("*").alias("accounts"),
-            F.count_if(F.col("band").isin("contact", "review", "skip", "exclude")).alias("banded"),
-        ),
-        companies.agg(F.sum("host_count").alias("company_hosts")),
-    ]
-    if raw is not None:
-        empty = F.coalesce(*[F.col(c).cast("string") for c in HOST_COLUMNS if c != "vulns"]).isNull()
-        counts += [raw, hosts.agg(F.count_if(empty & F.col("vulns").isNull()).alias("empty_hosts"))]
+    return both.agg(
+        F.count("_c").alias("companies"),
+        F.count("_s").alias("signals"),
+        F.count_if(F.col("_c").isNull() | F.col("_s").isNull()).alias("one_sided"),
+    )
+
+
+def _long(one_rows: Sequence[DataFrame]) -> DataFrame:
     long = None
-    for one_row in counts:
+    for one_row in one_rows:
         rows = one_row.unpivot([], one_row.columns, "figure", "n")
         long = rows if long is None else long.unionByName(rows)
-    figures = long.agg(F.map_from_entries(F.collect_list(F.struct("figure", "n"))).alias("n"))
+    return long
+
+
+_REJECTED_CHECK = "rejected_lines_vs_empty_hosts"
+
+
+def _checked(figures: DataFrame, with_raw: bool) -> DataFrame:
+    """The checks over ``figure, n`` rows."""
+    known = figures.agg(F.map_from_entries(F.collect_list(F.struct("figure", "n"))).alias("n"))
     checks = {
-        **({"raw_lines_vs_hosts": ("raw_lines", "hosts")} if raw is not None else {}),
+        **({"raw_lines_vs_hosts": ("raw_lines", "hosts")} if with_raw else {}),
         "hosts_vs_keyed": ("hosts", "keyed"),
         "hosts_vs_tiers": ("keyed", "tiers"),
         "resolved_vs_map": ("resolved", "mapped"),
@@ -208,6 +186,7 @@ def layer_reconcile(
         "companies_vs_accounts": ("companies", "accounts"),
         "accounts_vs_bands": ("accounts", "banded"),
         "companies_without_counterpart": ("one_sided", None),
+        **({_REJECTED_CHECK: ("rejected_lines", "empty_hosts")} if with_raw else {}),
     }
     rows = [
         F.struct(
@@ -217,15 +196,77 @@ def layer_reconcile(
         )
         for name, (left, right) in checks.items()
     ]
-    ok = F.col("left_n") == F.col("right_n")
-    if raw is not None:
-        name = "rejected_lines_vs_empty_hosts"
-        rows.append(
-            F.struct(
-                F.lit(name).alias("check_name"),
-                F.col("n")["rejected_lines"].alias("left_n"),
-                F.col("n")["empty_hosts"].alias("right_n"),
-            )
-        )
-        ok = F.when(F.col("check_name") == name, F.col("left_n") <= F.col("right_n")).otherwise(ok)
-    return figures.select(F.inline(F.array(*rows))).withColumn("ok", ok)
+    left, right = F.col("left_n"), F.col("right_n")
+    ok = F.when(F.col("check_name") == _REJECTED_CHECK, left <= right).otherwise(left == right)
+    return known.select(F.inline(F.array(*rows))).withColumn("ok", ok)
+
+
+#: Where the figures of the checks stand in the observed counts.
+_OBSERVED = {
+    "raw_lines": (HOSTS, "rows"), "rejected_lines": (HOSTS, "rejected"), "empty_hosts": (HOSTS, "empty"),
+    "keyed": (KEYED, "rows"), "tiers": (KEYED, "tiers"), "resolved": (KEYED, "resolved"),
+    "mapped": (HOST_MAP, "rows"), "company_hosts": (COMPANIES, "hosts"),
+    "accounts": (ACCOUNTS, "rows"), "banded": (ACCOUNTS, "banded"),
+}
+
+
+def reconcile_observed(
+    counts: DataFrame, hosts: DataFrame, companies: DataFrame, signals: DataFrame
+) -> DataFrame:
+    """The checks of :func:`layer_reconcile` from the counts observed while the layers were written.
+
+    ``counts`` has ``layer, counts`` of one build. No layer and no raw record is
+    read again for them: the rows of hosts come from the files' footers, to
+    be held against those that were written, and the keys of companies and
+    signals are compared. Raw lines are the records that the ingest parsed.
+    """
+    observed = counts.select("layer", F.explode("counts").alias("name", "n"))
+    named = F.coalesce(
+        *[
+            F.when((F.col("layer") == layer) & (F.col("name") == name), F.lit(figure))
+            for figure, (layer, name) in _OBSERVED.items()
+        ]
+    )
+    observed = observed.select(named.alias("figure"), "n").filter("figure IS NOT NULL")
+    stored = _long([hosts.agg(F.count("*").alias("hosts")), _sides(companies, signals)])
+    return _checked(observed.unionByName(stored), True)
+
+
+def layer_reconcile(
+    hosts: DataFrame,
+    keyed: DataFrame,
+    host_map: DataFrame,
+    companies: DataFrame,
+    signals: DataFrame,
+    accounts: DataFrame,
+    raw: DataFrame | None = None,
+) -> DataFrame:
+    """Row counts that must agree between neighbouring layers, one row per check.
+
+    For layers without observed counts: each is counted once, by a one-row
+    aggregate of few columns; companies and signals are also compared key by
+    key. ``raw`` has the one row of ``readers.line_counts`` for the export;
+    every line that is not blank must be a row of hosts. The rejected ones among
+    them are told beside it, with the hosts that hold no value at all; a line
+    with an empty object is such a row too, so there may be more of these.
+    """
+    tier, band = F.col("resolution_tier"), F.col("band")
+    empty = F.coalesce(*[F.col(c).cast("string") for c in HOST_COLUMNS if c != "vulns"]).isNull()
+    empty_hosts = [F.count_if(empty & F.col("vulns").isNull()).alias("empty_hosts")] if raw is not None else []
+    counts = [
+        hosts.agg(F.count("*").alias("hosts"), *empty_hosts),
+        keyed.agg(
+            F.count("*").alias("keyed"),
+            F.count_if(tier.isin("domain", "org", "unresolved")).alias("tiers"),
+            F.count_if(tier.isin("domain", "org")).alias("resolved"),
+        ),
+        host_map.agg(F.count("*").alias("mapped")),
+        _sides(companies, signals),
+        accounts.agg(
+            F.count("*").alias("accounts"),
+            F.count_if(band.isin("contact", "review", "skip", "exclude")).alias("banded"),
+        ),
+        companies.agg(F.sum("host_count").alias("company_hosts")),
+        *([raw] if raw is not None else []),
+    ]
+    return _checked(_long(counts), raw is not None)

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scanledger.config import AdjudicationRules, ResolveRules, ScoreRules, SignalRules
 from scanledger.operators.accounts import filter_band, gold_accounts
@@ -19,8 +20,11 @@ from scanledger.operators.evaluate import random_sample
 from scanledger.operators.ingest import flatten_hosts
 from scanledger.operators.resolve import companies_rollup, host_company_map, keyed_table
 from scanledger.operators.signals import signals_rollup, signals_rollup_direct
-from scanledger.sources.readers import scan_raw_records
-from scanledger.sources.writers import read_layer, write_jsonl, write_layer
+from scanledger.schemas import (
+    ACCOUNTS, ADJUDICATED, COMPANIES, HOST_COLUMNS, HOST_MAP, HOSTS, KEYED, SIGNALS,
+)
+from scanledger.sources.readers import REJECTED, scan_raw_records
+from scanledger.sources.writers import observed_layer, read_layer, write_jsonl
 
 
 @dataclass(frozen=True)
@@ -44,6 +48,35 @@ class Layers:
     accounts: DataFrame
 
 
+def host_figures() -> dict[str, Column]:
+    """Raw rows, those of lines that are no object, and rows without any value, from the one parse."""
+    empty = F.coalesce(*[F.col(c).cast("string") for c in HOST_COLUMNS if c != "vulns"]).isNull()
+    return {
+        "rows": F.count(F.lit(1)),
+        "rejected": F.count_if(F.col(REJECTED)),
+        "empty": F.count_if(empty & F.col("vulns").isNull()),
+    }
+
+
+def _figures() -> dict[str, dict[str, Column]]:
+    """What is observed of each layer while it is written."""
+    rows = F.count(F.lit(1))
+    tier, band = F.col("resolution_tier"), F.col("band")
+    return {
+        HOSTS: host_figures(),
+        KEYED: {
+            "rows": rows,
+            "tiers": F.count_if(tier.isin("domain", "org", "unresolved")),
+            "resolved": F.count_if(tier.isin("domain", "org")),
+        },
+        HOST_MAP: {"rows": rows},
+        COMPANIES: {"rows": rows, "hosts": F.sum("host_count")},
+        SIGNALS: {"rows": rows},
+        ACCOUNTS: {"rows": rows, "banded": F.count_if(band.isin("contact", "review", "skip", "exclude"))},
+        ADJUDICATED: {"rows": rows, "labelled": F.count("final_label")},
+    }
+
+
 def ingest(
     spark: SparkSession,
     raw_path: str | list[str],
@@ -56,10 +89,12 @@ def ingest(
     Every input split is parsed by a task of its own. An export shrinks about
     200-fold in the hosts table, so its rows are then rebalanced into files of
     the advisory partition size; otherwise 100 TB would leave 800,000 files of
-    half a megabyte.
+    half a megabyte. Raw, rejected and written rows are counted on the way.
     """
-    hosts = flatten_hosts(scan_raw_records(spark, raw_path, array_lines_as_null))
-    return write_layer(hosts, f"{out_dir}/silver/hosts", snapshot_date, rebalance=True)
+    raw = scan_raw_records(spark, raw_path, array_lines_as_null, with_rejected=True)
+    hosts = flatten_hosts(raw, REJECTED)
+    figures = _figures()[HOSTS]
+    return observed_layer(hosts, out_dir, HOSTS, figures, snapshot_date, rebalance=True, hidden=(REJECTED,))
 
 
 def build_from_hosts(
@@ -70,17 +105,19 @@ def build_from_hosts(
 ) -> Layers:
     """Hosts of one export -> keyed hosts, map, companies, signals and accounts."""
 
-    def written(table: DataFrame, path: str) -> DataFrame:
-        return write_layer(table, f"{out_dir}/{path}", snapshot_date)
+    figures = _figures()
+
+    def written(table: DataFrame, layer: str) -> DataFrame:
+        return observed_layer(table, out_dir, layer, figures[layer], snapshot_date)
 
-    keyed = written(keyed_table(hosts, rules.resolve, rules.signals), "silver/keyed")
-    host_map = written(host_company_map(keyed), "silver/host_company_map")
-    companies = written(companies_rollup(keyed, rules.resolve), "silver/companies")
+    keyed = written(keyed_table(hosts, rules.resolve, rules.signals), KEYED)
+    host_map = written(host_company_map(keyed), HOST_MAP)
+    companies = written(companies_rollup(keyed, rules.resolve), COMPANIES)
     rollup = (
         signals_rollup(keyed, host_map) if rules.join_hosts_to_map else signals_rollup_direct(keyed)
     )
-    signals = written(rollup, "gold/security_signals")
-    accounts = written(gold_accounts(companies, signals, rules.scores), "gold/accounts")
+    signals = written(rollup, SIGNALS)
+    accounts = written(gold_accounts(companies, signals, rules.scores), ACCOUNTS)
     return Layers(hosts, keyed, host_map, companies, signals, accounts)
 
 
@@ -123,7 +160,7 @@ def adjudicate(
     if decisions is None:
         decisions = rule_adjudicate(review_accounts(layers, sample), rules.adjudication)
     overlaid = decision_overlay(layers.accounts, decisions)
-    return write_layer(overlaid, f"{out_dir}/gold/accounts_adjudicated", snapshot_date)
+    return observed_layer(overlaid, out_dir, ADJUDICATED, _figures()[ADJUDICATED], snapshot_date)
 
 
 def read_layers(spark: SparkSession, out_dir: str, snapshot_date: str | None = None) -> Layers:
@@ -131,9 +168,6 @@ def read_layers(spark: SparkSession, out_dir: str, snapshot_date: str | None = N
     return Layers(
         *[
             read_layer(spark, f"{out_dir}/{path}", snapshot_date)
-            for path in (
-                "silver/hosts", "silver/keyed", "silver/host_company_map", "silver/companies",
-                "gold/security_signals", "gold/accounts",
-            )
+            for path in (HOSTS, KEYED, HOST_MAP, COMPANIES, SIGNALS, ACCOUNTS)
         ]
     )

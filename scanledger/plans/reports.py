@@ -8,11 +8,22 @@ from scanledger.operators import evaluate, quality, serving
 from scanledger.plans.build import Layers
 
 
-def quality_reports(layers: Layers, raw: DataFrame | None = None) -> dict[str, DataFrame]:
+def quality_reports(
+    layers: Layers, raw: DataFrame | None = None, counts: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Null, distinct, flag and coverage figures, yields and distributions.
 
-    ``raw`` has the line counts of the export, to reconcile the hosts with it.
+    The layers are reconciled by the ``counts`` observed while they were
+    written, or else, and if ``raw`` has line counts of the export, by counting
+    them.
     """
+    if counts is not None and raw is None:
+        reconciled = quality.reconcile_observed(counts, layers.hosts, layers.companies, layers.signals)
+    else:
+        reconciled = quality.layer_reconcile(
+            layers.hosts, layers.keyed, layers.host_map, layers.companies, layers.signals,
+            layers.accounts, raw,
+        )
     return {
         "null_rates": quality.null_rates(layers.hosts),
         "distinct_counts": quality.distinct_counts(layers.hosts),
@@ -31,8 +42,5 @@ def quality_reports(layers: Layers, raw: DataFrame | None = None) -> dict[str, D
             layers.accounts.filter("band = 'review'"), size=5
         ),
         "cost_projection": evaluate.cost_projection(layers.accounts),
-        "layer_reconcile": quality.layer_reconcile(
-            layers.hosts, layers.keyed, layers.host_map, layers.companies, layers.signals,
-            layers.accounts, raw,
-        ),
+        "layer_reconcile": reconciled,
     }

@@ -6,6 +6,13 @@ the analytics need them coerced. The entries of the CVE map are read as JSON
 text for the same reason: one malformed entry would void the whole map.
 """
 
+#: Folder of each layer; also its name in the table of observed counts.
+HOSTS, KEYED, HOST_MAP = "silver/hosts", "silver/keyed", "silver/host_company_map"
+COMPANIES, SIGNALS, ACCOUNTS = "silver/companies", "gold/security_signals", "gold/accounts"
+ADJUDICATED = "gold/accounts_adjudicated"
+#: Layers of the repeated ingest.
+HOST_BATCHES, LEDGER = "silver/host_batches", "silver/ingested_files"
+
 RAW_RECORD = """
     ip_str STRING, port STRING, transport STRING, timestamp STRING,
     hostnames ARRAY<STRING>, domains ARRAY<STRING>,
@@ -81,6 +88,11 @@ LABELED_RECORD = """
     expected_label STRING, rationale STRING
 """
 
+LEDGER_RECORD = (
+    "source_file STRING, source_path STRING, size_bytes BIGINT, mtime_ms BIGINT, removed BOOLEAN, "
+    "batch BIGINT"
+)
+
 REPLY_RECORD = "company_key STRING, resolution_tier STRING, reply STRING"
 
 # request and response differ per skill, so they are kept as JSON text.

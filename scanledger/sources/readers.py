@@ -10,8 +10,19 @@ from pyspark.sql import types as T
 from scanledger import schemas
 
 
+#: Column of ``scan_raw_records(..., with_rejected=True)``: the line is no JSON object.
+REJECTED = "_rejected"
+#: Column of ``scan_raw_records(..., with_file=True)``: the file of the record.
+SOURCE_FILE = "source_file"
+_CORRUPT = "_corrupt_line"
+
+
 def scan_raw_records(
-    spark: SparkSession, path: str | list[str], array_lines_as_null: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    array_lines_as_null: bool = False,
+    with_rejected: bool = False,
+    with_file: bool = False,
 ) -> DataFrame:
     """Raw scan records, one JSON object per line.
 
@@ -22,21 +33,37 @@ def scan_raw_records(
     A line that holds a JSON array of records is no record. The JSON source
     gives a row for each of its elements; with ``array_lines_as_null`` it is a
     malformed line as any other, but reading lines first and parsing them then
-    takes about half as long again, so it is not the default. The
-    reconciliation counts lines and shows if an export needs it.
-    """
-    if not array_lines_as_null:
-        return spark.read.schema(schemas.RAW_RECORD).json(path)
-    lines = record_lines(spark, path)
-    return lines.select(F.from_json("value", schemas.RAW_RECORD).alias("record")).select("record.*")
+    takes about half as long again, so it is not the default. ``line_counts``
+    shows if an export needs it.
 
-
-def record_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    ``with_rejected`` adds ``REJECTED`` from the same parse: the parser hands
+    over the text of lines in which it found a fault, and only these few are
+    looked at again, because a fault may be one wrong value in an object.
+    """
+    schema = schemas.RAW_RECORD
+    if with_rejected:
+        schema = f"{schema}, {_CORRUPT} STRING"
+    faults = {"columnNameOfCorruptRecord": _CORRUPT} if with_rejected else {}
+    file = [F.col("_metadata.file_path").alias(SOURCE_FILE)] if with_file else []
+    if array_lines_as_null:
+        lines = record_lines(spark, path, *file)
+        record = F.from_json("value", schema, faults).alias("record")
+        records = lines.select(record, *lines.columns[1:]).select("record.*", *lines.columns[1:])
+    else:
+        records = spark.read.schema(schema).options(**faults).json(path)
+        records = records.select("*", *file) if file else records
+    if not with_rejected:
+        return records
+    rejected = F.when(F.col(_CORRUPT).isNotNull(), _is_rejected(F.col(_CORRUPT))).otherwise(False)
+    return records.withColumn(REJECTED, rejected).drop(_CORRUPT)
+
+
+def record_lines(spark: SparkSession, path: str | list[str], *added: Column) -> DataFrame:
     """The lines of an export that are not blank."""
     line = F.col("value")
     # most lines show by their first character that they aren't blank
     blank = F.left(line, F.lit(1)).isin("", " ", "\t") & (F.trim(line) == "")
-    return spark.read.text(path).filter(~blank)
+    return spark.read.text(path).select("value", *added).filter(~blank)
 
 
 def rejected_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:

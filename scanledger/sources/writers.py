@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scanledger import config, schemas
@@ -15,9 +17,18 @@ def write_parquet_zstd(
     partition_by: str | None = None,
     mode: str = "overwrite",
     rebalance: bool = False,
+    observation: Observation | None = None,
+    figures: Mapping[str, Column] | None = None,
+    hidden: tuple[str, ...] = (),
 ) -> DataFrame:
     """Write a ZSTD Parquet table and return it as read back.
 
+    ``observation`` takes the ``figures`` (aggregates by name) of the rows as
+    they are written. They are observed in the stage that writes, behind all
+    shuffles: Spark counts each partition of that stage once, however often its
+    tasks or the stages before it run. ``hidden`` columns serve the figures
+    only and aren't written.
+
     ``rebalance`` is for a table much smaller than the input it was computed
     from: its rows are shuffled into files of the advisory partition size, so
     that the tasks before may be as many as the input has splits.
@@ -27,6 +38,9 @@ def write_parquet_zstd(
     in ``table`` are replaced.
     """
     rows = table.hint("rebalance") if rebalance else table
+    if observation is not None:
+        rows = rows.observe(observation, *[figure.alias(name) for name, figure in figures.items()])
+    rows = rows.drop(*hidden)
     writer = rows.write.mode(mode).option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
@@ -41,6 +55,8 @@ def write_jsonl(table: DataFrame, path: str, append: bool = False, **options: st
 
 
 SNAPSHOT = "snapshot_date"
+#: Folder of the counts that were observed while layers were written.
+COUNTS = "layer_counts"
 
 
 def write_layer(table: DataFrame, path: str, snapshot_date: str | None = None, **options) -> DataFrame:
@@ -85,6 +101,53 @@ def layer_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def observed_write(table: DataFrame, path: str, figures: Mapping[str, Column], **options) -> dict[str, int]:
+    """Write a table; returns the figures of the rows as they were written."""
+    observation = Observation()
+    write_parquet_zstd(table, path, observation=observation, figures=figures, **options)
+    return {name: int(n or 0) for name, n in observation.get.items()}
+
+
+def observed_layer(
+    table: DataFrame,
+    out_dir: str,
+    layer: str,
+    figures: Mapping[str, Column],
+    snapshot_date: str | None = None,
+    **options,
+) -> DataFrame:
+    """Write a layer and keep the figures observed meanwhile, one row per layer and date."""
+    observation = Observation()
+    written = write_layer(
+        table, f"{out_dir}/{layer}", snapshot_date, observation=observation, figures=figures, **options
+    )
+    counts = {name: int(n or 0) for name, n in observation.get.items()}
+    keep_counts(table.sparkSession, out_dir, layer, counts, snapshot_date)
+    return written
+
+
+def keep_counts(
+    spark: SparkSession, out_dir: str, layer: str, counts: Mapping[str, int], snapshot_date: str | None = None
+) -> None:
+    """Replace the counts of this layer and date."""
+    kept = spark.createDataFrame([(layer, dict(counts))], "layer STRING, counts MAP<STRING, BIGINT>")
+    kept = kept.withColumn(SNAPSHOT, F.lit(snapshot_date).cast("date"))
+    (
+        kept.coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(SNAPSHOT, "layer")
+        .parquet(f"{out_dir}/{COUNTS}")
+    )
+
+
+def read_counts(spark: SparkSession, out_dir: str, snapshot_date: str | None = None) -> DataFrame:
+    """``layer, counts`` of one date, or of a build without a date."""
+    schema = f"counts MAP<STRING, BIGINT>, {SNAPSHOT} DATE, layer STRING"
+    kept = spark.read.schema(schema).parquet(f"{out_dir}/{COUNTS}")
+    return kept.filter(F.col(SNAPSHOT).eqNullSafe(F.lit(snapshot_date).cast("date"))).select("layer", "counts")
+
+
 def write_eval_report(report: DataFrame, path: str) -> None:
     """Keep a run with the reports; repeating it replaces its own entry only."""
     (

@@ -11,6 +11,8 @@ from scanledger.operators.accounts import filter_band, gold_accounts
 from scanledger.operators.adjudicate import decision_overlay, rule_adjudicate
 from scanledger.operators.resolve import companies_rollup, host_company_map, keyed_table
 from scanledger.operators.signals import signals_rollup
+from scanledger.plans.build import build, build_from_hosts
+from scanledger.plans.ledger import ingest_new
 from scanledger.schemas import CONTACT_FIELDS
 from scanledger.session import scratch_dir
 from scanledger.sources.writers import write_parquet_zstd
@@ -18,6 +20,10 @@ from workload import recipes
 from workload.observations import host_rows
 
 
+#: Dates of the exports of ``dated_folder``, and the observations that they hold.
+EXPORTS = {"2024-01-31": "event_id % 5 <> 0", "2024-02-29": "event_id % 7 <> 0"}
+
+
 class Inputs:
     """Layers of one set of tables, each written once and then read as a table.
 
@@ -100,6 +106,45 @@ class Inputs:
         self.spark.read.text(self.raw_lines_path).write.text(path, compression="gzip")
         return path
 
+    @cached_property
+    def build_folder(self) -> str:
+        """All layers built from the raw lines, with the counts observed meanwhile."""
+        folder = scratch_dir(self.spark, "build")
+        build(self.spark, self.raw_lines_path, folder)
+        return folder
+
+    @cached_property
+    def dated_folder(self) -> str:
+        """Layers of two dated exports that share most of their observations."""
+        folder = scratch_dir(self.spark, "dated")
+        for date, condition in EXPORTS.items():
+            build_from_hosts(self.hosts.filter(condition), folder, snapshot_date=date)
+        return folder
+
+    @cached_property
+    def ledger_folder(self) -> str:
+        """An export in parts that grows: a second run finds a new part and another one replaced.
+
+        A third run finds nothing new.
+        """
+        folder = scratch_dir(self.spark, "ledger")
+        records = self.hosts.select("event_id", F.to_json(F.struct(*raw_columns())).alias("value"))
+
+        def deliver(part: str, condition: str) -> None:
+            lines = records.filter(condition).select("value")
+            lines.write.mode("overwrite").text(f"{folder}/raw/{part}")
+
+        for part in (0, 1, 2):
+            deliver(f"p{part}", f"event_id % 4 = {part}")
+        parts = f"{folder}/raw/*"
+        runs = [ingest_new(self.spark, parts, folder, withdraw_missing=True)]
+        deliver("p2", "event_id % 8 = 2")
+        deliver("p3", "event_id % 4 = 3")
+        runs += [ingest_new(self.spark, parts, folder, withdraw_missing=True) for _ in range(2)]
+        if runs != [1, 2, None]:
+            raise AssertionError(f"batches {runs}")
+        return folder
+
     @property
     def hits(self) -> DataFrame:
         return self.sql(recipes.EMAIL_HITS)

@@ -248,8 +248,8 @@ LAYERS: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
-def over(*needed: str, select: str) -> str:
-    """``select`` with the layers it reads as common table expressions."""
+def over(*needed: str, select: str, hosts_where: str | None = None) -> str:
+    """``select`` with the layers it reads as common table expressions, over all hosts or some."""
     order: list[str] = []
 
     def visit(name: str) -> None:
@@ -261,5 +261,8 @@ def over(*needed: str, select: str) -> str:
 
     for name in needed:
         visit(name)
-    tables = ",\n".join(f"{name} AS (\n{LAYERS[name][0]}\n)" for name in order)
+    texts = {name: LAYERS[name][0] for name in order}
+    if hosts_where:
+        texts["hosts"] = f"SELECT * FROM ({texts['hosts']}) WHERE {hosts_where}"
+    tables = ",\n".join(f"{name} AS (\n{text}\n)" for name, text in texts.items())
     return f"WITH {tables}\n{select}"
