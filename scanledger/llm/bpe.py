@@ -10,11 +10,9 @@ inside a word only, so equal words have equal ids wherever they stand.
    the word: each distinct word is encoded in one place.
 3. The ids of the distinct words are joined with the table of token bytes,
    which decodes them.
-4. Ids and bytes are joined back to the places of each block, and put in by
-   position.
+4. Ids and bytes are joined back to the blocks and put in by position.
 
-A word that stands everywhere is one row per block, not one per occurrence, and
-before it is made distinct one row per task.
+A word that stands everywhere is one row per block, not one per occurrence.
 """
 
 from __future__ import annotations
@@ -27,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - makes pa.compute known
 import tiktoken
 import zstandard
 from pyspark import TaskContext
@@ -38,11 +37,12 @@ from scanledger.llm.common import schema_of, stored
 from scanledger.llm.pretokens import gather, split_words
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Code points of a block, or one longer text. It bounds what a task holds; blocks twice as large send
-#: a good deal less than twice as many words.
-BLOCK_CHARS = 1 << 21
+#: Code points of a block, or one longer text. It bounds what a task holds; larger blocks repeat fewer words.
+BLOCK_CHARS = 1 << 23
 #: Longer words are known by a digest.
 KEY_CHARS = 32
+#: Places that a task holds before it sends them on by block.
+HELD_PLACES = 1 << 20
 
 
 # --- vocabulary ------------------------------------------------------------------------------
@@ -67,28 +67,45 @@ def word_ids(vocabulary: str, words: list[str]) -> list[list[int]]:
 
 
 def token_table(spark: SparkSession, vocabulary: str) -> DataFrame:
-    """``id, token`` with the bytes of a token as hex digits; as many rows as the vocabulary has."""
-    rows = pa.table(
-        [pa.array(c) for c in zip(*((i, t.hex()) for t, i in read_ranks(vocabulary).items()), strict=True)],
-        pa.schema([("id", pa.int32()), ("token", pa.string())]),
-    )
-    return spark.createDataFrame(rows)
+    """``id, token``; as many rows as the vocabulary has."""
+    ids, tokens = zip(*((i, t) for t, i in read_ranks(vocabulary).items()), strict=True)
+    schema = pa.schema([("id", pa.int32()), ("token", pa.binary())])
+    return spark.createDataFrame(pa.table([pa.array(ids, pa.int32()), pa.array(tokens, pa.binary())], schema))
 
 
 # --- blocks ----------------------------------------------------------------------------------
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers of four bytes, plane by plane; the upper planes are mostly zeros."""
+    return np.ascontiguousarray(numbers.astype("<u4").view("u1").reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
+def pack_arrays(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers, or of bytes, compressed together."""
+    body = [a.tobytes() if a.dtype == np.uint8 else _planes(a) for a in arrays]
+    head = np.array([len(b) for b in body], "<u8").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(b"".join((head, *body)))
+
+
+def unpack_arrays(packed: bytes, count: int) -> list[np.ndarray]:
+    """``count`` arrays; a last one of bytes is left as it is."""
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), "u1")
+    sizes = data[: 8 * count].view("<u8").tolist()
+    edges = 8 * count + np.cumsum([0, *sizes])
+    return [data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
 def pack_numbers(numbers: np.ndarray) -> bytes:
-    """Numbers of words, byte plane by byte plane."""
-    kind = np.dtype("<u2") if not len(numbers) or numbers.max() < 1 << 16 else np.dtype("<u4")
-    planes = numbers.astype(kind).view("u1").reshape(-1, kind.itemsize).T
-    return bytes([kind.itemsize]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return pack_arrays(numbers)
 
 
 def unpack_numbers(packed: bytes) -> np.ndarray:
-    kind = np.dtype(f"<u{packed[0]}")
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), "u1")
-    return np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).ravel()
+    return _from_planes(unpack_arrays(packed, 1)[0])
 
 
 def _spans(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
@@ -149,48 +166,132 @@ def text_blocks(docs: DataFrame, chars: int = BLOCK_CHARS) -> DataFrame:
 # --- distinct words --------------------------------------------------------------------------
 
 
+def word_places(blocks: DataFrame) -> DataFrame:
+    """``key, word, block, place``: every word of every block, exploded.
+
+    The key is the word, or of a long one its digest beside the word; a digest
+    is longer than any word that is its own key.
+    """
+    places = blocks.select("block", F.posexplode("words").alias("place", "own"))
+    is_long = F.length("own") > KEY_CHARS
+    digest = F.sha2(F.encode("own", "UTF-8"), 256)
+    return places.select(
+        F.when(is_long, digest).otherwise(F.col("own")).alias("key"), F.when(is_long, F.col("own")).alias("word"),
+        "block", "place",
+    )
+
+
 def _encode_words(vocabulary: str):
+    """Rows come sorted by key: those of one word become one row with its places and ids."""
+
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            ids = pa.array(word_ids(vocabulary, part.column("word").to_pylist()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_pydict({"key": part.column("key"), "ids": ids})
+            keys = part.column("key").to_pylist()
+            if not keys:
+                continue
+            first = [k for k in range(len(keys)) if not k or keys[k] != keys[k - 1]]
+            longer = part.column("word").take(pa.array(first, pa.int32())).to_pylist()
+            words = [w or keys[k] for k, w in zip(first, longer, strict=True)]
+            places = pa.StructArray.from_arrays([part.column("block"), part.column("place")], ["block", "place"])
+            row = {
+                "places": pa.ListArray.from_arrays(pa.array([*first, len(keys)], pa.int32()), places),
+                "ids": pa.array(word_ids(vocabulary, words), pa.list_(pa.int32())),
+            }
+            yield pa.RecordBatch.from_pydict(row)
 
     return encode
 
 
-def word_places(blocks: DataFrame) -> DataFrame:
-    """``key, word, block, place``: every word of every block, exploded.
+def encoded_words(places: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """``places, ids``: each distinct word once with the blocks and places where it stands.
 
-    The key is the word, or of a long one its digest, so that rows stay narrow;
-    a digest is longer than any word that is its own key.
+    A word of more places than an Arrow batch holds has several rows.
     """
-    places = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    digest = F.sha2(F.encode("word", "UTF-8"), 256)
-    return places.withColumn("key", F.when(F.length("word") > KEY_CHARS, digest).otherwise(F.col("word")))
+    return (
+        places.repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(_encode_words(vocabulary), "places array<struct<block: bigint, place: int>>, ids array<int>")
+    )
 
 
-def encoded_words(places: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``key, listed, bytes`` of each distinct word: its ids in decimal, and what they decode to.
+def decoded_words(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """``places, position, id, token``: the ids of the words joined with the token-byte table.
 
-    Words are made distinct across the cluster and encoded once. Decoding joins
-    their ids with the token-byte table, which is as large as the vocabulary.
+    The table is as large as the vocabulary and is broadcast, so the rows of a
+    word stay together; its places are on the first of them.
     """
-    words = places.select("key", "word").distinct()
-    encoded = words.mapInArrow(_encode_words(vocabulary), "key string, ids array<int>")
-    positions = encoded.select("key", F.posexplode("ids").alias("position", "id"))
-    tokens = F.broadcast(token_table(places.sparkSession, vocabulary))
-    parts = positions.join(tokens, "id").groupBy("key").agg(
-        F.array_sort(F.collect_list(F.struct("position", "id", "token"))).alias("parts")
-    )
-    listed = F.array_join(F.transform("parts", lambda p: p["id"].cast("string")), ",")
-    found = F.unhex(F.array_join(F.transform("parts", lambda p: p["token"]), ""))
-    return stored(parts.select("key", listed.alias("listed"), found.alias("bytes")), "words")
+    each = encoded.select("places", F.posexplode("ids").alias("position", "id"))
+    each = each.withColumn("places", F.when(F.col("position") == 0, F.col("places")))
+    tokens = F.broadcast(token_table(encoded.sparkSession, vocabulary))
+    return each.join(tokens, "id").select("places", "position", "id", "token")
+
+
+class _Words:
+    """Decoded words that a task has read, ready to be sent to their blocks."""
+
+    def __init__(self) -> None:
+        self.parts: list[pa.RecordBatch] = []
+        self.held = 0
+
+    def add(self, part: pa.RecordBatch) -> None:
+        self.parts.append(part)
+        self.held += len(part.column("places").flatten()) if part.num_rows else 0
+
+    def send(self, last: bool) -> Iterator[pa.RecordBatch]:
+        """One row per block; a word whose rows may go on in the next batch stays."""
+        table = pa.Table.from_batches(self.parts).combine_chunks()
+        position = table.column("position").to_numpy()
+        first = np.flatnonzero(position == 0)
+        end = len(position) if last else int(first[-1]) if len(first) else 0
+        rest = table.slice(end)
+        self.parts = rest.to_batches()
+        self.held = 0
+        if not end:
+            return
+        table, first = table.slice(0, end), first[first < end]
+        counts = np.diff(np.append(first, end))
+        if not np.array_equal(position[:end], np.arange(end) - np.repeat(first, counts)):
+            raise ValueError("the ids of a word don't stand together")
+        ids = table.column("id").to_numpy()
+        tokens = table.column("token").combine_chunks()
+        token_sizes = np.array(pa.compute.binary_length(tokens))
+        letters = np.frombuffer(b"".join(tokens.to_pylist()), np.uint8)
+        sizes = np.add.reduceat(token_sizes, first)
+        lists = table.column("places").combine_chunks().take(pa.array(first))
+        word = np.repeat(np.arange(len(first)), np.array(pa.compute.list_value_length(lists)))
+        found = lists.flatten()
+        blocks, places = (found.field(n).to_numpy(zero_copy_only=False) for n in ("block", "place"))
+        order = np.lexsort((places, blocks))
+        blocks, places, word = blocks[order], places[order], word[order]
+        starts = np.cumsum(sizes) - sizes
+        edges = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]]))
+        rows = []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            own = word[a:b]
+            rows.append(
+                pack_arrays(
+                    np.diff(places[a:b], prepend=0), counts[own], sizes[own], gather(ids, first[own], counts[own]),
+                    gather(letters, starts[own], sizes[own]),
+                )
+            )
+        columns = [pa.array(blocks[edges[:-1]], pa.int64()), pa.array(rows, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["block", "found"])
+
+
+def _send_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = _Words()
+    for part in parts:
+        words.add(part)
+        if words.held >= HELD_PLACES:
+            yield from words.send(False)
+    if words.parts:
+        yield from words.send(True)
 
 
-def block_words(places: DataFrame, encoded: DataFrame) -> DataFrame:
-    """``block, found``: the ids and bytes of each block's words, with their places."""
-    joined = places.select("key", "block", "place").join(encoded, "key").select("block", "place", "listed", "bytes")
-    return joined.groupBy("block").agg(F.collect_list(F.struct("place", "listed", "bytes")).alias("found"))
+def block_words(decoded: DataFrame) -> DataFrame:
+    """``block, found``: the ids and bytes of each block's words with their places, packed."""
+    sent = decoded.mapInArrow(_send_words, "block long, found binary")
+    return sent.groupBy("block").agg(F.collect_list("found").alias("found"))
 
 
 # --- whole texts -----------------------------------------------------------------------------
@@ -203,29 +304,35 @@ _encoded_type = pa.struct(
 class _Block:
     """The encoded words of a block in the order of their numbers."""
 
-    def __init__(self, found: pa.StructArray | None):
-        if found is None or not len(found):
-            self.listed, self.bytes, self.counts = [], [], np.zeros(0, np.int64)
-            return
-        places = found.field("place").to_numpy(zero_copy_only=False)
-        if not np.array_equal(np.sort(places), np.arange(len(places))):
+    def __init__(self, found: list[bytes], words: int):
+        parts = [unpack_arrays(p, 5) for p in found]
+        places, counts, sizes, ids = (
+            [_from_planes(part[k]).astype(np.int64) for part in parts] for k in range(4)
+        )
+        places = _joined([np.cumsum(p) for p in places])
+        order = np.argsort(places)
+        if not np.array_equal(places[order], np.arange(words)):
             raise ValueError("the ids of some words are missing")
-        order = pa.array(np.argsort(places))
-        self.listed = found.field("listed").take(order).to_pylist()
-        self.bytes = found.field("bytes").take(order).to_pylist()
-        self.counts = np.array([1 + ids.count(",") for ids in self.listed], np.int64)
+        counts, sizes, ids = _joined(counts), _joined(sizes), _joined(ids)
+        self.counts = counts[order]
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.ids = gather(ids, (np.cumsum(counts) - counts)[order], self.counts)
+        letters = np.concatenate([p[4] for p in parts]) if parts else np.zeros(0, np.uint8)
+        text, begin = letters.tobytes(), (np.cumsum(sizes) - sizes)[order]
+        self.bytes = [text[a:b] for a, b in zip(begin.tolist(), (begin + sizes[order]).tolist(), strict=True)]
+        decimal = list(map(str, self.ids.tolist()))
+        edges = [*self.starts.tolist(), len(decimal)]
+        self.listed = [",".join(decimal[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
 
-    def all_ids(self) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words one after the other, and where each word's begin."""
-        text = ",".join(self.listed)
-        flat = np.array(text.split(","), np.int32) if text else np.zeros(0, np.int32)
-        return flat, np.cumsum(self.counts) - self.counts
+def _joined(arrays: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
 
 
 def _assemble(with_ids: bool):
-    def encode_block(docs: pa.StructArray, numbers: bytes, found: pa.StructArray | None) -> list[tuple]:
-        block, held = _Block(found), unpack_numbers(numbers)
-        flat, starts = block.all_ids() if with_ids else (None, None)
+    def encode_block(docs: pa.StructArray, numbers: bytes, found: list[bytes]) -> list[tuple]:
+        held = unpack_numbers(numbers)
+        block = _Block(found, int(held.max()) + 1 if len(held) else 0)
         rows, at = [], 0
         for size in docs.field("__words").to_pylist():
             own = held[at : at + size]
@@ -233,7 +340,7 @@ def _assemble(with_ids: bool):
             counts, each = block.counts[own], own.tolist()
             listed = ",".join(map(block.listed.__getitem__, each))
             decoded = b"".join(map(block.bytes.__getitem__, each))
-            ids = gather(flat, starts[own], counts) if with_ids else None
+            ids = gather(block.ids, block.starts[own], counts) if with_ids else None
             rows.append(
                 (int(counts.sum()), ids, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest())
             )
@@ -243,7 +350,7 @@ def _assemble(with_ids: bool):
         for part in parts:
             for k in range(part.num_rows):
                 docs = part.column("docs").slice(k, 1).flatten()
-                found = part.column("found").slice(k, 1).flatten()
+                found = part.column("found")[k].as_py() or []
                 rows = encode_block(docs, part.column("numbers")[k].as_py(), found)
                 fields = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _encoded_type, strict=True)]
                 columns = {f.name: docs.field(f.name) for f in docs.type if f.name != "__words"}
@@ -268,8 +375,8 @@ def encode_and_decode(
     """
     docs = docs.drop("encoded")
     blocks = text_blocks(docs, block_chars)
-    places = word_places(blocks)
-    found = block_words(places, encoded_words(places, vocabulary))
+    encoded = encoded_words(word_places(blocks), vocabulary)
+    found = block_words(decoded_words(encoded, vocabulary))
     joined = blocks.select("block", "docs", "numbers").join(found, "block", "left").drop("block")
     kind = "struct<n_tokens: bigint, ids: array<int>, ids_sha256: string, decoded_sha256: string>"
     return joined.mapInArrow(_assemble(with_ids), schema_of(docs, f"encoded {kind}", ("text",)))
