@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger.llm.common import ASCII_SPACE, batches, schema_of, stored, utf8
+from scanledger.llm.common import ASCII_SPACE, batches, schema_of, stored, texts_of, utf8
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -31,7 +31,9 @@ PIECE_BITS = 1 << 20
 #: Tasks that build filters, at most: each of them sends its own two.
 FILTER_TASKS = 4096
 _PIECES = pa.schema([("piece", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
-_KEYS = pa.schema([("digest", pa.binary()), ("line_key", pa.binary()), ("doc_id", pa.int64())])
+_KEYS = pa.schema(
+    [("digest", pa.binary()), ("line_key", pa.binary()), ("doc_id", pa.int64()), ("row_digest", pa.binary())]
+)
 
 
 def line_key(line: bytes) -> bytes:
@@ -134,37 +136,41 @@ def _suspects(twice, bits: int):
             for doc_id, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
                 own = shared_keys(utf8(text))
                 keys += own
-                ids += [doc_id] * len(own)
+                ids += [(doc_id, xxhash.xxh3_128_digest(utf8(text)))] * len(own)
             if not keys:
                 continue
             at = _positions(keys, bits)
             hit = ((held[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)
             found = np.flatnonzero(hit).tolist()
-            rows = ((xxhash.xxh3_128_digest(keys[k]), keys[k], ids[k]) for k in found)
+            rows = ((xxhash.xxh3_128_digest(keys[k]), keys[k], *ids[k]) for k in found)
             yield from batches(rows, _KEYS)
 
     return find
 
 
 def suspected_keys(docs: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """``digest, line_key, doc_id`` of the keys that may be in more than one document."""
+    """``digest, line_key, doc_id, row_digest`` of the keys that may be in more than one document."""
     spark: SparkSession = docs.sparkSession
     twice = spark.sparkContext.broadcast(seen_twice(docs, bits))
     return docs.select("doc_id", "text").mapInArrow(
-        _suspects(twice, bits), "digest binary, line_key binary, doc_id long"
+        _suspects(twice, bits), "digest binary, line_key binary, doc_id long, row_digest binary"
     )
 
 
 def lost_keys(docs: DataFrame, bits: int = FILTER_BITS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``doc_id, lost``: the digests of the keys whose lines each document loses."""
+    """``doc_id, row_digest, lost``: the digests of the keys whose lines each row loses.
+
+    A row is known by its id and 128 bits of its text, so what is gathered is
+    bounded by the lines of one text, also where rows have no id or one in common.
+    """
     suspects = stored(suspected_keys(docs, bits), "suspects")
     counted = suspects.groupBy("line_key", "digest").agg(
         F.count("*").alias("documents"), F.max("doc_id").alias("keeper")
     )
     repeated = counted.filter(F.col("documents") >= min_docs).select("digest", "keeper")
-    losers = suspects.select("digest", "doc_id").join(repeated, "digest")
+    losers = suspects.select("digest", "doc_id", "row_digest").join(repeated, "digest")
     losers = losers.filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    return losers.groupBy("doc_id").agg(F.collect_set("digest").alias("lost"))
+    return losers.groupBy("doc_id", "row_digest").agg(F.collect_set("digest").alias("lost"))
 
 
 def kept_lines(text: bytes, lost: set[bytes]) -> tuple[bytes, int, int]:
@@ -189,6 +195,13 @@ def _drop(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(columns)
 
 
+def _with_digest(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        columns = {name: part.column(name) for name in part.schema.names}
+        digests = [xxhash.xxh3_128_digest(text) for text in texts_of(part)]
+        yield pa.RecordBatch.from_pydict({**columns, "__row": pa.array(digests, pa.binary())})
+
+
 def drop_repeated_lines(
     docs: DataFrame, bits: int = FILTER_BITS, min_docs: int = MIN_DOCS
 ) -> DataFrame:
@@ -204,6 +217,10 @@ def drop_repeated_lines(
     table gives no rows.
     """
     docs = docs.drop("n_lines", "n_dropped")
-    lost = lost_keys(docs, bits, min_docs).select(F.col("doc_id").alias("__losing"), F.col("lost").alias("__lost"))
-    joined = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("__losing")), "left").drop("__losing")
+    lost = lost_keys(docs, bits, min_docs).select(
+        F.col("doc_id").alias("__losing"), F.col("row_digest").alias("__losing_row"), F.col("lost").alias("__lost")
+    )
+    known = docs.mapInArrow(_with_digest, schema_of(docs, "__row binary"))
+    same = F.col("doc_id").eqNullSafe(F.col("__losing")) & (F.col("__row") == F.col("__losing_row"))
+    joined = known.join(lost, same, "left").drop("__losing", "__losing_row", "__row")
     return joined.mapInArrow(_drop, schema_of(docs, "n_lines long, n_dropped long"))

@@ -76,10 +76,13 @@ def mix_sources(
     """The mixture: all columns of each drawn copy, and its number ``copy`` from 1.
 
     Documents with drawn number 0 are left out. Rows that repeat an id are
-    drawn alike; a null id draws as the text ``null``; an empty table gives no
-    rows. An earlier column ``copy`` is replaced.
+    drawn alike; a row without an id is drawn by its text, so that such rows have
+    numbers of their own. Rows are dealt out by id and text, whatever ids repeat.
+    An empty table gives no rows. An earlier column ``copy`` is replaced.
     """
     docs = docs.drop("copy")
+    body = F.md5(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null|"), body))
     rates = source_rates(docs.select("source", "text"), weights, size)
     parts = F.greatest(F.ceil(F.col("rate") / PART_MEAN), F.lit(1)).cast("int")
     rates = rates.withColumn("parts", parts).select(
@@ -87,11 +90,11 @@ def mix_sources(
         cumulative(F.col("rate") / F.col("parts")).alias("__sums"),
     )
     rates = rates.withColumn("__salt_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = docs.withColumn("__salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    salted = docs.withColumns({"__salt": F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)).cast("int"), "__name": name})
     on = salted["source"].eqNullSafe(rates["__source"]) & (salted["__salt"] == rates["__salt_of"])
 
     def drawn(part: Column) -> Column:
-        number = uniform(seed, part, F.col("doc_id"))
+        number = uniform(seed, part, F.col("__name"))
         return F.size(F.filter("__sums", lambda bound: number >= bound))
 
     counts = F.transform(F.sequence(F.lit(1), F.col("__parts")), drawn)
@@ -102,6 +105,6 @@ def mix_sources(
         .filter("__times > 0")
         .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("copy"))
     )
-    place = F.md5(F.concat_ws("|", F.lit(seed).cast("string"), "doc_id", "copy").cast("binary"))
+    place = F.md5(F.concat_ws("|", F.lit(seed).cast("string"), "doc_id", "copy", F.xxhash64("text")).cast("binary"))
     dealt = copies.withColumn("__place", place).repartition("__place").sortWithinPartitions("__place")
     return dealt.drop("__place")

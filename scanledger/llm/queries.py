@@ -45,7 +45,8 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(_table(spark, sf_dir, "documents"), with_bytes=False)
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    left = (F.col("n_bytes") - F.col("n_removed")).alias("n_kept")
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", left)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

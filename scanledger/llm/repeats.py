@@ -25,7 +25,6 @@ one row each.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
@@ -51,9 +50,9 @@ _FINISH = np.uint64(0xD6E8FEB86659FD93)
 _BYTES = np.array([(b + 1) * _MIX * _MIX % (1 << 64) for b in range(256)], np.uint64)
 _POWERS = {k: np.uint64(pow(_MIX, k, 1 << 64)) for k in (1, 2, 4, 8, 16, 32)}
 
-#: A row is known by its id and a checksum of its text, so that rows of one id are told apart.
-_ROW = [("doc_id", pa.int64()), ("check", pa.int64())]
-_ROW_SQL = "doc_id long, check long"
+#: A row is known by its id and 128 bits of its text, so that rows of one id, or of none, are told apart.
+_ROW = [("doc_id", pa.int64()), ("check", pa.binary())]
+_ROW_SQL = "doc_id long, check binary"
 #: What a task has found: contexts with their number (2: two or more, all of them in spans already),
 #: or, without a gram, a span from ``first`` to ``last``.
 _ANCHORS = pa.schema(
@@ -74,7 +73,7 @@ _SPANS = pa.schema([*_ROW, ("start", pa.int64()), ("end", pa.int64())])
 _SPANS_SQL = f"{_ROW_SQL}, start long, end long"
 _WINDOWS = pa.schema([("digest", pa.binary()), *_ROW, ("n", pa.int32()), ("start", pa.int64())])
 _WINDOWS_SQL = f"digest binary, {_ROW_SQL}, n int, start long"
-_PACKED = pa.schema([("doc_id", pa.int64()), ("check", pa.int64()), ("packed", pa.binary())])
+_PACKED = pa.schema([*_ROW, ("packed", pa.binary())])
 
 
 # --- anchors ---------------------------------------------------------------------------------
@@ -130,7 +129,7 @@ def _anchor_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for doc_id, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
                 listed = anchors(text).tolist()
                 contexts = [_context_hash(text, *place) for place in zip(*listed[1:], strict=True)]
-                found.append((doc_id, zlib.crc32(text), listed, contexts))
+                found.append((doc_id, xxhash.xxh3_128_digest(text), listed, contexts))
             seen = Counter(k for _, _, listed, contexts in found for k in zip(listed[0], contexts, strict=True))
             given: set = set()
             for doc_id, check, listed, contexts in found:
@@ -182,6 +181,36 @@ def prefix_intervals(lengths: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((length, first))
 
 
+def repeat_classes(lefts: list[bytes], rights: list[bytes]) -> Iterator[tuple[int, int, list[int]]]:
+    """``before, after, members`` of all maximal repeats through the anchor, of ``SPAN`` bytes or more.
+
+    ``rights`` are sorted, ``lefts`` are reversed, as in :func:`reach`. The
+    members of a common-prefix interval are put into the order of what precedes
+    them, whose common prefixes make a tree as well: each of its intervals is a
+    class that goes on alike to the left for ``before`` bytes and no further
+    (left-extension diversity). It is a maximal repeat unless all its members
+    lie in one inner interval, where they go on alike for longer.
+    """
+    n = len(rights)
+    lengths = [0, *(common_prefix(rights[k - 1], rights[k]) for k in range(1, n))]
+    rank = [0] * n
+    for place, k in enumerate(sorted(range(n), key=lefts.__getitem__)):
+        rank[k] = place
+    inner = list(range(-n, 0))  # the innermost interval of an entry so far; alone at first
+    for number, (length, first, last) in enumerate(prefix_intervals(lengths)):
+        members = sorted(range(first, last + 1), key=rank.__getitem__)
+        shared = [0, *(common_prefix(lefts[a], lefts[b]) for a, b in zip(members, members[1:], strict=False))]
+        classes = list(prefix_intervals(shared))
+        if not any(a == 0 and b == last - first for _, a, b in classes):
+            classes.append((0, 0, last - first))
+        for before, a, b in classes:
+            own = members[a : b + 1]
+            if before + length >= SPAN and len({inner[k] for k in own}) > 1:
+                yield before, length, own
+        for k in members:
+            inner[k] = number
+
+
 def reach(lefts: list[bytes], rights: list[bytes]) -> list[tuple[int, int] | None]:
     """How far each entry is repeated to the left and right of its anchor.
 
@@ -259,6 +288,111 @@ def _window_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from batches(rows(), _WINDOWS, 16_384)
 
 
+# --- groups ----------------------------------------------------------------------------------
+
+_PLACES = pa.schema(
+    [*_ROW, ("gram", pa.int64()), ("context", pa.int64()), ("at", pa.int64()), ("first", pa.int64()), ("last", pa.int64())]
+)
+_PLACES_SQL = f"{_ROW_SQL}, gram long, context long, at long, first long, last long"
+_CLASSES = pa.schema(
+    [("group", pa.binary()), ("length", pa.int64()), ("gram", pa.int64()), ("context", pa.int64()), ("before", pa.int64())]
+)
+_CLASSES_SQL = "group binary, length long, gram long, context long, before long"
+#: A gram with more contexts than this is split by the bytes around it, in steps of so many bytes.
+SPLIT_GRAM, SPLIT_STEP = 1 << 12, 21
+
+
+def _place_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every anchor of every text."""
+
+    def rows() -> Iterator[tuple]:
+        for part in parts:
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), texts_of(part), strict=True):
+                check, found = xxhash.xxh3_128_digest(text), anchors(text).tolist()
+                for gram, at, first, last in zip(*found, strict=True):
+                    yield doc_id, check, gram, _context_hash(text, at, first, last), at, first, last
+
+    yield from batches(rows(), _PLACES, 16_384)
+
+
+def _split_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The contexts of frequent grams, once for each choice of bytes that a repeat may cover.
+
+    A repeat that goes on to the right for r bytes, ``low`` <= r < ``low`` +
+    ``SPLIT_STEP``, covers the first ``low`` bytes there and ``SPAN`` less the
+    next bound on the left: contexts that share it agree in these.
+    """
+
+    def rows() -> Iterator[tuple]:
+        for doc_id, check, gram, n, at, left, right in _rows_of(parts):
+            for low in range(GRAM, SPAN + 1, SPLIT_STEP):
+                needed = max(0, SPAN - (low + SPLIT_STEP - 1))
+                if len(right) >= low and len(left) >= needed:
+                    key = xxhash.xxh3_64_intdigest(left[:needed] + right[:low], low)
+                    yield doc_id, check, key - (1 << 63), gram, n, at, left, right
+
+    yield from batches(rows(), _SPLIT)
+
+
+_SPLIT = pa.schema([*_ROW, ("part", pa.int64()), *list(_CONTEXTS)[2:]])
+_SPLIT_SQL = f"{_ROW_SQL}, part long, gram long, n int, at long, left binary, right binary"
+
+
+def _class_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts come sorted by part and by what follows the anchor."""
+
+    def rows() -> Iterator[tuple]:
+        for _, held in groupby(_rows_of(parts), key=lambda r: r[2]):
+            _, _, _, grams, counts, _, lefts, rights = map(list, zip(*held, strict=True))
+            wholes = [a[::-1] + b for a, b in zip(lefts, rights, strict=True)]
+            contexts = [_context_hash(w, len(a), 0, len(w) - SPAN) for a, w in zip(lefts, wholes, strict=True)]
+            # equal contexts are one entry; if there is more than one, all of it is a repeat
+            classes = [(len(lefts[k]), len(rights[k]), [k]) for k, n in enumerate(counts) if n > 1]
+            for before, after, members in (*classes, *repeat_classes(lefts, rights)):
+                a = len(lefts[members[0]]) - before
+                string = wholes[members[0]][a : a + before + after]
+                group = xxhash.xxh3_128_digest(string)
+                for k in members:
+                    yield group, len(string), grams[k], contexts[k], before
+
+    yield from batches(rows(), _CLASSES, 16_384)
+
+
+def repeat_groups(docs: DataFrame, split: int = SPLIT_GRAM) -> DataFrame:
+    """``group, length, doc_id, check, start``: maximal repeats with all their occurrences.
+
+    A repeat is a string of ``SPAN`` bytes or more that occurs more than once,
+    within what the strings around one anchor cover (up to ``2 * SPAN - GRAM``
+    bytes; longer passages are several groups that overlap). It is maximal
+    there: its occurrences go on differently on either side. ``group`` is 128
+    bits of the string, ``check`` those of the row's text. Every anchor's
+    context enters the suffix array, equal ones as one entry whose places are
+    joined back; together the groups cover what :func:`remove_repeats` removes.
+    Null texts are empty; rows that repeat are occurrences each (once, if id and
+    text are equal); an empty table has no groups.
+    """
+    places = stored(docs.select("doc_id", "text").mapInArrow(_place_rows, _PLACES_SQL), "places")
+    place = F.min(F.struct("doc_id", "check", "at", "first", "last")).alias("place")
+    entries = places.groupBy("gram", "context").agg(F.count("*").alias("n"), place)
+    grams = entries.groupBy("gram").agg(F.count("*").alias("contexts"), F.sum("n").alias("all")).filter(F.col("all") > 1)
+    entries = entries.join(grams, "gram").select(
+        "place.*", "gram", F.least("n", F.lit(2)).cast("int").alias("n"), (F.col("contexts") > split).alias("frequent")
+    )
+    entries = stored(entries, "entries")
+    # a row that is listed more than once would give its contexts more than once
+    texts = docs.select("doc_id", "text").distinct()
+    plain = _context_bytes(texts, entries.filter("NOT frequent")).withColumn("part", F.col("gram"))
+    many = _context_bytes(texts, entries.filter("frequent")).mapInArrow(_split_rows, _SPLIT_SQL)
+    parts = plain.select(*many.columns).unionByName(many)
+    classes = parts.repartition("part").sortWithinPartitions("part", "right").mapInArrow(_class_rows, _CLASSES_SQL)
+    classes = stored(classes.distinct(), "classes")
+    return (
+        places.join(classes, ["gram", "context"])
+        .select("group", "length", "doc_id", "check", (F.col("at") - F.col("before")).alias("start"))
+        .distinct()
+    )
+
+
 # --- the corpus ------------------------------------------------------------------------------
 
 
@@ -267,7 +401,7 @@ def _pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     compress = zstandard.ZstdCompressor(level=1).compress
     for part in parts:
         texts = list(texts_of(part))
-        columns = [[zlib.crc32(t) for t in texts], [compress(t) for t in texts]]
+        columns = [[xxhash.xxh3_128_digest(t) for t in texts], [compress(t) for t in texts]]
         yield pa.RecordBatch.from_arrays(
             [part.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(_PACKED)[1:], strict=True))],
             schema=_PACKED,
@@ -275,7 +409,7 @@ def _pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text").mapInArrow(_pack, "doc_id long, check long, packed binary")
+    return docs.select("doc_id", "text").mapInArrow(_pack, f"{_ROW_SQL}, packed binary")
 
 
 def _same_row(left: DataFrame, right: DataFrame):
@@ -311,7 +445,8 @@ def _as_spans(rows: DataFrame) -> DataFrame:
 
 def _ordinary_spans(docs: DataFrame, contexts: DataFrame) -> DataFrame:
     """Spans of the grams that a task can hold."""
-    by_gram = contexts.repartition("gram").sortWithinPartitions("gram")
+    # a join by name puts its column first; the tasks read columns by place
+    by_gram = contexts.select(*_ANCHORS.names).repartition("gram").sortWithinPartitions("gram")
     compared = stored(by_gram.mapInArrow(_compare_contexts, _ANCHORS_SQL), "compared")
     sorted_array = (
         _context_bytes(docs, compared.filter(F.col("gram").isNotNull()))

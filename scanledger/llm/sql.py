@@ -45,7 +45,7 @@ bounds(source, rate, k, p, cdf) AS (
   SELECT source, rate, k + 1, p * rate / (k + 1), cdf + p * rate / (k + 1) FROM bounds
   WHERE k < ceil(rate + 10 * sqrt(rate) + 25)),
 drawn AS (
-  SELECT *, ('0x' || substr(md5('{SEED}|1|' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT
+  SELECT *, ('0x' || substr(md5('{SEED}|1|' || coalesce(doc_id::VARCHAR, 'null|' || md5(coalesce(text, '')))), 1, 13))::BIGINT
             / 4503599627370496.0::DOUBLE AS number
   FROM documents),
 listed AS (SELECT source, list(cdf) AS sums FROM bounds GROUP BY source),

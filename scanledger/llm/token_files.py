@@ -213,11 +213,13 @@ def write_token_files(
 
     Null texts are empty; each document ends with id 0; strings of added tokens
     in a text have those tokens' ids if ``added_tokens``, as with the library's
-    ``encode``, and are ordinary text otherwise. Null ids come first and rows that
-    repeat an id follow one another. An empty table gives files without rows.
+    ``encode``, and are ordinary text otherwise. Null ids come first; rows that
+    repeat an id follow one another by a hash of their text, which also parts
+    them among tasks. An empty table gives files without rows.
     """
     path = public_tokenizers.path(vocabulary)
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = ("doc_id", F.xxhash64("text"))
+    ordered = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.mapInArrow(_segments(path, added_tokens), SEGMENT_SQL).write.parquet(folder)
 
 

@@ -116,9 +116,11 @@ def rule_index(rules: DataFrame, tokens: DataFrame) -> DataFrame:
     )
 
 
-def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] | DataFrame = RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict`` of every page.
 
+    ``rules`` may be a table of any size, with the columns of ``rule_table``.
+
     Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
     lower-cased; path: from there up to ``?``, ``#`` or the end; both are empty
     if the url is null or has no ``://``. The longest scoped rule that fits
@@ -131,7 +133,8 @@ def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES) -> DataFram
     parsed = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     parsed = parsed.withColumn("target", F.concat("host", "path"))
     tokens = url_tokens(parsed.select("target").distinct())
-    index = rule_index(rule_table(pages.sparkSession, rules), tokens)
+    listed = rules if isinstance(rules, DataFrame) else rule_table(pages.sparkSession, rules)
+    index = rule_index(listed, tokens)
     found = tokens.join(index, "token").filter("target rlike pattern")
     order = F.struct(F.length("rule").alias("size"), "rule", "rule_verdict")
     judged = found.groupBy("target").agg(

@@ -11,8 +11,9 @@ import corpus_pipeline
 from scanledger.llm import bpe, mixing, quality_rules
 from tests.llm.cases import SCHEMA, awkward_rows, table, words
 from tests.llm.test_operators import (
-    found, mixing_upper, same, sha, slow_components, slow_draw, slow_fingerprint,
+    draw_name, found, mixing_upper, same, sha, slow_draw,
 )
+from tests.llm.test_similar import kept_of
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SPACE = " \t\n\x0b\x0c\r"
@@ -73,8 +74,7 @@ def slow_line_dedup(rows):
 
 
 def slow_near_dedup(rows):
-    roots = slow_components({r[0]: slow_fingerprint(r[1]) for r in rows})
-    return [r for r in rows if roots[r[0]] == r[0]]
+    return kept_of(rows)
 
 
 def slow_mixing(rows):
@@ -85,7 +85,7 @@ def slow_mixing(rows):
     for row in rows:
         size = sizes[row[3]]
         rate = weights[row[3]] / sum(weights.values()) * sum(sizes.values()) / size if size else 1.0
-        yield from [row] * slow_draw(row[0], rate)
+        yield from [row] * slow_draw(draw_name(*row[:2]), rate)
 
 
 def slow_bpe(rows):
