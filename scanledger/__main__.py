@@ -7,6 +7,8 @@
     report     print the quality reports
     accounts   list accounts by label, country and score
     account    one company in detail
+    update     read the files of an export that were not read yet, as a batch
+    clear      remove the intermediate tables of an earlier application
 """
 
 from __future__ import annotations
@@ -16,7 +18,8 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from scanledger.operators import adjudicate, serving
-from scanledger.plans import build, reports
+from scanledger.plans import build, ledger, reports
+from scanledger.session import clear_scratch
 from scanledger.sources import readers
 from scanledger.sources.writers import (
     COUNTS, latest_snapshot, layer_exists, read_counts, read_layer,
@@ -52,6 +55,11 @@ def arguments() -> argparse.ArgumentParser:
     listing.add_argument("--min-score", type=float)
     listing.add_argument("--limit", type=int, default=10)
     command("account").add_argument("--key", required=True)
+    growing = command("update")
+    growing.add_argument("--raw", required=True, nargs="+", help="raw NDJSON files or folders, all of them")
+    growing.add_argument("--withdraw-missing", action="store_true", help="forget files that are gone")
+    growing.add_argument("--array-lines-as-null", action="store_true", help="slower, see the README")
+    commands.add_parser("clear").add_argument("--application", required=True, help="id of the application")
     return parser
 
 
@@ -84,6 +92,15 @@ def main(argv: list[str] | None = None) -> None:
             array_lines_as_null=given.array_lines_as_null,
         )
         return
+    if given.command == "update":
+        batch = ledger.ingest_new(
+            spark, given.raw, given.out, given.withdraw_missing, given.array_lines_as_null
+        )
+        print("nothing new" if batch is None else f"batch {batch}")
+        return
+    if given.command == "clear":
+        print("removed" if clear_scratch(spark, given.application) else "nothing to remove")
+        return
     date = given.snapshot_date or latest_snapshot(spark, f"{given.out}/gold/accounts")
     if given.command == "inputs":
         build.export_inputs(build.read_layers(spark, given.out, date), given.to, given.sample)

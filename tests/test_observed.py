@@ -217,3 +217,22 @@ def test_hosts_are_not_shuffled_to_leave_rows_out(spark, tmp_path):
     ledger.ingest_new(spark, str(raw), out)
     plan = plan_of(ledger.current_hosts(spark, out))
     assert "BroadcastHashJoin" in plan and "PartitionFilters: [batch" in plan
+
+
+def test_scratch_of_one_application_is_cleared(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from scanledger.session import clear_scratch, scratch_dir
+
+    assert not clear_scratch(spark)
+    # the setting can't be changed in a running session
+    shared = SimpleNamespace(conf={"spark.checkpoint.dir": str(tmp_path)}, sparkContext=spark.sparkContext)
+    folder = scratch_dir(shared, "tables")
+    assert folder.startswith(str(tmp_path)) and folder != scratch_dir(shared, "tables")
+    spark.range(3).write.parquet(folder)
+    (tmp_path / "other").mkdir()
+    assert not clear_scratch(shared, "app-of-another-time")
+    assert clear_scratch(shared) and not os.path.exists(folder) and (tmp_path / "other").exists()
+    for wrong in ("..", "a/b", "."):
+        with pytest.raises(ValueError, match="application"):
+            clear_scratch(shared, wrong)

@@ -197,7 +197,8 @@ DECISIONS = f"""
     SELECT company_key, resolution_tier,
         CASE WHEN (({_TYPES} >= 2 OR has_screenshot_evidence)
                    AND (fit_score < 25 OR host_count BETWEEN 1 AND 3))
-                  OR regexp_matches(lower(company_key), 'communications|telecom') THEN 'escalate'
+                  OR regexp_matches(lower(company_key), 'communications|telecom')
+                  OR lower(company_key) IN ({_quoted(config.CARRIER_NAMES)}) THEN 'escalate'
              WHEN {_TYPES} >= 2 THEN 'contact' ELSE 'skip' END AS decision,
         'Signal types present: ' || coalesce(nullif(concat_ws(', ',
             CASE WHEN cve_count > 0 THEN 'CVE' END,
