@@ -14,7 +14,7 @@ import regex
 _LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _SPACE = "\\x09-\\x0d \x85\xa0"
-_WIDE_SPACE = _SPACE + "  -     　"
+_WIDE_SPACE = _SPACE + "\u1680\u2000-\u200a\u2028-\u2029\u202f\u205f\u3000"
 
 
 def _pattern(letter: str, number: str, space: str) -> str:

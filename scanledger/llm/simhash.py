@@ -36,7 +36,7 @@ MAX_BITS = 2
 #: Fingerprints of a block up to which its pairs are compared; beyond it they meet at neighbours.
 BLOCK_PAIRS = 64
 SEGMENT_BITS = (13, 13, 13, 13, 12)
-#: Pivots: well spread words from a multiplicative sequence. Seven distances fill one packed table
+#: Pivots: the first words of the published SplitMix64 sequence. Seven distances fill one packed table
 #: column, a byte each, so that sums of bytes never reach the sign bit.
 TABLE_COLUMNS, LANES = 2, 7
 _FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
@@ -91,7 +91,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def pivots(count: int = TABLE_COLUMNS * LANES) -> list[int]:
-    """Reference fingerprints: high words of a multiplicative sequence, about half their bits set."""
+    """Reference fingerprints: SplitMix64 from seed 0, about half of the bits set."""
     found, state = [], 0
     for _ in range(count):
         state = (state + 0x9E3779B97F4A7C15) % (1 << 64)

@@ -450,6 +450,114 @@ def test_language(spark):
             assert (lang, score, rejected) == ("und", 0.0, True)
 
 
+def slow_ngrams(text):
+    """N-grams of letters and word marks, hashed one by one."""
+    multipliers, low = [int(m) for m in language._MULTIPLIERS], (1 << 64) - 1
+    symbols = [0]
+    for c in (text or "").lower():
+        if c.isalpha():
+            symbols.append(ord(c))
+        elif symbols[-1]:
+            symbols.append(0)
+    if symbols[-1]:
+        symbols.append(0)
+    counts = Counter()
+    for size in (1, 2, 3):
+        for k in range(len(symbols) - size + 1):
+            gram = symbols[k : k + size]
+            # a mark alone is no gram, nor is a three-gram around a mark
+            if (size == 1 and not gram[0]) or (size == 2 and not any(gram)) or (size == 3 and not gram[1]):
+                continue
+            mixed = size
+            for m, symbol in zip(multipliers, gram, strict=False):
+                mixed = (mixed ^ symbol) * m & low
+                mixed ^= mixed >> 29
+            counts[(mixed * multipliers[0] & low) >> 40 & language.PLACES - 1] += 1
+    return counts
+
+
+def slow_vector(counts, idf):
+    row = {place: math.sqrt(n) * idf[place] for place, n in counts.items()}
+    length = math.sqrt(sum(x * x for x in row.values()))
+    return {place: x / length for place, x in row.items()}
+
+
+def slow_kmeans(rows):
+    def dense(row):
+        return [row.get(p, 0.0) for p in range(language.PLACES)]
+
+    def dot(row, centroid):
+        return sum(x * centroid[p] for p, x in row.items())
+
+    def mean(some):
+        total = [0.0] * language.PLACES
+        for row in some:
+            for p, x in row.items():
+                total[p] += x / len(some)
+        return total
+
+    seeds = [mean(rows)]
+    nearest = [dot(r, seeds[0]) for r in rows]
+    for _ in range(min(language.CENTROIDS, len(rows)) - 1):
+        seeds.append(dense(rows[nearest.index(min(nearest))]))
+        nearest = [max(n, dot(r, seeds[-1])) for n, r in zip(nearest, rows, strict=True)]
+    centroids = seeds
+    for _ in range(language.ROUNDS):
+        parts = defaultdict(list)
+        for row in rows:
+            near = [dot(row, c) for c in centroids]
+            parts[near.index(max(near))].append(row)
+        centroids = []
+        for k in sorted(parts):
+            total = mean(parts[k])
+            length = math.sqrt(sum(x * x for x in total))
+            centroids.append([x / length for x in total])
+    return centroids
+
+
+def test_language_against_a_slow_recount(spark):
+    """Counts, IDF over all training texts, centroids, prediction and score, each by plain loops."""
+    lexicons = {lang: words(seed, 400).split() for lang, seed in (("aa", 21), ("bb", 22))}
+    rng = np.random.default_rng(7)
+    rows = [
+        (k, " ".join(rng.choice(lexicons[lang], 15)) + ("É l’eau, 12x" if k % 9 == 0 else ""), lang, None, None)
+        for k, lang in enumerate(["aa", "bb"] * 40)
+    ]
+    rows += [(500 + k, t, None, None, None) for k, t in enumerate([None, "", "12 !", "ß", "x " * 50])]
+    learned = [r for r in rows if r[2] and zlib.crc32(str(r[0]).encode()) % 5]
+    training = {r[0]: slow_ngrams(r[1]) for r in learned}
+    texts_with = Counter(p for counts in training.values() for p in counts)
+    idf = [math.log((1 + len(training)) / (1 + texts_with[p])) + 1 for p in range(language.PLACES)]
+    model = language.fit_languages(table(spark, rows))
+    assert np.allclose(model.idf, idf)
+    centroids = []
+    for lang in ("aa", "bb"):
+        own = [slow_vector(training[r[0]], idf) for r in sorted(learned) if r[2] == lang]
+        centroids += [(lang, c) for c in slow_kmeans(own)]
+    centroids.sort()
+    assert model.languages == [lang for lang, _ in centroids]
+    assert np.allclose(model.centroids, [c for _, c in centroids], atol=1e-4)
+    for r in language.predict_languages(table(spark, rows), model).collect():
+        text = next(t for i, t, *_ in rows if i == r.doc_id)
+        counts = slow_ngrams(text)
+        if not counts:
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        vector = slow_vector(counts, idf)
+        near = [(sum(x * c[p] for p, x in vector.items()), lang) for lang, c in centroids]
+        best = max(near, key=lambda n: n[0])
+        assert abs(r.score - best[0]) < 1e-4
+        if best[0] - max(n for n, lang in near if lang != best[1]) > 1e-4:
+            assert r.lang_pred == best[1]
+
+
+def test_about_as_many_unseen_texts_are_rejected_as_planned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    hidden = language.predict_languages(docs, language.fit_languages(docs)).filter("held_out AND lang_pred <> 'und'")
+    share = hidden.agg(F.avg(F.col("rejected").cast("int"))).first()[0]
+    assert share <= 4 * language.OUTLIERS
+
+
 def test_ngrams_of_pieces(monkeypatch):
     text = words(3, 500) + " É1à. ßü " * 30
     whole = language.ngram_counts(text)
@@ -575,6 +683,16 @@ def test_numbers_of_words_are_packed_and_unpacked():
         assert bpe.unpack_numbers(bpe.pack_numbers(np.array(numbers, np.uint32))).tolist() == numbers
 
 
+def test_split_words_at_every_character():
+    """Each code point beside letters, digits and spaces is cut as by the public pattern."""
+    pattern = regex.compile(public_tokenizers.PATTERN)
+    control = set(range(0x1C, 0x20))  # the two libraries differ about these; see below
+    for at in range(0, 0x110000, 64):
+        points = [c for c in range(at, at + 64) if not 0xD800 <= c < 0xE000 and c not in control]
+        text = " ".join(f"a{chr(c)}b 1{chr(c)}2 {chr(c)}{chr(c)} {chr(c)}" for c in points)
+        assert pretokens.split_words(text) == pattern.findall(text), hex(at)
+
+
 def test_split_words():
     pattern = regex.compile(public_tokenizers.PATTERN)
     for _, text, *_ in ROWS:
