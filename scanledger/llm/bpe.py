@@ -3,23 +3,24 @@
 Texts are cut into pre-tokens ("words") by the vocabulary's pattern; BPE works
 inside a word only, so equal words have equal ids wherever they stand.
 
-1. Texts are split once, in blocks of neighbouring documents. A block lists its
-   distinct words and, for each position of its texts, the word's number in
-   that list. Blocks are written, so all later steps see the same ones.
+1. Texts are dealt to blocks by a hash; the table of blocks is shuffled once and
+   read twice. The words of a block are its distinct pre-tokens in order, and a
+   word's place in that order is the same whenever a block is read.
 2. The words of all blocks are exploded with block and place and shuffled by
    the word: each distinct word is encoded in one place.
 3. The ids of the distinct words are joined with the table of token bytes,
    which decodes them.
-4. Ids and bytes are joined back to the blocks and put in by position.
+4. Ids are joined back to the blocks, where each text takes them by position.
 
 A word that stands everywhere is one row per block, not one per occurrence.
+What a word decodes to travels only if it is not the word itself.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from collections import Counter
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,20 +28,17 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - makes pa.compute known
 import tiktoken
+import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from scanledger.llm.common import schema_of, stored
+from scanledger.llm.common import schema_of, texts_of
 from scanledger.llm.pretokens import gather, split_words
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Code points of a block, or one longer text. It bounds what a task holds; larger blocks repeat fewer words.
+#: Code points of a block, on average. It bounds what a task holds; larger blocks repeat fewer words.
 BLOCK_CHARS = 1 << 23
-#: Longer words are known by a digest.
-KEY_CHARS = 32
 #: Places that a task holds before it sends them on by block.
 HELD_PLACES = 1 << 20
 
@@ -100,102 +98,89 @@ def unpack_arrays(packed: bytes, count: int) -> list[np.ndarray]:
     return [data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
-def pack_numbers(numbers: np.ndarray) -> bytes:
-    return pack_arrays(numbers)
+_MIX = 0x9E3779B97F4A7C15
 
 
-def unpack_numbers(packed: bytes) -> np.ndarray:
-    return _from_planes(unpack_arrays(packed, 1)[0])
-
-
-def _spans(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
-    """Consecutive texts of so many code points together, or a single longer one."""
-    start, size = 0, 0
-    for k, text in enumerate(texts):
-        if k > start and size + len(text) > chars:
-            yield start, k
-            start, size = k, 0
-        size += len(text)
-    if texts:
-        yield start, len(texts)
-
-
-def _cut_blocks(chars: int):
-    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the table of blocks is written, so numbers by task are the same for all that read it
-        number = TaskContext.get().partitionId() << 32
+def _deal(blocks: int):
+    def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=3).compress
         for part in parts:
-            texts = [t or "" for t in part.column("text").to_pylist()]
-            others = [n for n in part.schema.names if n != "text"]
-            for start, end in _spans(texts, chars):
-                split = [split_words(t) for t in texts[start:end]]
-                seen: Counter = Counter()
-                for words in split:
-                    seen.update(words)
-                # frequent words get small numbers
-                words = [w for w, _ in seen.most_common()]
-                index = dict(zip(words, range(len(words)), strict=True)).__getitem__
-                numbers = np.fromiter((index(w) for own in split for w in own), np.uint32)
-                columns = [part.column(n).slice(start, end - start) for n in others]
-                columns.append(pa.array([len(own) for own in split], pa.int32()))
-                docs = pa.StructArray.from_arrays(columns, [*others, "__words"])
-                row = {
-                    "block": pa.array([number], pa.int64()),
-                    "docs": pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs),
-                    "numbers": pa.array([pack_numbers(numbers)], pa.binary()),
-                    "words": pa.array([words], pa.list_(pa.string())),
-                }
-                yield pa.RecordBatch.from_pydict(row)
-                number += 1
-
-    return cut
+            texts = list(texts_of(part))
+            ids = part.column("doc_id").cast(pa.int64()).fill_null(0).to_pylist()
+            # copies of a text are dealt apart by their ids
+            dealt = [(xxhash.xxh3_64_intdigest(t) ^ i * _MIX) % blocks for t, i in zip(texts, ids, strict=True)]
+            columns = {n: part.column(n) for n in part.schema.names if n != "text"}
+            columns["__packed"] = pa.array([compress(t) for t in texts], pa.binary())
+            columns["__block"] = pa.array(dealt, pa.int32())
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return deal
 
 
 def text_blocks(docs: DataFrame, chars: int = BLOCK_CHARS) -> DataFrame:
-    """``block, docs, numbers, words``: neighbouring documents with their words, each text split once.
+    """The documents with ``__packed`` instead of their text, shuffled by ``__block``.
 
-    ``docs`` has the documents' other columns and ``__words``, their number of
-    positions; ``numbers`` has the word of every position as its place in ``words``.
+    The number of blocks follows from the code points of all texts.
     """
-    kept = schema_of(docs, "__words int", ("text",))
-    schema = T.StructType().add("block", "long").add("docs", T.ArrayType(kept)).add("numbers", "binary")
-    schema = schema.add("words", T.ArrayType(T.StringType()))
-    return stored(docs.mapInArrow(_cut_blocks(chars), schema), "blocks")
+    size = docs.agg(F.sum(F.length("text").cast("long")).alias("chars")).first().chars or 0
+    schema = schema_of(docs, "__packed binary, __block int", ("text",))
+    return docs.mapInArrow(_deal(max(1, math.ceil(size / chars))), schema).repartition("__block")
+
+
+def _unpacked(packed: pa.Array | pa.ChunkedArray) -> Iterator[str]:
+    expand = zstandard.ZstdDecompressor().decompress
+    for text in packed.to_pylist():
+        yield expand(text).decode("utf-8", "surrogatepass")
 
 
 # --- distinct words --------------------------------------------------------------------------
 
+_WORDS_AT_ONCE = 1 << 16
 
-def word_places(blocks: DataFrame) -> DataFrame:
-    """``key, word, block, place``: every word of every block, exploded.
 
-    The key is the word, or of a long one its digest beside the word; a digest
-    is longer than any word that is its own key.
-    """
-    places = blocks.select("block", F.posexplode("words").alias("place", "own"))
-    is_long = F.length("own") > KEY_CHARS
-    digest = F.sha2(F.encode("own", "UTF-8"), 256)
-    return places.select(
-        F.when(is_long, digest).otherwise(F.col("own")).alias("key"), F.when(is_long, F.col("own")).alias("word"),
-        "block", "place",
-    )
+def _block_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by block: the distinct words of each in order."""
+
+    def listed(block: int, seen: set[str]) -> Iterator[pa.RecordBatch]:
+        words = sorted(seen)
+        for k in range(0, len(words), _WORDS_AT_ONCE):
+            some = words[k : k + _WORDS_AT_ONCE]
+            places = (block << 32) + np.arange(k, k + len(some), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array(places)], ["word", "at"])
+
+    at, seen = -1, set()
+    for part in parts:
+        blocks = part.column("__block").to_numpy()
+        edges = np.flatnonzero(np.diff(blocks, prepend=-1)).tolist()
+        for first, end in zip(edges, [*edges[1:], len(blocks)], strict=True):
+            if blocks[first] != at:
+                yield from listed(at, seen)
+                at, seen = int(blocks[first]), set()
+            for text in _unpacked(part.column("__packed").slice(first, end - first)):
+                seen.update(split_words(text))
+    yield from listed(at, seen)
+
+
+def word_places(blocks: DataFrame) -> DataFrame:
+    """``word, at``: every word of every block, with the block's number in the upper half of ``at`` and
+    the word's place in the block in the lower."""
+    return blocks.sortWithinPartitions("__block").mapInArrow(_block_words, "word string, at long")
 
 
 def _encode_words(vocabulary: str):
-    """Rows come sorted by key: those of one word become one row with its places and ids."""
+    """Rows come sorted by word: those of one word become one row with its places and ids."""
 
     def encode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            keys = part.column("key").to_pylist()
-            if not keys:
+            words = part.column("word").to_pylist()
+            if not words:
                 continue
-            first = [k for k in range(len(keys)) if not k or keys[k] != keys[k - 1]]
-            longer = part.column("word").take(pa.array(first, pa.int32())).to_pylist()
-            words = [w or keys[k] for k, w in zip(first, longer, strict=True)]
-            places = pa.StructArray.from_arrays([part.column("block"), part.column("place")], ["block", "place"])
+            first = [k for k in range(len(words)) if not k or words[k] != words[k - 1]]
+            own = [words[k] for k in first]
             row = {
-                "places": pa.ListArray.from_arrays(pa.array([*first, len(keys)], pa.int32()), places),
-                "ids": pa.array(word_ids(vocabulary, words), pa.list_(pa.int32())),
+                "word": pa.array(own, pa.string()),
+                "places": pa.ListArray.from_arrays(pa.array([*first, len(words)], pa.int32()), part.column("at")),
+                "ids": pa.array(word_ids(vocabulary, own), pa.list_(pa.int32())),
             }
             yield pa.RecordBatch.from_pydict(row)
 
@@ -203,27 +188,28 @@ def _encode_words(vocabulary: str):
 
 
 def encoded_words(places: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``places, ids``: each distinct word once with the blocks and places where it stands.
+    """``word, places, ids``: each distinct word once, with the places of the blocks where it stands.
 
     A word of more places than an Arrow batch holds has several rows.
     """
     return (
-        places.repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(_encode_words(vocabulary), "places array<struct<block: bigint, place: int>>, ids array<int>")
+        places.repartition("word")
+        .sortWithinPartitions("word")
+        .mapInArrow(_encode_words(vocabulary), "word string, places array<bigint>, ids array<int>")
     )
 
 
 def decoded_words(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``places, position, id, token``: the ids of the words joined with the token-byte table.
+    """``word, places, position, id, token``: the ids of the words joined with the token-byte table.
 
     The table is as large as the vocabulary and is broadcast, so the rows of a
-    word stay together; its places are on the first of them.
+    word stay together; the word and its places are on the first of them.
     """
-    each = encoded.select("places", F.posexplode("ids").alias("position", "id"))
-    each = each.withColumn("places", F.when(F.col("position") == 0, F.col("places")))
+    each = encoded.select("word", "places", F.posexplode("ids").alias("position", "id"))
+    first = F.col("position") == 0
+    each = each.select(*(F.when(first, F.col(c)).alias(c) for c in ("word", "places")), "position", "id")
     tokens = F.broadcast(token_table(encoded.sparkSession, vocabulary))
-    return each.join(tokens, "id").select("places", "position", "id", "token")
+    return each.join(tokens, "id").select("word", "places", "position", "id", "token")
 
 
 class _Words:
@@ -234,18 +220,18 @@ class _Words:
         self.held = 0
 
     def add(self, part: pa.RecordBatch) -> None:
-        self.parts.append(part)
-        self.held += len(part.column("places").flatten()) if part.num_rows else 0
+        if part.num_rows:
+            self.parts.append(part)
+            self.held += len(part.column("places").flatten()) + part.num_rows
 
     def send(self, last: bool) -> Iterator[pa.RecordBatch]:
         """One row per block; a word whose rows may go on in the next batch stays."""
         table = pa.Table.from_batches(self.parts).combine_chunks()
         position = table.column("position").to_numpy()
         first = np.flatnonzero(position == 0)
-        end = len(position) if last else int(first[-1]) if len(first) else 0
+        end = len(position) if last else int(first[-1])
         rest = table.slice(end)
-        self.parts = rest.to_batches()
-        self.held = 0
+        self.parts, self.held = rest.to_batches(), rest.num_rows
         if not end:
             return
         table, first = table.slice(0, end), first[first < end]
@@ -253,17 +239,17 @@ class _Words:
         if not np.array_equal(position[:end], np.arange(end) - np.repeat(first, counts)):
             raise ValueError("the ids of a word don't stand together")
         ids = table.column("id").to_numpy()
-        tokens = table.column("token").combine_chunks()
-        token_sizes = np.array(pa.compute.binary_length(tokens))
-        letters = np.frombuffer(b"".join(tokens.to_pylist()), np.uint8)
-        sizes = np.add.reduceat(token_sizes, first)
-        lists = table.column("places").combine_chunks().take(pa.array(first))
+        heads = table.take(pa.array(first)).select(["word", "places"]).combine_chunks()
+        letters, sizes = _other_bytes(
+            heads.column("word").to_pylist(), table.column("token").to_pylist(), first.tolist()
+        )
+        lists = heads.column("places").combine_chunks()
         word = np.repeat(np.arange(len(first)), np.array(pa.compute.list_value_length(lists)))
-        found = lists.flatten()
-        blocks, places = (found.field(n).to_numpy(zero_copy_only=False) for n in ("block", "place"))
-        order = np.lexsort((places, blocks))
-        blocks, places, word = blocks[order], places[order], word[order]
-        starts = np.cumsum(sizes) - sizes
+        at = lists.flatten().to_numpy(zero_copy_only=False)
+        order = np.argsort(at)
+        at, word = at[order], word[order]
+        blocks, places = at >> 32, at & 0xFFFFFFFF
+        starts = np.cumsum(np.maximum(sizes - 1, 0)) - np.maximum(sizes - 1, 0)
         edges = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]]))
         rows = []
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -271,13 +257,24 @@ class _Words:
             rows.append(
                 pack_arrays(
                     np.diff(places[a:b], prepend=0), counts[own], sizes[own], gather(ids, first[own], counts[own]),
-                    gather(letters, starts[own], sizes[own]),
+                    gather(letters, starts[own], np.maximum(sizes[own] - 1, 0)),
                 )
             )
-        columns = [pa.array(blocks[edges[:-1]], pa.int64()), pa.array(rows, pa.binary())]
+        columns = [pa.array(blocks[edges[:-1]].astype(np.int32), pa.int32()), pa.array(rows, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["block", "found"])
 
 
+def _other_bytes(words: list[str], tokens: list[bytes], first: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The decoded bytes of words that don't decode to themselves; for each word 0, or their number and one."""
+    sizes, others = np.zeros(len(words), np.int64), []
+    for k, (word, a, b) in enumerate(zip(words, first, [*first[1:], len(tokens)], strict=True)):
+        decoded = tokens[a] if b == a + 1 else b"".join(tokens[a:b])
+        if decoded != word.encode("utf-8", "surrogatepass"):
+            sizes[k] = 1 + len(decoded)
+            others.append(decoded)
+    return np.frombuffer(b"".join(others), np.uint8), sizes
+
+
 def _send_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = _Words()
     for part in parts:
@@ -288,10 +285,9 @@ def _send_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from words.send(True)
 
 
-def block_words(decoded: DataFrame) -> DataFrame:
-    """``block, found``: the ids and bytes of each block's words with their places, packed."""
-    sent = decoded.mapInArrow(_send_words, "block long, found binary")
-    return sent.groupBy("block").agg(F.collect_list("found").alias("found"))
+def block_ids(decoded: DataFrame) -> DataFrame:
+    """``block, found``: the ids of a block's words with their places, packed; several rows a block."""
+    return decoded.mapInArrow(_send_words, "block int, found binary")
 
 
 # --- whole texts -----------------------------------------------------------------------------
@@ -302,27 +298,30 @@ _encoded_type = pa.struct(
 
 
 class _Block:
-    """The encoded words of a block in the order of their numbers."""
+    """The encoded words of a block by their places."""
 
-    def __init__(self, found: list[bytes], words: int):
+    def __init__(self, found: list[bytes], words: list[str]):
         parts = [unpack_arrays(p, 5) for p in found]
         places, counts, sizes, ids = (
             [_from_planes(part[k]).astype(np.int64) for part in parts] for k in range(4)
         )
         places = _joined([np.cumsum(p) for p in places])
         order = np.argsort(places)
-        if not np.array_equal(places[order], np.arange(words)):
+        if not np.array_equal(places[order], np.arange(len(words))):
             raise ValueError("the ids of some words are missing")
         counts, sizes, ids = _joined(counts), _joined(sizes), _joined(ids)
         self.counts = counts[order]
         self.starts = np.cumsum(self.counts) - self.counts
         self.ids = gather(ids, (np.cumsum(counts) - counts)[order], self.counts)
-        letters = np.concatenate([p[4] for p in parts]) if parts else np.zeros(0, np.uint8)
-        text, begin = letters.tobytes(), (np.cumsum(sizes) - sizes)[order]
-        self.bytes = [text[a:b] for a, b in zip(begin.tolist(), (begin + sizes[order]).tolist(), strict=True)]
         decimal = list(map(str, self.ids.tolist()))
         edges = [*self.starts.tolist(), len(decimal)]
         self.listed = [",".join(decimal[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        self.bytes = [w.encode("utf-8", "surrogatepass") for w in words]
+        letters = b"".join(p[4].tobytes() for p in parts)
+        lengths = np.maximum(sizes - 1, 0)
+        begin, own = (np.cumsum(lengths) - lengths)[order], sizes[order]
+        for k in np.flatnonzero(own).tolist():
+            self.bytes[k] = letters[begin[k] : begin[k] + own[k] - 1]
 
 
 def _joined(arrays: list[np.ndarray]) -> np.ndarray:
@@ -330,32 +329,23 @@ def _joined(arrays: list[np.ndarray]) -> np.ndarray:
 
 
 def _assemble(with_ids: bool):
-    def encode_block(docs: pa.StructArray, numbers: bytes, found: list[bytes]) -> list[tuple]:
-        held = unpack_numbers(numbers)
-        block = _Block(found, int(held.max()) + 1 if len(held) else 0)
-        rows, at = [], 0
-        for size in docs.field("__words").to_pylist():
-            own = held[at : at + size]
-            at += size
-            counts, each = block.counts[own], own.tolist()
-            listed = ",".join(map(block.listed.__getitem__, each))
-            decoded = b"".join(map(block.bytes.__getitem__, each))
-            ids = gather(block.ids, block.starts[own], counts) if with_ids else None
-            rows.append(
-                (int(counts.sum()), ids, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest())
-            )
-        return rows
-
-    def assemble(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for k in range(part.num_rows):
-                docs = part.column("docs").slice(k, 1).flatten()
-                found = part.column("found")[k].as_py() or []
-                rows = encode_block(docs, part.column("numbers")[k].as_py(), found)
-                fields = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _encoded_type, strict=True)]
-                columns = {f.name: docs.field(f.name) for f in docs.type if f.name != "__words"}
-                columns["encoded"] = pa.StructArray.from_arrays(fields, fields=list(_encoded_type))
-                yield pa.RecordBatch.from_pydict(columns)
+    def assemble(docs: pa.Table, found: pa.Table) -> pa.Table:
+        split = [split_words(text) for text in _unpacked(docs.column("__packed"))]
+        words = sorted(set().union(*split))
+        block = _Block(found.column("found").to_pylist(), words)
+        index = dict(zip(words, range(len(words)), strict=True)).__getitem__
+        rows = []
+        for k, own in enumerate(split):
+            places, split[k] = list(map(index, own)), None
+            at = np.array(places, np.int64)
+            listed = ",".join(map(block.listed.__getitem__, places))
+            decoded = b"".join(map(block.bytes.__getitem__, places))
+            ids = gather(block.ids, block.starts[at], block.counts[at]) if with_ids else None
+            digests = (hashlib.sha256(x).hexdigest() for x in (listed.encode(), decoded))
+            rows.append((int(block.counts[at].sum()), ids, *digests))
+        fields = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _encoded_type, strict=True)]
+        encoded = pa.StructArray.from_arrays(fields, fields=list(_encoded_type))
+        return docs.drop_columns(["__packed", "__block"]).append_column("encoded", encoded)
 
     return assemble
 
@@ -368,15 +358,13 @@ def encode_and_decode(
     It holds ``n_tokens``, ``ids`` (null unless ``with_ids``), ``ids_sha256``
     (of the decimal ids joined by commas) and ``decoded_sha256`` (of the bytes
     decoded from the ids), the digests as lower-case hex. Special tokens in a
-    text are ordinary text; null texts are empty and have no ids. A document is
-    known by its place in a block, so null and repeated ids make no difference;
-    rows that repeat stay, an empty table gives no rows, and an earlier column
-    ``encoded`` is replaced.
+    text are ordinary text; null texts are empty and have no ids. Null and
+    repeated ids make no difference; rows that repeat stay, an empty table gives
+    no rows, and an earlier column ``encoded`` is replaced.
     """
     docs = docs.drop("encoded")
     blocks = text_blocks(docs, block_chars)
-    encoded = encoded_words(word_places(blocks), vocabulary)
-    found = block_words(decoded_words(encoded, vocabulary))
-    joined = blocks.select("block", "docs", "numbers").join(found, "block", "left").drop("block")
+    found = block_ids(decoded_words(encoded_words(word_places(blocks), vocabulary), vocabulary))
     kind = "struct<n_tokens: bigint, ids: array<int>, ids_sha256: string, decoded_sha256: string>"
-    return joined.mapInArrow(_assemble(with_ids), schema_of(docs, f"encoded {kind}", ("text",)))
+    both = blocks.groupBy("__block").cogroup(found.groupBy("block"))
+    return both.applyInArrow(_assemble(with_ids), schema_of(docs, f"encoded {kind}", ("text",)))

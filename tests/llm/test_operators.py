@@ -20,6 +20,7 @@ from scanledger.llm import (
     bpe, components, exact, language, line_dedup, mixing, pretokens, quality_rules, queries, repeats, simhash,
     token_files, url_rules,
 )
+from tests.helpers import plan_of
 from tests.llm.cases import CLASHES, SCHEMA, awkward_rows, long_text, table, words
 
 ROWS = awkward_rows()
@@ -672,15 +673,29 @@ def test_every_distinct_word_is_shuffled_and_encoded_once(spark):
     expected = {w for r in docs.collect() for w in pretokens.split_words(r.text or "")}
     encoded = bpe.encoded_words(places).collect()
     # a word is parted where an Arrow batch ends, at most once in a batch
-    assert len(expected) <= len(encoded) <= 1.01 * len(expected)
+    assert {r.word for r in encoded} == expected and len(encoded) <= 1.01 * len(expected)
     assert sum(len(r.places) for r in encoded) == places.count()
     # a word is a row per block, however often it occurs
-    assert places.groupBy("key", "block").count().filter("count > 1").count() == 0
-
-
-def test_numbers_of_words_are_packed_and_unpacked():
-    for numbers in ([], [0], [65_535, 0, 1], [65_536, 3], list(range(70_000))):
-        assert bpe.unpack_numbers(bpe.pack_numbers(np.array(numbers, np.uint32))).tolist() == numbers
+    per_block = places.groupBy("word", F.shiftright("at", 32)).count()
+    assert per_block.filter("count > 1").count() == 0
+
+
+def test_blocks_are_shuffled_once_and_read_twice(spark):
+    docs = table(spark, ROWS)
+    plan = bpe.encode_and_decode(docs, with_ids=False)
+    plan.collect()
+    assert "ReusedExchange" in plan_of(plan)
+
+
+def test_bytes_that_are_not_the_word():
+    words = ["a", "\xe9", "xyz"]
+    letters, sizes = bpe._other_bytes(words, [b"a", b"\xc3", b"\xa9", b"x", b"?"], [0, 1, 3])
+    assert letters.tobytes() == b"x?" and sizes.tolist() == [0, 0, 3]
+    arrays = [np.array([0, 1, 1]), np.array([1, 2, 2]), sizes, np.array([5, 6, 7, 70_000, 9]), letters]
+    block = bpe._Block([bpe.pack_arrays(*arrays)], words)
+    assert block.bytes == [b"a", b"\xc3\xa9", b"x?"] and block.listed == ["5", "6,7", "70000,9"]
+    with pytest.raises(ValueError, match="missing"):
+        bpe._Block([bpe.pack_arrays(*arrays)], [*words, "more"])
 
 
 def test_split_words_at_every_character():
