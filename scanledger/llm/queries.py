@@ -114,4 +114,7 @@ ORACLES: dict[str, str] = {
     "op5_line_dedup": sql.LINE_DEDUP,
     "op8_url_filters": sql.URL_FILTERS,
     "op9_exact_dedup": sql.EXACT_DEDUP,
+    "op11_spelling_variants": sql.SPELLING,
+    "op12_secret_scan": sql.SECRET_SCAN,
+    "op13_conversation_repair": sql.CONVERSATION_REPAIR,
 }
