@@ -24,7 +24,7 @@ from scanledger.schemas import (
     ACCOUNTS, ADJUDICATED, COMPANIES, HOST_COLUMNS, HOST_MAP, HOSTS, KEYED, SIGNALS,
 )
 from scanledger.sources.readers import REJECTED, scan_raw_records
-from scanledger.sources.writers import observed_layer, read_layer, write_jsonl
+from scanledger.sources.writers import keep_counts, observed_layer, read_layer, write_jsonl
 
 
 @dataclass(frozen=True)
@@ -105,10 +105,10 @@ def build_from_hosts(
 ) -> Layers:
     """Hosts of one export -> keyed hosts, map, companies, signals and accounts."""
 
-    figures = _figures()
+    figures, counts = _figures(), {}
 
     def written(table: DataFrame, layer: str) -> DataFrame:
-        return observed_layer(table, out_dir, layer, figures[layer], snapshot_date)
+        return observed_layer(table, out_dir, layer, figures[layer], snapshot_date, counts)
 
     keyed = written(keyed_table(hosts, rules.resolve, rules.signals), KEYED)
     host_map = written(host_company_map(keyed), HOST_MAP)
@@ -118,6 +118,7 @@ def build_from_hosts(
     )
     signals = written(rollup, SIGNALS)
     accounts = written(gold_accounts(companies, signals, rules.scores), ACCOUNTS)
+    keep_counts(hosts.sparkSession, out_dir, counts, snapshot_date)
     return Layers(hosts, keyed, host_map, companies, signals, accounts)
 
 

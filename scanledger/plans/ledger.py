@@ -108,7 +108,7 @@ def ingest_new(
             hosts, f"{out_dir}/{HOST_BATCHES}", host_figures(), partition_by="batch", rebalance=True,
             hidden=(REJECTED,),
         )
-        keep_counts(spark, out_dir, f"{HOST_BATCHES}/{batch}", counts)
+        keep_counts(spark, out_dir, {f"{HOST_BATCHES}/{batch}": counts})
     entries = [(*row, removed, batch) for rows, removed in ((pending, False), (gone, True)) for row in rows]
     committed = spark.createDataFrame(entries, LEDGER_RECORD)
     write_parquet_zstd(committed.coalesce(1), f"{out_dir}/{LEDGER}", partition_by="batch")

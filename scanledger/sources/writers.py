@@ -114,23 +114,31 @@ def observed_layer(
     layer: str,
     figures: Mapping[str, Column],
     snapshot_date: str | None = None,
+    held: dict[str, dict[str, int]] | None = None,
     **options,
 ) -> DataFrame:
-    """Write a layer and keep the figures observed meanwhile, one row per layer and date."""
+    """Write a layer and keep the figures observed meanwhile, one row per layer and date.
+
+    With ``held`` they are put there instead, to be kept with those of other layers.
+    """
     observation = Observation()
     written = write_layer(
         table, f"{out_dir}/{layer}", snapshot_date, observation=observation, figures=figures, **options
     )
-    counts = {name: int(n or 0) for name, n in observation.get.items()}
-    keep_counts(table.sparkSession, out_dir, layer, counts, snapshot_date)
+    counts = {layer: {name: int(n or 0) for name, n in observation.get.items()}}
+    if held is None:
+        keep_counts(table.sparkSession, out_dir, counts, snapshot_date)
+    else:
+        held.update(counts)
     return written
 
 
 def keep_counts(
-    spark: SparkSession, out_dir: str, layer: str, counts: Mapping[str, int], snapshot_date: str | None = None
+    spark: SparkSession, out_dir: str, counts: Mapping[str, Mapping[str, int]], snapshot_date: str | None = None
 ) -> None:
-    """Replace the counts of this layer and date."""
-    kept = spark.createDataFrame([(layer, dict(counts))], "layer STRING, counts MAP<STRING, BIGINT>")
+    """Replace the counts of these layers and this date."""
+    rows = [(layer, dict(own)) for layer, own in counts.items()]
+    kept = spark.createDataFrame(rows, "layer STRING, counts MAP<STRING, BIGINT>")
     kept = kept.withColumn(SNAPSHOT, F.lit(snapshot_date).cast("date"))
     (
         kept.coalesce(1)
