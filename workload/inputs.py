@@ -20,8 +20,24 @@ from workload import recipes
 from workload.observations import host_rows
 
 
-#: Dates of the exports of ``dated_folder``, and the observations that they hold.
-EXPORTS = {"2024-01-31": "event_id % 5 <> 0", "2024-02-29": "event_id % 7 <> 0"}
+#: Dates of the exports of ``dated_folder``, and the host columns that differ from the given ones, in
+#: SQL that both engines read.
+EXPORTS: dict[str, dict[str, str]] = {
+    "2024-01-31": {},
+    "2024-02-29": {
+        "org": "CASE WHEN port = 22 AND country_code = 'US' THEN concat(org, ' Group') ELSE org END",
+        "isp": "CASE WHEN port = 80 AND country_code = 'DE' THEN 'Carrier 9' ELSE isp END",
+        "is_c2": "CASE WHEN transport = 'udp' AND country_code = 'CN' THEN true ELSE is_c2 END",
+        "is_eol_product": "CASE WHEN port = 443 THEN false ELSE is_eol_product END",
+    },
+}
+#: What is changed in the part of an export that is delivered again.
+DELIVERED_AGAIN = {"org": "concat(org, ' Group')", "port": "CASE WHEN port = 80 THEN 8080 ELSE port END"}
+
+
+def with_changes(hosts: DataFrame, changed: dict[str, str]) -> DataFrame:
+    types = dict(hosts.dtypes)
+    return hosts.withColumns({c: F.expr(value).cast(types[c]) for c, value in changed.items()})
 
 
 class Inputs:
@@ -115,31 +131,31 @@ class Inputs:
 
     @cached_property
     def dated_folder(self) -> str:
-        """Layers of two dated exports that share most of their observations."""
+        """Layers of two dated exports of all observations; some are different in the later one."""
         folder = scratch_dir(self.spark, "dated")
-        for date, condition in EXPORTS.items():
-            build_from_hosts(self.hosts.filter(condition), folder, snapshot_date=date)
+        for date, changed in EXPORTS.items():
+            build_from_hosts(with_changes(self.hosts, changed), folder, snapshot_date=date)
         return folder
 
     @cached_property
     def ledger_folder(self) -> str:
-        """An export in parts that grows: a second run finds a new part and another one replaced.
+        """All observations as an export in parts: a second run finds a new part and another one changed.
 
         A third run finds nothing new.
         """
         folder = scratch_dir(self.spark, "ledger")
-        records = self.hosts.select("event_id", F.to_json(F.struct(*raw_columns())).alias("value"))
 
-        def deliver(part: str, condition: str) -> None:
-            lines = records.filter(condition).select("value")
-            lines.write.mode("overwrite").text(f"{folder}/raw/{part}")
+        def deliver(part: int, changed: dict[str, str]) -> None:
+            own = with_changes(self.hosts.filter(F.col("event_id") % 4 == part), changed)
+            lines = own.select(F.to_json(F.struct(*raw_columns())).alias("value"))
+            lines.write.mode("overwrite").text(f"{folder}/raw/p{part}")
 
         for part in (0, 1, 2):
-            deliver(f"p{part}", f"event_id % 4 = {part}")
+            deliver(part, {})
         parts = f"{folder}/raw/*"
         runs = [ingest_new(self.spark, parts, folder, withdraw_missing=True)]
-        deliver("p2", "event_id % 8 = 2")
-        deliver("p3", "event_id % 4 = 3")
+        deliver(2, DELIVERED_AGAIN)
+        deliver(3, {})
         runs += [ingest_new(self.spark, parts, folder, withdraw_missing=True) for _ in range(2)]
         if runs != [1, 2, None]:
             raise AssertionError(f"batches {runs}")

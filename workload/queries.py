@@ -19,7 +19,7 @@ from scanledger.plans import ledger, views
 from scanledger.plans.build import Layers, read_layers
 from scanledger.session import scratch_dir
 from scanledger.sources import readers, writers
-from workload.inputs import EXPORTS, Inputs, inputs, raw_columns
+from workload.inputs import DELIVERED_AGAIN, EXPORTS, Inputs, inputs, raw_columns
 from workload.sql_layers import over
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1168,20 +1168,20 @@ def _(i: Inputs) -> DataFrame:
 
 # --- repeated exports -------------------------------------------------------
 
-_VALID = "(event_id % 4 <> 2 OR event_id % 8 = 2)"
+_CHANGED_PART = {c: f"CASE WHEN event_id % 4 = 2 THEN {value} ELSE {c} END" for c, value in DELIVERED_AGAIN.items()}
 
 
-@query("ledger_ingest", over("hosts", select=f"{_FLAT_HOSTS_SQL} WHERE {_VALID}"))
+@query("ledger_ingest", over("hosts", select=_FLAT_HOSTS_SQL, changed=_CHANGED_PART))
 def _(i: Inputs) -> DataFrame:
     return flat_hosts(ledger.current_hosts(i.spark, i.ledger_folder))
 
 
-@query("ledger_batches", over("hosts", select=f"""
-    SELECT batch, count(*) FILTER ({_VALID} AND (batch = 2) = (event_id % 4 >= 2)) AS valid_rows,
-        count(*) FILTER (CASE WHEN batch = 1 THEN event_id % 4 < 3 ELSE event_id % 8 = 2 OR event_id % 4 = 3 END)
-            AS rows,
+@query("ledger_batches", over("hosts", select="""
+    SELECT batch, count(*) FILTER (part = 2 AND batch = 2 OR part = 3 AND batch = 2 OR part < 2 AND batch = 1) AS valid_rows,
+        count(*) FILTER (CASE WHEN batch = 1 THEN part < 3 ELSE part >= 2 END) AS rows,
         batch = 2 AS has_withdrawn, batch = 1 AS has_outdated
-    FROM hosts, (VALUES (CAST(1 AS BIGINT)), (CAST(2 AS BIGINT))) b(batch) GROUP BY batch"""))
+    FROM (SELECT event_id % 4 AS part FROM hosts), (VALUES (CAST(1 AS BIGINT)), (CAST(2 AS BIGINT))) b(batch)
+    GROUP BY batch"""))
 def _(i: Inputs) -> DataFrame:
     spark, folder = i.spark, i.ledger_folder
     rows = spark.read.parquet(f"{folder}/{schemas.HOST_BATCHES}").select("batch", readers.SOURCE_FILE)
@@ -1205,7 +1205,7 @@ _OWN_SQL, _SIGNALS_SQL = (
     )
 )
 _BEFORE, _AFTER = (
-    f"({over('accounts', select='SELECT * FROM accounts', hosts_where=where)})" for where in EXPORTS.values()
+    f"({over('accounts', select='SELECT * FROM accounts', changed=changed)})" for changed in EXPORTS.values()
 )
 _CHANGES = f"""
     SELECT * FROM (

@@ -249,8 +249,11 @@ LAYERS: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
-def over(*needed: str, select: str, hosts_where: str | None = None) -> str:
-    """``select`` with the layers it reads as common table expressions, over all hosts or some."""
+def over(*needed: str, select: str, changed: dict[str, str] | None = None) -> str:
+    """``select`` with the layers it reads as common table expressions.
+
+    ``changed`` gives some host columns other values, for a later export.
+    """
     order: list[str] = []
 
     def visit(name: str) -> None:
@@ -263,7 +266,8 @@ def over(*needed: str, select: str, hosts_where: str | None = None) -> str:
     for name in needed:
         visit(name)
     texts = {name: LAYERS[name][0] for name in order}
-    if hosts_where:
-        texts["hosts"] = f"SELECT * FROM ({texts['hosts']}) WHERE {hosts_where}"
+    if changed:
+        values = ", ".join(f"{value} AS {name}" for name, value in changed.items())
+        texts["hosts"] = f"SELECT * REPLACE ({values}) FROM ({texts['hosts']})"
     tables = ",\n".join(f"{name} AS (\n{text}\n)" for name, text in texts.items())
     return f"WITH {tables}\n{select}"
