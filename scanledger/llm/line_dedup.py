@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger.llm.common import ASCII_SPACE, batches, schema_of, stored, texts_of, utf8
+from scanledger.llm.common import ASCII_SPACE, batches, in_slices, schema_of, stored, texts_of, utf8
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -54,15 +54,26 @@ def _positions(keys: list[bytes], bits: int) -> np.ndarray:
     return np.stack([hashes & mask, (hashes >> np.uint64(32)) & mask]).astype(np.int64)
 
 
+def _are_set(at: np.ndarray, held: np.ndarray) -> np.ndarray:
+    return ((held[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def _set(at: np.ndarray, held: np.ndarray) -> None:
+    """Set the bits at sorted places of a filter that holds eight in a byte."""
+    if len(at):
+        octets, first = np.unique(at >> 3, return_index=True)
+        held[octets] |= np.bitwise_or.reduceat(np.uint8(1) << (at & 7).astype(np.uint8), first)
+
+
 def _hit(positions: np.ndarray, once: np.ndarray, twice: np.ndarray) -> None:
     """Set the bits of ``once``, and of ``twice`` where they are hit again."""
     distinct, counts = np.unique(positions, return_counts=True)
-    twice[distinct[once[distinct] | (counts > 1)]] = True
-    once[distinct] = True
+    _set(distinct[_are_set(distinct, once) | (counts > 1)], twice)
+    _set(distinct, once)
 
 
-def _pack(bits: np.ndarray) -> bytes:
-    return zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)
+def _pack(octets: np.ndarray) -> bytes:
+    return zlib.compress(octets.tobytes(), 1)
 
 
 def _unpack(packed: bytes) -> np.ndarray:
@@ -70,11 +81,11 @@ def _unpack(packed: bytes) -> np.ndarray:
 
 
 def _task_filters(bits: int):
-    piece = min(bits, PIECE_BITS)
+    piece = min(bits, PIECE_BITS) // 8
 
     def build(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
-        for part in parts:
+        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        for part in in_slices(parts):
             keys = [k for text in part.column("text").to_pylist() for k in shared_keys(utf8(text))]
             if keys:
                 first, second = _positions(keys, bits)
@@ -82,7 +93,7 @@ def _task_filters(bits: int):
                 _hit(np.concatenate([first, second[second != first]]), once, twice)
         rows = (
             (k, _pack(once[k * piece : (k + 1) * piece]), _pack(twice[k * piece : (k + 1) * piece]))
-            for k in range(bits // piece)
+            for k in range(len(once) // piece)
             if once[k * piece : (k + 1) * piece].any()
         )
         yield from batches(rows, _PIECES, 16)
@@ -130,7 +141,7 @@ def seen_twice(docs: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 def _suspects(twice, bits: int):
     def find(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = twice.value
-        for part in parts:
+        for part in in_slices(parts):
             ids, keys = [], []
             texts = part.column("text").to_pylist()
             for doc_id, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
@@ -140,7 +151,7 @@ def _suspects(twice, bits: int):
             if not keys:
                 continue
             at = _positions(keys, bits)
-            hit = ((held[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)
+            hit = _are_set(at, held).all(axis=0)
             found = np.flatnonzero(hit).tolist()
             rows = ((xxhash.xxh3_128_digest(keys[k]), keys[k], *ids[k]) for k in found)
             yield from batches(rows, _KEYS)
@@ -183,7 +194,7 @@ def kept_lines(text: bytes, lost: set[bytes]) -> tuple[bytes, int, int]:
 
 
 def _drop(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
+    for part in in_slices(parts):
         texts = part.column("text").to_pylist()
         lost = part.column("__lost").to_pylist()
         done = [kept_lines(utf8(t), set(x or ())) for t, x in zip(texts, lost, strict=True)]

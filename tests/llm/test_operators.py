@@ -835,3 +835,17 @@ def test_a_very_long_text(spark):
     judged = quality_rules.judge_quality(docs, [])
     assert found(judged, "doc_id", "stats.n_words")[0] == (1, len(text.split()))
     assert token_files.token_files(docs).count() == language.predict_languages(docs, language.fit_languages(docs)).count() == 3
+
+
+def test_filters_of_a_task_take_a_bit_a_place():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    build = line_dedup._task_filters(line_dedup.FILTER_BITS)
+    part = pa.RecordBatch.from_pydict({"text": [f"a line of text that is long enough {n}" for n in range(100)]})
+    tracemalloc.start()
+    pieces = list(build(iter([part, part])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pieces and peak < 3 * line_dedup.FILTER_BITS // 8
