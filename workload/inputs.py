@@ -108,12 +108,11 @@ class Inputs:
 
     @cached_property
     def raw_array_lines_path(self) -> str:
-        """The raw lines, and some that hold an array of records."""
+        """Lines that hold an array of records, to be read beside the raw lines."""
         arrays = self.hosts.filter((F.col("event_id") % 500 == 7) & (F.col("copy_no") == 1))
         line = F.lit('[{"ip_str": "10.0.0.2", "port": 80}, {"ip_str": "10.0.0.3"}]')
         path = f"{self.folder}/raw_arrays"
-        lines = self.spark.read.text(self.raw_lines_path)
-        lines.unionByName(arrays.select(line.alias("value"))).write.text(path)
+        arrays.select(line.alias("value")).write.text(path)
         return path
 
     @cached_property

@@ -85,7 +85,8 @@ _RAW_HOSTS_SQL = over("hosts", select=f"{_FLAT_HOSTS_SQL} UNION ALL {_BROKEN_ROW
 @query("scan_hosts_ndjson", f"{_RAW_HOSTS_SQL} UNION ALL "
        + _BROKEN_ROWS_SQL.replace("% 100 = 0", "% 500 = 7"))
 def _(i: Inputs) -> DataFrame:
-    records = readers.scan_raw_records(i.spark, i.raw_array_lines_path, array_lines_as_null=True)
+    paths = [i.raw_lines_path, i.raw_array_lines_path]
+    records = readers.scan_raw_records(i.spark, paths, array_lines_as_null=True)
     return flat_hosts(ingest.flatten_hosts(records))
 
 
