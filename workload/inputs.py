@@ -147,7 +147,7 @@ class Inputs:
         def deliver(part: int, changed: dict[str, str]) -> None:
             own = with_changes(self.hosts.filter(F.col("event_id") % 4 == part), changed)
             lines = own.select(F.to_json(F.struct(*raw_columns())).alias("value"))
-            lines.write.mode("overwrite").text(f"{folder}/raw/p{part}")
+            lines.write.mode("overwrite").text(f"{folder}/raw/p{part}", compression="lz4")
 
         for part in (0, 1, 2):
             deliver(part, {})
