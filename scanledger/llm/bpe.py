@@ -350,16 +350,36 @@ def _joined(arrays: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
 
 
+class _Numbers(dict):
+    """Words by the order in which they are met."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _numbered(texts: Iterator[str]) -> tuple[list[str], list[np.ndarray]]:
+    """The distinct words of some texts in order, and the place of each word of each text among them.
+
+    A word is held once, not wherever it stands.
+    """
+    numbers, met = _Numbers(), []
+    for text in texts:
+        own = split_words(text)
+        met.append(np.fromiter(map(numbers.__getitem__, own), np.int32, len(own)))
+    words = sorted(numbers)
+    places = np.zeros(len(words), np.int32)
+    places[list(map(numbers.__getitem__, words))] = np.arange(len(words))
+    return words, [places[m] for m in met]
+
+
 def _assemble(with_ids: bool, dictionary: bytes):
     def assemble(docs: pa.Table, found: pa.Table) -> pa.Table:
-        split = [split_words(text) for text in _unpacked(docs.column("__packed"), dictionary)]
-        words = sorted(set().union(*split))
+        words, split = _numbered(_unpacked(docs.column("__packed"), dictionary))
         block = _Block(found.column("found").to_pylist(), words)
-        index = dict(zip(words, range(len(words)), strict=True)).__getitem__
         rows = []
-        for k, own in enumerate(split):
-            places, split[k] = list(map(index, own)), None
-            at = np.array(places, np.int64)
+        for at in split:
+            places = at.tolist()
             listed = ",".join(map(block.listed.__getitem__, places))
             decoded = b"".join(map(block.bytes.__getitem__, places))
             ids = gather(block.ids, block.starts[at], block.counts[at]) if with_ids else None
@@ -373,7 +393,7 @@ def _assemble(with_ids: bool, dictionary: bytes):
 
 
 def encode_and_decode(
-    docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bool = True, block_chars: int = BLOCK_CHARS
+    docs: DataFrame, vocabulary: str = VOCABULARY, with_ids: bool = True, block_chars: int = BLOCK_CHARS, apart: bool = False
 ) -> DataFrame:
     """The documents without ``text``, with a struct ``encoded``.
 
@@ -382,13 +402,16 @@ def encode_and_decode(
     decoded from the ids), the digests as lower-case hex. Special tokens in a
     text are ordinary text; null texts are empty and have no ids. Null and
     repeated ids make no difference; rows that repeat stay, an empty table gives
-    no rows, and an earlier column ``encoded`` is replaced.
+    no rows, and an earlier column ``encoded`` is replaced. ``apart``
+    shuffles the encoded words before they are decoded: else a task has a Python
+    worker for either step, and Spark keeps both for what is run later.
     """
     docs = docs.drop("encoded")
     dictionary = shared_dictionary(docs)
     blocks = text_blocks(docs, block_chars, dictionary)
     places = word_places(blocks, dictionary)
-    found = block_ids(decoded_words(encoded_words(places, vocabulary), vocabulary))
+    encoded = encoded_words(places, vocabulary)
+    found = block_ids(decoded_words(encoded.repartition("word") if apart else encoded, vocabulary))
     kind = "struct<n_tokens: bigint, ids: array<int>, ids_sha256: string, decoded_sha256: string>"
     both = blocks.groupBy("__block").cogroup(found.groupBy("block"))
     return both.applyInArrow(_assemble(with_ids, dictionary), schema_of(docs, f"encoded {kind}", ("text",)))

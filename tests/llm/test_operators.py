@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -687,6 +688,21 @@ def test_blocks_are_shuffled_once_and_read_twice(spark):
     assert "ReusedExchange" in plan_of(plan)
 
 
+def test_a_block_holds_its_words_once():
+    texts = [" ".join(f"word{k % 50}" for k in range(n, n + 1_000)) for n in range(300)]
+    tracemalloc.start()
+    held, split = bpe._numbered(iter(texts))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 300,000 strings would be some 18 MB
+    assert most < 5e6
+    assert held == sorted({w for t in texts for w in pretokens.split_words(t)})
+    assert ["".join(map(held.__getitem__, s.tolist())) for s in split] == texts
+    assert bpe._numbered(iter([])) == ([], [])
+    held, split = bpe._numbered(iter(["", "a"]))
+    assert held == ["a"] and [s.tolist() for s in split] == [[], [0]]
+
+
 def test_bytes_that_are_not_the_word():
     words = ["a", "\xe9", "xyz"]
     letters, sizes = bpe._other_bytes(words, [b"a", b"\xc3", b"\xa9", b"x", b"?"], [0, 1, 3])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -123,6 +125,13 @@ def test_every_stage_and_the_run(spark, sf_dir):
     assert found(corpus_pipeline.run(spark, sf_dir), *docs.columns) == same(expected)
 
 
+def test_no_task_of_byte_bpe_has_two_python_workers(spark, sf_dir):
+    plan = corpus_pipeline.byte_bpe(spark, table(spark, ROWS), sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    steps = re.findall(r"MapInArrow|FlatMapCoGroups|Exchange|RepartitionByExpression", plan)
+    assert sum(s == "MapInArrow" for s in steps) >= 4
+    assert not any(a == b == "MapInArrow" for a, b in zip(steps, steps[1:], strict=False)), plan
+
+
 def test_stages_keep_columns_of_clashing_names(spark, sf_dir):
     docs = table(spark, ROWS, True)
     for name, stage in corpus_pipeline.STAGES[:-1]:
